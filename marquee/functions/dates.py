@@ -37,16 +37,26 @@ def date_add(datepart: str, n: int | Column, start: str | Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (n * _SECONDS[part]).cast("decimal(18,6)"))
 
 
+def _sunday_week(c: str | Column) -> Column:
+    """Number of the Sunday-to-Saturday week (1970-01-04 was a Sunday)."""
+    return F.floor((F.unix_date(as_timestamp(c).cast("date")) + 4) / 7).cast("bigint")
+
+
 def date_diff(datepart: str, start: str | Column, end: str | Column) -> Column:
-    """Number of unit boundaries between two instants (Jan 31 to Feb 1 is one month)."""
+    """Number of unit boundaries between two instants (Jan 31 to Feb 1 is one month).
+
+    Weeks turn on Sunday.
+    """
     part = _known(datepart)
     a = F.date_trunc(part, as_timestamp(start))
     b = F.date_trunc(part, as_timestamp(end))
     if part in _MONTHS:
         months = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
         return F.floor(months / _MONTHS[part]).cast("bigint")
-    if part in _DAYS:
-        return F.floor(F.datediff(b, a) / _DAYS[part]).cast("bigint")
+    if part == "day":
+        return F.datediff(b, a).cast("bigint")
+    if part == "week":
+        return _sunday_week(end) - _sunday_week(start)
     return F.floor((F.unix_seconds(b) - F.unix_seconds(a)) / _SECONDS[part]).cast("bigint")
 
 

@@ -34,6 +34,7 @@ def local_session(app: str = "marquee", cores: str | int = "*", partitions: int
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="marquee-wh-"))
         .getOrCreate()
     )
