@@ -108,10 +108,6 @@ def true_only(cond: Column) -> Column:
 
 
 def mapped(c: str | Column, groups: dict[str, list[str]], default: str) -> Column:
-    """Case-insensitive consolidation of labels into groups."""
-    low = F.lower(col(c))
-    out = None
-    for label, members in groups.items():
-        cond = low.isin(members)
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return F.lit(default) if out is None else out.otherwise(default)
+    """Case-insensitive consolidation of labels into groups: one lookup in a constant map."""
+    lookup = F.create_map(*[F.lit(x) for label, members in groups.items() for m in members for x in (m, label)])
+    return F.coalesce(F.try_element_at(lookup, F.lower(col(c))), F.lit(default))

@@ -151,10 +151,10 @@ def _neighbour(df: DataFrame, value: str, out: str, keys: list[str], order: list
     pick = F.min_by if ahead else F.max_by
     borders = sliced.groupBy(_SLICE, *keys).agg(pick(F.struct(value), F.col(_POS)).alias("_v"))
     across = Window.partitionBy(*keys).orderBy(_SLICE)
-    borders = borders.withColumn("_next", step("_v").over(across)).where(F.col("_next").isNotNull())
-    placed = _attach(placed, borders, keys, "_next")
-    return (placed.withColumn(out, F.when(F.col("_edge"), F.col("_next")[value]).otherwise(F.col(out)))
-            .drop("_next", "_edge", _SLICE, _POS))
+    borders = borders.withColumn("_nbr", step("_v").over(across)).where(F.col("_nbr").isNotNull())
+    placed = _attach(placed, borders, keys, "_nbr")
+    return (placed.withColumn(out, F.when(F.col("_edge"), F.col("_nbr")[value]).otherwise(F.col(out)))
+            .drop("_nbr", "_edge", _SLICE, _POS))
 
 
 def lag(df: DataFrame, value: str, out: str, order: list[Column], keys: list[str] = (),

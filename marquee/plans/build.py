@@ -64,7 +64,9 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of=None,
     """
     def written(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         for name, df in tables.items():
-            write_sorted(df, f"{out}/{name}", LAYOUT[name], bloom=LAYOUT[name][-1:])
+            order = LAYOUT[name]
+            # a key that leads the sort order is pruned by min/max already
+            write_sorted(df, f"{out}/{name}", order, bloom=order[-1:] if len(order) > 1 else [])
         return {name: spark.read.parquet(f"{out}/{name}") for name in tables}
 
     stg = written(staging_tables(raw, as_of, batch_date=batch_date, run_id=run_id))

@@ -33,9 +33,10 @@ def chk_accepted_values(spark, sf):
 
 
 @query("chk_relationships", """
-SELECT c_custkey AS from_field FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_custkey IS NULL""")
+SELECT l_orderkey AS from_field FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') o ON l_orderkey = o_orderkey
+WHERE o_orderkey IS NULL""")
 def chk_relationships(spark, sf):
-    return C.relationships(table(spark, sf, "customer"), "c_custkey", table(spark, sf, "orders"), "o_custkey")
+    return C.relationships(table(spark, sf, "lineitem"), "l_orderkey", table(spark, sf, "orders").where("o_orderstatus <> 'P'"), "o_orderkey")
 
 
 @query("chk_accepted_range", """
@@ -248,11 +249,11 @@ def chk_report(spark, sf):
 
 
 @query("chk_row_failures", """
-SELECT 'expression_is_true_orders_o_totalprice > 1000' AS check_name, o_orderkey, o_totalprice FROM orders
-WHERE o_orderstatus = 'F' AND NOT o_totalprice > 1000""")
+SELECT 'expression_is_true_orders_o_totalprice > 50000' AS check_name, o_orderkey, o_totalprice FROM orders
+WHERE o_orderstatus = 'F' AND NOT o_totalprice > 50000""")
 def chk_row_failures(spark, sf):
     """Failing rows of a check, stored and read back."""
-    check = REPORT[4]
+    check = Q.Check("orders", "expression_is_true", {"expression": "o_totalprice > 50000"}, where="o_orderstatus = 'F'")
     rows = Q.store_failures(check, {"orders": table(spark, sf, "orders")}, scratch_path(spark, "failures"))
     return rows.select(F.lit(check.name).alias("check_name"), "o_orderkey", "o_totalprice")
 

@@ -35,6 +35,8 @@ def local_session(app: str = "marquee", cores: str | int = "*", partitions: int
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture costs a Python stack walk and two JVM calls per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="marquee-wh-"))
         .getOrCreate()
     )

@@ -13,6 +13,8 @@ def write_sorted(df: DataFrame, path: str, by: list[str], bloom: list[str] = (),
     """
     placed = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
     writer = placed.sortWithinPartitions(*by).write.mode("overwrite")
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")   # sized by the values met
     for c in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     writer.parquet(path)
