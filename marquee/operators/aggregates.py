@@ -60,10 +60,16 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, q: float, out: s
     return found.select(*keys, (F.col("_lo") + mix * (F.col("_hi") - F.col("_lo"))).alias(out))
 
 
-def with_share(df: DataFrame, amount: str, out: str, scale: int = 4) -> DataFrame:
-    """Share of the grand total; the total is a scalar subquery, not a join."""
-    total = df.agg(F.sum(amount).alias("total"))
-    return df.withColumn(out, share(amount, total.scalar(), scale))
+def with_shares(df: DataFrame, shares: dict[str, str], scale: int = 4) -> DataFrame:
+    """{out: amount}: each amount's share of its grand total.
+
+    The grouped rows are stored once: the totals are scalar subqueries, and over
+    a lazy frame each of them would compute everything below it again.
+    """
+    groups = stage(df, "group-totals")
+    totals = groups.agg(*[F.sum(amount).alias(out) for out, amount in shares.items()])
+    return groups.withColumns({
+        out: share(amount, totals.select(out).scalar(), scale) for out, amount in shares.items()})
 
 
 def value_frequencies(df: DataFrame, column: str, where: str | None = None,

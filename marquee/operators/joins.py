@@ -76,7 +76,7 @@ def compare_counts(a: DataFrame, b: DataFrame, group_by: list[str] = ()) -> Data
 
     on = [F.col("_all_a") == F.col("_all_b")] + [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys]
     both = counted(a, "a").join(counted(b, "b"), reduce(lambda x, y: x & y, on), "full")
-    return both.drop("_all_a", "_all_b")
+    return both.select(*[f"{k}_{side}" for k in keys for side in "ab"], "count_a", "count_b")
 
 
 def parent_child(titles: DataFrame, links: DataFrame, kind: str, parent_kind: str, child_kind: str,

@@ -193,23 +193,14 @@ def percent_rank(df: DataFrame, value: str, out: str, hot_rows: int | None = Non
 def deduplicate(df: DataFrame, partition_by: list[str], order_by: list[tuple[str, str]]) -> DataFrame:
     """First row of each group, by [(column, 'asc' | 'desc'), ...].
 
-    One direction throughout: a min_by / max_by aggregate, combined map-side so
-    a hot key shrinks to one row per task before the shuffle, and no sort.
-    Mixed directions: row_number() = 1, which Spark also prunes map-side
-    (window group limit).
+    Spark turns row_number() = 1 into a group limit on both sides of the
+    shuffle: every task sends at most one row per key, however hot the key.
+    (max_by over a row struct would do the same sorts, as its buffer cannot be hashed.)
     """
-    ways = {way for _, way in order_by}
-    if not ways <= {"asc", "desc"}:
+    if not {way for _, way in order_by} <= {"asc", "desc"}:
         raise ValueError("directions must be 'asc' or 'desc'")
-    if len(ways) > 1:
-        order = [asc(c) if way == "asc" else desc(c) for c, way in order_by]
-        w = Window.partitionBy(*partition_by).orderBy(*order)
-        return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    # (is null, value): NULL is last ascending and first descending
-    key = F.struct(*[x for c, _ in order_by for x in (F.col(c).isNull(), F.col(c))])
-    pick = F.min_by if ways == {"asc"} else F.max_by
-    row = pick(F.struct(*df.columns), key).alias("_row")
-    return df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(partition_by)]).agg(row).select("_row.*")
+    order = [asc(c) if way == "asc" else desc(c) for c, way in order_by]
+    return top_n(df, partition_by, order, 1, "_rn").drop("_rn")
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, out: str = "row_number") -> DataFrame:

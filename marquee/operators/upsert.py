@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: list[str], delete_missing: bool = False) -> DataFrame:
@@ -36,37 +37,51 @@ def incremental_batch(source: DataFrame, target: DataFrame | None, when: str = "
 
 
 class VersionedTable:
-    """A parquet table published by version: write ``v=N+1`` fully, readers follow.
+    """A parquet table published by version, for one writer and any readers.
 
-    Spark's ``_SUCCESS`` marker makes a version visible, so a failed or lost
-    write is never read and an older version stays readable meanwhile.
+    ``v=N+1`` is written completely, then checked, and only then marked;
+    readers see marked versions only.  A failed or lost write is never read and
+    the older version stays readable meanwhile.
     """
 
+    MARK = "_published"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _file(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def versions(self) -> list[int]:
-        """Complete versions, ascending."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+        """Published versions, ascending."""
+        fs, pattern = self._file(f"v=*/{self.MARK}")
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(pattern) or [])
+
+    def _load(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/v={version}")
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The newest (or given) version; None while there is none."""
         known = self.versions()
         if not known:
             return None
-        return self.spark.read.parquet(f"{self.path}/v={known[-1] if version is None else version}")
+        return self._load(known[-1] if version is None else version)
+
+    def replace(self, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> int:
+        """Publish ``df`` as the next version; it may read older versions of this table.
 
-    def replace(self, df: DataFrame) -> int:
-        """Publish ``df`` as the next version.  It may read older versions of this table."""
+        ``check`` sees the written rows before they are published and raises to
+        keep them from readers.
+        """
         known = self.versions()
         version = known[-1] + 1 if known else 0
-        df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") \
-            .parquet(f"{self.path}/v={version}")
+        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        if check:
+            check(self._load(version))
+        fs, mark = self._file(f"v={version}/{self.MARK}")
+        fs.create(mark, True).close()
         return version
 
     def upsert(self, batch: DataFrame, key: list[str]) -> int:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import stage
 from ..sources.layout import write_sorted
 from . import intermediate as I
 from . import marts as M
@@ -30,19 +31,24 @@ def staging_tables(raw: dict[str, DataFrame], as_of=None, missing: str = "marker
     }
 
 
-def intermediate_tables(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    rows = I.episode_rows(stg["stg_episodes"], stg["stg_titles"], stg["stg_ratings"], as_of)
+def shared_joins(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
+    """The joins more than one table reads, stored once."""
     return {
-        "int_title_genres": I.title_genres(stg["stg_titles"]),
-        "int_title_complete": I.title_complete(stg["stg_titles"], stg["stg_ratings"]),
+        "complete": stage(I.title_complete(stg["stg_titles"], stg["stg_ratings"]), "title-complete"),
+        "episodes": stage(I.episode_rows(stg["stg_episodes"], stg["stg_titles"], stg["stg_ratings"], as_of), "episode-rows"),
+    }
+
+
+def intermediate_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "int_title_genres": I.title_genres(stg["stg_titles"]), "int_title_complete": shared["complete"],
         "int_filmography": I.filmography(stg["stg_people"], stg["stg_credits"], stg["stg_titles"], stg["stg_ratings"]),
-        "int_hierarchy": I.hierarchy(rows),
+        "int_hierarchy": I.hierarchy(shared["episodes"]),
     }
 
 
-def mart_tables(stg: dict[str, DataFrame], as_of=None, hot_rows: int | None = None) -> dict[str, DataFrame]:
-    complete = I.title_complete(stg["stg_titles"], stg["stg_ratings"])
-    rows = I.episode_rows(stg["stg_episodes"], stg["stg_titles"], stg["stg_ratings"], as_of)
+def mart_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame], hot_rows: int | None = None) -> dict[str, DataFrame]:
+    complete, rows = shared["complete"], shared["episodes"]
     return {
         "mart_titles": M.title_mart(complete, hot_rows),
         "mart_people": M.people_mart(stg["stg_people"], stg["stg_credits"], stg["stg_titles"], stg["stg_ratings"]),
@@ -51,9 +57,10 @@ def mart_tables(stg: dict[str, DataFrame], as_of=None, hot_rows: int | None = No
 
 
 def all_tables(raw: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """All fifteen tables without writing any (small data, tests)."""
+    """All fifteen tables without publishing any (tests, exploration)."""
     stg = staging_tables(raw, as_of)
-    return {**stg, **intermediate_tables(stg, as_of), **mart_tables(stg, as_of)}
+    shared = shared_joins(stg, as_of)
+    return {**stg, **intermediate_tables(stg, shared), **mart_tables(stg, shared)}
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of=None, batch_date: str = "",
@@ -70,7 +77,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of=None,
         return {name: spark.read.parquet(f"{out}/{name}") for name in tables}
 
     stg = written(staging_tables(raw, as_of, batch_date=batch_date, run_id=run_id))
-    views = intermediate_tables(stg, as_of)
+    shared = shared_joins(stg, as_of)
+    views = intermediate_tables(stg, shared)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return {**stg, **views, **written(mart_tables(stg, as_of))}
+    return {**stg, **views, **written(mart_tables(stg, shared))}

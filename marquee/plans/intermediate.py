@@ -79,8 +79,9 @@ def episode_rows(episodes: DataFrame, titles: DataFrame, ratings: DataFrame, as_
 def hierarchy(rows: DataFrame) -> DataFrame:
     """Episode rows (see ``episode_rows``) with their series' totals and classes.
 
-    An episode id is unique, so counting rows counts episodes and the season
-    count is the only distinct aggregate (no row expansion).
+    The rows are read twice, for the totals and for the detail: pass a stored
+    table, not the joins.  An episode id is unique, so counting rows counts
+    episodes and the season count is the only distinct aggregate (no row expansion).
     """
     totals = rows.where(F.col("episode_rating").isNotNull()).groupBy("series_tconst").agg(
         F.max("series_duration_years").alias("series_years"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, guarded_ratio
-from ..operators.aggregates import with_share
+from ..operators.aggregates import with_shares
 from ..operators.ranking import asc, desc, percent_rank, row_numbers
 from ..session import stage
 from . import rulebook as R
@@ -146,7 +146,7 @@ def genre_mart(title_complete: DataFrame) -> DataFrame:
         F.count_if((rating >= 8) & (votes >= 50000)).alias("premium_titles"),
         F.count_if((rating * 10 >= 75) & (votes >= 100000)).alias("blockbuster_titles"),
     )
-    market = with_share(with_share(stats, "total_titles", "market_share"), "total_votes", "vote_share")
+    market = with_shares(stats, {"market_share": "total_titles", "vote_share": "total_votes"})
     market = market.withColumn("rating_drift", F.col("avg_rating_2020s") - F.col("avg_rating_2010s")).withColumns({
         "production_trend": R.PRODUCTION_TREND.column(), "quality_trend": R.QUALITY_TREND.column(),
         "market_position": R.MARKET_POSITION.column(), "investment_priority": R.PRIORITY.column(),

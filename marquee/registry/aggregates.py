@@ -111,7 +111,7 @@ def share_of_total(spark, sf):
     lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
     brands = lines.join(table(spark, sf, "part").select("p_partkey", "p_brand"), "p_partkey").groupBy("p_brand").agg(
         F.sum("l_quantity").cast("bigint").alias("quantity"))
-    return rounded(A.with_share(brands, "quantity", "quantity_share"))
+    return rounded(A.with_shares(brands, {"quantity_share": "quantity"}))
 
 
 @query("total_of_groups", """

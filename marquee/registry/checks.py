@@ -258,7 +258,33 @@ def chk_row_failures(spark, sf):
     return rows.select(F.lit(check.name).alias("check_name"), "o_orderkey", "o_totalprice")
 
 
-@query("chk_suite")
+def _values_sql(values: list) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _failures_sql(c: Q.Check) -> str:
+    """Metric of a declared check as a scalar subquery."""
+    p, t = c.params, c.table
+    col = p.get("column")
+    if c.kind in ("unique", "unique_combination"):
+        cols = ", ".join(p.get("columns") or [col])
+        rows = f"{t} WHERE {col} IS NOT NULL" if col else t
+        return f"(SELECT count(*) FROM (SELECT {cols} FROM {rows} GROUP BY {cols} HAVING count(*) > 1) d)"
+    bad, counted = {
+        "not_null": lambda: (f"{col} IS NULL", "*"),
+        "accepted_values": lambda: (f"{col} NOT IN ({_values_sql(p['values'])})", f"DISTINCT {col}"),
+        "accepted_range": lambda: (f"({col} < {p['min_value']} OR {col} > {p['max_value']})", "*"),
+        "relationships": lambda: (f"{col} NOT IN (SELECT {p['field']} FROM {p['parent']})", "*"),
+    }[c.kind]()
+    return f"(SELECT count({counted}) FROM {t} WHERE {bad}{f' AND {c.where}' if c.where else ''})"
+
+
+_SUITE = " UNION ALL ".join(
+    f"SELECT '{c.name}' AS check_name, '{c.table}' AS table_name, '{c.kind}' AS kind, '{c.severity}' AS severity, "
+    f"{_failures_sql(c)} AS failures" for c in ALL)
+
+
+@query("chk_suite", f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM ({_SUITE}) r")
 def chk_suite(spark, sf):
     """All layers built, then every declared check run on them."""
     names = ("title_basics", "name_basics", "title_crew", "title_episode", "title_ratings", "title_principals")

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import consumers, intermediate as I, marts as M, rulebook as R, staging as S
+from ..session import stage
 from ..sources.catalogue import raw
 from .core import AS_OF, VIEWS, query, rounded
 
@@ -252,7 +253,7 @@ TABLES = {
     **{name: partial(lambda n, spark, sf: stg(spark, sf, n), name) for name in STAGING},
     "int_title_genres": lambda spark, sf: I.title_genres(stg(spark, sf, "stg_titles")),
     "int_title_complete": complete, "int_filmography": filmography,
-    "int_hierarchy": lambda spark, sf: I.hierarchy(episode_rows(spark, sf)),
+    "int_hierarchy": lambda spark, sf: I.hierarchy(stage(episode_rows(spark, sf), "episode-rows")),
     "mart_titles": title_mart, "mart_people": people_mart, "mart_genres": genre_mart, "mart_series": series_mart,
 }
 

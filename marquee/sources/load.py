@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import VersionedTable
 from .datasets import Dataset
-from .tsv import check_headers, lines, scan
+from .tsv import check_headers, is_header, lines, parse
 
 MANIFEST_DDL = "dataset string, path string, size bigint, modified_at timestamp, loaded_at timestamp"
 
@@ -50,21 +50,14 @@ def manifest_rows(listing: DataFrame) -> DataFrame:
     return listing.select("dataset", "path", "size", "modified_at", F.current_timestamp().alias("loaded_at"))
 
 
-def write_counted(df: DataFrame, table: VersionedTable) -> tuple[int, int]:
-    """Publish ``df`` and return (rows seen while writing, rows in the table)."""
-    seen = Observation()
-    version = table.replace(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"], table.read(version).count()
-
-
 def load_dataset(spark: SparkSession, source: str, dataset: Dataset, table_path: str,
                  manifest: VersionedTable | None = None, partitions: int | None = None) -> dict:
     """Full refresh of one dataset, skipped when the manifest already has its files.
 
-    Headers are checked first; the table version becomes readable only when it
-    is complete, and the manifest is written last, so a failed load leaves both
-    as they were.  A table whose row count differs from the lines read is an
-    error before the manifest changes.
+    The extract is read once: header lines and data lines are counted while the
+    rows are written.  The new version is published only when every file had
+    its header and as many rows arrived as lines were read; the manifest is
+    written last, so a failed load leaves table and manifest as they were.
     """
     known = manifest.read() if manifest else None
     listing = list_files(spark, source, dataset.name)
@@ -73,24 +66,45 @@ def load_dataset(spark: SparkSession, source: str, dataset: Dataset, table_path:
         raise FileNotFoundError(source)
     if not decision["needed"]:
         return {"dataset": dataset.name, "loaded": False, "reason": decision["reason"], "rows": 0}
-    bad = check_headers(spark, source, dataset).where("problem is not null").first()
-    if bad:
-        raise ValueError(f"{bad['file']}: {bad['problem']}")
-    rows = scan(spark, source, dataset)
+    files, seen = listing.count(), Observation()
+    raw = lines(spark, source).observe(
+        seen, F.count_if(is_header(dataset)).alias("headers"), F.count_if(~is_header(dataset)).alias("rows"))
+    rows = parse(raw, dataset)
     if partitions:
         rows = rows.repartition(partitions)   # gzip gives one partition per file
-    read, written = write_counted(rows, VersionedTable(spark, table_path))
-    if read != written:
-        raise CountMismatch(f"{dataset.name}: read {read}, table has {written}")
+    table = VersionedTable(spark, table_path)
+
+    def check(written: DataFrame) -> None:
+        if seen.get["headers"] != files:
+            _raise_bad_header(spark, source, dataset)
+        if seen.get["rows"] != written.count():
+            # a retried stage may have counted lines twice: count again before failing
+            off = reconcile(spark, source, dataset, written).first()
+            if not off["ok"]:
+                raise CountMismatch(f"{dataset.name}: read {off['rows_read']}, wrote {off['rows_written']}")
+
+    try:
+        version = table.replace(rows, check)
+    except (CountMismatch, ValueError):
+        raise
+    except Exception:
+        _raise_bad_header(spark, source, dataset)   # a wrong header usually shows as a failed cast
+        raise
     if manifest:
         fresh = manifest_rows(listing)
         manifest.replace(fresh if known is None else known.unionByName(fresh))
-    return {"dataset": dataset.name, "loaded": True, "reason": decision["reason"], "rows": written}
+    return {"dataset": dataset.name, "loaded": True, "reason": decision["reason"], "rows": table.read(version).count()}
+
+
+def _raise_bad_header(spark: SparkSession, source: str, dataset: Dataset) -> None:
+    bad = check_headers(spark, source, dataset).where("problem is not null").first()
+    if bad:
+        raise ValueError(f"{bad['file']}: {bad['problem']}")
 
 
 def reconcile(spark: SparkSession, source: str, dataset: Dataset, table: DataFrame) -> DataFrame:
     """(dataset, rows_read, rows_written, ok): data lines of the extract against the table."""
-    read = lines(spark, source).where(F.col("value") != dataset.header).agg(F.count(F.lit(1)).alias("n"))
+    read = lines(spark, source).where(~is_header(dataset)).agg(F.count(F.lit(1)).alias("n"))
     written = table.agg(F.count(F.lit(1)).alias("rows_written"))
     return written.select(F.lit(dataset.name).alias("dataset"), read.scalar().alias("rows_read"), "rows_written") \
         .withColumn("ok", F.col("rows_read") == F.col("rows_written"))

@@ -36,10 +36,13 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
+def is_header(dataset: Dataset) -> Column:
+    return F.rtrim(F.regexp_replace("value", "\r$", "")) == dataset.header
+
+
 def _fields(raw: DataFrame, dataset: Dataset) -> DataFrame:
     pieces = F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)
-    body = raw.where(F.col("value") != dataset.header).select(pieces.alias("_f"), "value")
-    return body
+    return raw.where(~is_header(dataset)).select(pieces.alias("_f"), "value")
 
 
 def _typed(dataset: Dataset, safe: bool) -> list[Column]:
@@ -59,7 +62,12 @@ def scan(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
     A gzip file cannot be split, so it is one task: write the scan to parquet
     once (see ``load.load_dataset``) and read that.
     """
-    rows = _fields(lines(spark, path), dataset)
+    return parse(lines(spark, path), dataset)
+
+
+def parse(raw: DataFrame, dataset: Dataset) -> DataFrame:
+    """Typed rows of an extract's lines; header lines are left out."""
+    rows = _fields(raw, dataset)
     width = len(dataset.columns)
     exact = F.when(F.size("_f") == width, F.col("_f")).otherwise(
         F.raise_error(F.concat(F.lit(f"{dataset.name}: expected {width} fields: "), F.col("value"))).cast("array<string>"))
