@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 HOT_SHARE = 1000   # a key is hot above 1/HOT_SHARE of the rows: fewer than HOT_SHARE such keys
 
 
@@ -59,8 +61,14 @@ def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def join_group_totals(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
-    """Each row with its own group's aggregates."""
-    return df.join(df.groupBy(*keys).agg(*aggs), keys, "left")
+    """Each row with its own group's aggregates.
+
+    The totals are stored, so the join knows their size: small ones are
+    broadcast and the rows stay where they are, otherwise both sides are
+    shuffled and AQE can split a hot group.
+    """
+    totals = stage(df.groupBy(*keys).agg(*aggs), "group-totals")
+    return df.join(totals, keys, "left")
 
 
 def compare_counts(a: DataFrame, b: DataFrame, group_by: list[str] = ()) -> DataFrame:

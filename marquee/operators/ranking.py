@@ -33,32 +33,41 @@ def desc(c: str) -> Column:
     return F.col(c).desc_nulls_first()
 
 
-def fits_one_task(df: DataFrame, key_sets: list[list[str]], limit: int | None = None) -> bool:
-    """TRUE when no group of any key set exceeds ``limit`` rows.
+def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None = None) -> int:
+    """0 when every group of every key set fits one task, else the number of slices to cut.
 
     Counting rows first settles small tables; otherwise one pre-aggregated
     count per key set does, and only the largest count reaches the driver.
     """
     limit = HOT_ROWS if limit is None else limit
-    if df.count() <= limit:
-        return True
-    if any(not keys for keys in key_sets):
-        return False
-    sizes = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-             for keys in key_sets]
-    largest = reduce(DataFrame.unionAll, sizes).agg(F.max("n")).first()[0]
-    return (largest or 0) <= limit
-
-
-def into_slices(df: DataFrame, order: list[Column]) -> DataFrame:
+    total = df.count()
+    if total <= limit:
+        return 0
+    if all(key_sets):
+        sizes = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+                 for keys in key_sets]
+        if reduce(DataFrame.unionAll, sizes).agg(F.max("n")).first()[0] <= limit:
+            return 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // HOT_ROWS + 1)
+
+
+def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
     """Globally sorted rows stored with the slice and position they landed in.
 
-    The order must end in a unique key: then one huge tie still splits.
+    The number of slices is explicit, so that AQE does not merge them.
+
+    Ties of ``order`` are broken by all other columns and then by the row's
+    place in the input, so that even a huge group of copies splits into slices.
+    (Only equal rows ever depend on their place, and swapping those changes nothing.)
     """
-    where = F.monotonically_increasing_id()
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rest = [F.col(f"`{c}`") for c, kind in kinds.items() if "map<" not in kind and kind != "variant"]
+    here = F.monotonically_increasing_id()
+    keys = [*order, *rest, F.col("_tie")]
     placed = (
-        df.sort(*order)
-        .withColumn(_POS, where)
+        df.withColumn("_tie", here)
+        .repartitionByRange(slices, *keys).sortWithinPartitions(*keys).drop("_tie")
+        .withColumn(_POS, here)
         .withColumn(_SLICE, F.shiftright(F.col(_POS), 33))
         .withColumn(_POS, F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1)))
     )
@@ -93,14 +102,15 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
     One global sort serves all of them: the rank inside a key is the local rank
     in the slice plus the key's rows in earlier slices.
     """
-    if fits_one_task(df, list(ranks.values()), hot_rows):
+    slices = slices_needed(df, list(ranks.values()), hot_rows)
+    if not slices:
         return df.withColumns({
             out: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
             for out, keys in ranks.items()
         })
-    sliced = into_slices(df, order)
+    sliced = into_slices(df, order, slices)
     # clustering by slice satisfies every (slice, key) window below
-    placed = sliced.repartition(_SLICE)
+    placed = sliced.repartition(slices, _SLICE)
     for i, (out, keys) in enumerate(ranks.items()):
         offset = f"_before{i}"
         local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))
@@ -113,11 +123,12 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
 def row_number(df: DataFrame, keys: list[str], order: list[Column], out: str = "row_number",
                hot_rows: int | None = None) -> DataFrame:
     """ROW_NUMBER within ``keys`` (or over everything) for groups of any size."""
-    if fits_one_task(df, [keys], hot_rows):
+    slices = slices_needed(df, [keys], hot_rows)
+    if not slices:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     # sorting by key first leaves at most one continued key per slice
-    sliced = into_slices(df, [asc(k) for k in keys] + order)
+    sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
     local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))
     placed = _attach(sliced.withColumn(out, local.cast("bigint")),
                      _earlier(sliced, keys, F.count(F.lit(1)), "_before"), keys, "_before")
@@ -128,10 +139,11 @@ def row_number(df: DataFrame, keys: list[str], order: list[Column], out: str = "
 def exclusive_sum(df: DataFrame, keys: list[str], order: list[Column], amount: str, out: str,
                   hot_rows: int | None = None) -> DataFrame:
     """Running total of ``amount`` over the rows before the current one (0 for the first)."""
-    if fits_one_task(df, [keys], hot_rows):
+    slices = slices_needed(df, [keys], hot_rows)
+    if not slices:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
-    sliced = into_slices(df, [asc(k) for k in keys] + order)
+    sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
     w = Window.partitionBy(_SLICE, *keys).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
     placed = _attach(sliced.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0))),
                      _earlier(sliced, keys, F.sum(amount), "_before"), keys, "_before")
@@ -142,9 +154,10 @@ def exclusive_sum(df: DataFrame, keys: list[str], order: list[Column], amount: s
 def _neighbour(df: DataFrame, value: str, out: str, keys: list[str], order: list[Column],
                ahead: bool, hot_rows: int | None) -> DataFrame:
     step = F.lead if ahead else F.lag
-    if fits_one_task(df, [keys], hot_rows):
+    slices = slices_needed(df, [keys], hot_rows)
+    if not slices:
         return df.withColumn(out, step(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    sliced = into_slices(df, [asc(k) for k in keys] + order)
+    sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
     inside = Window.partitionBy(_SLICE, *keys).orderBy(_POS)
     placed = sliced.withColumn(out, step(value).over(inside)).withColumn("_edge", step(_POS).over(inside).isNull())
     # the row next to a border sits in the nearest slice that holds the same key

@@ -42,7 +42,7 @@ def shared_joins(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
 def intermediate_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "int_title_genres": I.title_genres(stg["stg_titles"]), "int_title_complete": shared["complete"],
-        "int_filmography": I.filmography(stg["stg_people"], stg["stg_credits"], stg["stg_titles"], stg["stg_ratings"]),
+        "int_filmography": I.filmography(stg["stg_people"], stg["stg_credits"], shared["complete"]),
         "int_hierarchy": I.hierarchy(shared["episodes"]),
     }
 
@@ -51,7 +51,7 @@ def mart_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame], hot_row
     complete, rows = shared["complete"], shared["episodes"]
     return {
         "mart_titles": M.title_mart(complete, hot_rows),
-        "mart_people": M.people_mart(stg["stg_people"], stg["stg_credits"], stg["stg_titles"], stg["stg_ratings"]),
+        "mart_people": M.people_mart(stg["stg_people"], stg["stg_credits"], complete),
         "mart_genres": M.genre_mart(complete), "mart_series": M.series_mart(rows),
     }
 

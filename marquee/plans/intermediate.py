@@ -10,6 +10,7 @@ from ..functions.numeric import exact_avg, guarded_ratio
 from ..functions.text import true_only
 from ..operators.joins import parent_child
 from ..operators.reshape import columns_to_ranked_rows
+from ..session import stage
 from . import rulebook as R
 
 GENRE_COLUMNS = ["primary_genre", "secondary_genre", "third_genre"]
@@ -37,17 +38,16 @@ def title_complete(titles: DataFrame, ratings: DataFrame) -> DataFrame:
     })
 
 
-def dated_titles(titles: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Titles with a start year and their rating; both sides keyed by title, joined before any fan-out."""
-    known = titles.where(F.col("start_year").isNotNull()).select("tconst", "primary_title", "start_year", "title_type")
-    return known.join(ratings.select("tconst", "average_rating", "num_votes"), "tconst", "left")
+def filmography(people: DataFrame, credits: DataFrame, title_complete: DataFrame) -> DataFrame:
+    """person x title x role with decade and quality tier.
 
-
-def filmography(people: DataFrame, credits: DataFrame, titles: DataFrame, ratings: DataFrame) -> DataFrame:
-    """person x title x role with decade and quality tier."""
+    Reads rated titles from a stored ``title_complete``: then both sides of
+    either join are plain shuffles, which AQE can split for a hot title or person.
+    """
+    titles = title_complete.where(F.col("start_year").isNotNull()).select(
+        "tconst", "primary_title", "start_year", "title_type", "average_rating", "num_votes")
     rows = (
-        credits.select("nconst", "tconst", F.col("role_category").alias("role"))
-        .join(dated_titles(titles, ratings), "tconst")
+        credits.select("nconst", "tconst", F.col("role_category").alias("role")).join(titles, "tconst")
         .join(people.select("nconst", F.col("primary_name").alias("person_name")), "nconst")
     )
     return rows.select(
@@ -80,10 +80,11 @@ def hierarchy(rows: DataFrame) -> DataFrame:
     """Episode rows (see ``episode_rows``) with their series' totals and classes.
 
     The rows are read twice, for the totals and for the detail: pass a stored
-    table, not the joins.  An episode id is unique, so counting rows counts
+    table, not the joins.  The totals are stored too: small ones are broadcast,
+    otherwise AQE can split a hot series.  An episode id is unique, so counting rows counts
     episodes and the season count is the only distinct aggregate (no row expansion).
     """
-    totals = rows.where(F.col("episode_rating").isNotNull()).groupBy("series_tconst").agg(
+    totals = stage(rows.where(F.col("episode_rating").isNotNull()).groupBy("series_tconst").agg(
         F.max("series_duration_years").alias("series_years"),
         F.count(F.lit(1)).alias("total_episodes"), F.count_distinct("season_number").alias("total_seasons"),
         exact_avg("episode_rating").alias("avg_series_rating"),
@@ -94,7 +95,7 @@ def hierarchy(rows: DataFrame) -> DataFrame:
     ).withColumns({
         "avg_episodes_per_season": guarded_ratio(F.col("total_episodes"), F.col("total_seasons"), 1),
         "rating_spread": F.round("rating_consistency", 10),
-    })
+    }), "series-totals")
     joined = rows.join(totals, "series_tconst", "left").withColumn(
         "rating_gap", F.col("episode_rating") - F.col("avg_series_rating"))
     return joined.select(

@@ -10,7 +10,7 @@ from ..operators.aggregates import with_shares
 from ..operators.ranking import asc, desc, percent_rank, row_numbers
 from ..session import stage
 from . import rulebook as R
-from .intermediate import GENRE_COLUMNS, dated_titles
+from .intermediate import GENRE_COLUMNS
 
 MART_ORDER = {
     "mart_titles": ["weighted_score", "num_votes"],
@@ -63,16 +63,18 @@ def title_mart(title_complete: DataFrame, hot_rows: int | None = None) -> DataFr
         F.col("performance_tier").isin(R.PREMIUM_TIERS).alias("is_premium_content"))
 
 
-def people_mart(people: DataFrame, credits: DataFrame, titles: DataFrame, ratings: DataFrame) -> DataFrame:
+def people_mart(people: DataFrame, credits: DataFrame, title_complete: DataFrame) -> DataFrame:
     """Careers of persons with enough titles.
 
     Credits meet their title first (one shuffle on the title), shrink to one
     row per person and title in place, and only those partial careers travel to
     the person; names are joined last, to finished careers.  Ratings and votes
-    weigh in once per credit row, titles count once.
+    weigh in once per credit row, titles count once.  Pass a stored
+    ``title_complete``: AQE splits a hot title only between two plain shuffles.
     """
+    titles = title_complete.where(F.col("start_year").isNotNull())
     rows = credits.select("nconst", "tconst", F.col("role_category").alias("role")).join(
-        dated_titles(titles, ratings).select("tconst", "start_year", "average_rating", "num_votes"), "tconst")
+        titles.select("tconst", "start_year", "average_rating", "num_votes"), "tconst")
     works = rows.groupBy("nconst", "tconst").agg(
         F.count(F.lit(1)).alias("n"), F.max("start_year").alias("start_year"),
         F.max("average_rating").alias("average_rating"), F.max("num_votes").alias("num_votes"),

@@ -220,16 +220,32 @@ def stg(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return build(raw(spark, sf, f"raw_{extract}"))
 
 
-def complete(spark, sf):
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark, sf, name: str, build) -> DataFrame:
+    """A join several tables read, written once per session and folder (as ``plans.build`` does)."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stored:
+        _stored[key] = stage(build(), name)
+    return _stored[key]
+
+
+def join_ratings(spark, sf):
     return I.title_complete(stg(spark, sf, "stg_titles"), stg(spark, sf, "stg_ratings"))
 
 
-def filmography(spark, sf):
-    return I.filmography(*[stg(spark, sf, n) for n in ("stg_people", "stg_credits", "stg_titles", "stg_ratings")])
+def complete(spark, sf):
+    return stored(spark, sf, "title-complete", lambda: join_ratings(spark, sf))
 
 
 def episode_rows(spark, sf):
-    return I.episode_rows(*[stg(spark, sf, n) for n in ("stg_episodes", "stg_titles", "stg_ratings")], as_of=AS_OF)
+    sources = [stg(spark, sf, n) for n in ("stg_episodes", "stg_titles", "stg_ratings")]
+    return stored(spark, sf, "episode-rows", lambda: I.episode_rows(*sources, as_of=AS_OF))
+
+
+def filmography(spark, sf):
+    return I.filmography(stg(spark, sf, "stg_people"), stg(spark, sf, "stg_credits"), complete(spark, sf))
 
 
 def title_mart(spark, sf, hot_rows=None):
@@ -237,7 +253,7 @@ def title_mart(spark, sf, hot_rows=None):
 
 
 def people_mart(spark, sf):
-    return M.people_mart(*[stg(spark, sf, n) for n in ("stg_people", "stg_credits", "stg_titles", "stg_ratings")])
+    return M.people_mart(stg(spark, sf, "stg_people"), stg(spark, sf, "stg_credits"), complete(spark, sf))
 
 
 def genre_mart(spark, sf):
@@ -252,8 +268,8 @@ STAGING = ["stg_titles", "stg_people", "stg_directors", "stg_writers", "stg_epis
 TABLES = {
     **{name: partial(lambda n, spark, sf: stg(spark, sf, n), name) for name in STAGING},
     "int_title_genres": lambda spark, sf: I.title_genres(stg(spark, sf, "stg_titles")),
-    "int_title_complete": complete, "int_filmography": filmography,
-    "int_hierarchy": lambda spark, sf: I.hierarchy(stage(episode_rows(spark, sf), "episode-rows")),
+    "int_title_complete": join_ratings, "int_filmography": filmography,
+    "int_hierarchy": lambda spark, sf: I.hierarchy(episode_rows(spark, sf)),
     "mart_titles": title_mart, "mart_people": people_mart, "mart_genres": genre_mart, "mart_series": series_mart,
 }
 

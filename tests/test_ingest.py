@@ -23,7 +23,7 @@ def write_gz(path, *lines):
     return str(path)
 
 
-def test_seven_datasets():
+def test_seven_datasets(spark):
     assert {n: len(d.columns) for n, d in DATASETS.items()} == {
         "title_basics": 9, "title_akas": 8, "title_ratings": 3, "name_basics": 6, "title_crew": 3, "title_episode": 4, "title_principals": 6}
 

@@ -215,8 +215,7 @@ def test_people_mart_counts_titles_once_but_weighs_credit_rows(spark, tables):
     twice = spark.createDataFrame([("s1", "n1", "actor"), ("s1", "n1", "writer"), ("m3", "n1", "actor"), ("m2", "n1", "actor")],
                                   "tconst string, nconst string, role_category string")
     raw_people = spark.createDataFrame([("n1", "Ann")], "nconst string, primary_name string")
-    titles = tables["stg_titles"]
-    got = M.people_mart(raw_people, twice, titles, tables["stg_ratings"]).first()
+    got = M.people_mart(raw_people, twice, tables["int_title_complete"]).first()
     assert got["total_credits"] == 3 and got["total_audience_reach"] == 20000 + 2 * 100
     assert got["avg_project_rating"] == pytest.approx((8.0 + 7.0 + 7.0) / 3)
 
@@ -264,3 +263,24 @@ def test_build_writes_tables_and_views(spark, raw, tmp_path):
     assert len(out) == 15
     assert out["mart_people"].count() == 1 and spark.table("int_title_genres").count() > 0
     assert sorted(p.name for p in (tmp_path / "layers").iterdir()) == sorted(B.LAYOUT)
+
+
+def test_hot_title_is_split(spark, tables):
+    """One title holds most credits: AQE deals its partition over several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}
+    credits = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 8, "m3").otherwise(F.concat(F.lit("e"), (F.col("id") % 7 + 1).cast("string"))).alias("tconst"),
+        F.concat(F.lit("p"), (F.col("id") % 900).cast("string")).alias("nconst"), F.lit("actor").alias("role_category")).repartition(6)
+    people = credits.select("nconst", F.col("nconst").alias("primary_name")).distinct()
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for df in (I.filmography(people, credits, tables["int_title_complete"]),
+                   M.people_mart(people, credits, tables["int_title_complete"])):
+            df.collect()
+            assert "skew=true" in plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -72,6 +72,14 @@ def test_running_total_before_the_row(skewed, keys):
     assert same(K.exclusive_sum(skewed, keys, [K.asc("id")], "v", "s", hot_rows=0), plain)
 
 
+def test_a_huge_group_of_copies_splits_into_slices(spark):
+    copies = spark.range(4000).select(F.lit(1).alias("v"), F.lit("x").alias("k"))
+    sizes = [r[0] for r in K.into_slices(copies, [K.asc("v")], 4).groupBy("_slice").count().select("count").collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
+    assert rows(K.row_number(copies, ["k"], [K.asc("v")], "rn", hot_rows=0), F.max("rn"), F.count_distinct("rn")) == [(4000, 4000)]
+    assert K.lag(copies, "v", "p", [K.asc("v")], hot_rows=0).where("p is null").count() == 1
+
+
 def test_empty_input(spark):
     none = spark.createDataFrame([], "id int, k string, v int")
     assert K.row_number(none, ["k"], order(), hot_rows=0).count() == 0
