@@ -72,17 +72,17 @@ def with_shares(df: DataFrame, shares: dict[str, str], scale: int = 4) -> DataFr
         out: share(amount, totals.select(out).scalar(), scale) for out, amount in shares.items()})
 
 
-def value_frequencies(df: DataFrame, column: str, where: str | None = None,
-                      limit: int | None = None) -> DataFrame:
-    """(value, num_rows), most frequent first, ties by value."""
+def value_frequencies(df: DataFrame, column: str, where: str | None = None, limit: int | None = None,
+                      order_by: list[Column] | None = None) -> DataFrame:
+    """(value, num_rows), by default most frequent first, ties by value."""
     rows = df.where(where) if where else df
     out = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("num_rows"))
-    out = out.orderBy(F.desc("num_rows"), F.asc_nulls_last("value"))
+    out = out.orderBy(*(order_by or []), F.desc("num_rows"), F.asc_nulls_last("value"))
     return out.limit(limit) if limit is not None else out
 
 
 def column_values(df: DataFrame | None, column: str, where: str | None = None, limit: int | None = None,
-                  default: list | None = None, at_most: int = 10_000) -> list:
+                  default: list | None = None, at_most: int = 10_000, order_by: list[Column] | None = None) -> list:
     """Distinct values as a list, for naming columns.
 
     ``df=None`` stands for a table that does not exist.  More than ``at_most``
@@ -93,7 +93,7 @@ def column_values(df: DataFrame | None, column: str, where: str | None = None, l
         if default is None:
             raise ValueError("no such table and no default value")
         return default
-    found = [r[0] for r in value_frequencies(df, column, where, limit).select("value").take(at_most + 1)]
+    found = [r[0] for r in value_frequencies(df, column, where, limit, order_by).select("value").take(at_most + 1)]
     if len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} distinct values")
     return found or (default if default is not None else [])

@@ -72,17 +72,20 @@ def join_group_totals(df: DataFrame, keys: list[str], *aggs: Column) -> DataFram
 
 
 def compare_counts(a: DataFrame, b: DataFrame, group_by: list[str] = ()) -> DataFrame:
-    """Row counts of two tables side by side, per group (full outer join of two small aggregates).
+    """Row counts of two tables side by side, per group (full outer join of two aggregates).
 
-    Group keys match by plain equality, so a NULL group stays one-sided.
+    Group keys match by plain equality, so a NULL group stays one-sided; a side
+    without rows has a NULL count.
     """
-    keys = list(group_by)
+    keys, n = list(group_by), F.count(F.lit(1)).alias("n")
+    if not keys:
+        one, other = a.agg(n), b.agg(n)
+        return one.select(F.nullif("n", F.lit(0)).alias("count_a"), F.nullif(other.scalar(), F.lit(0)).alias("count_b"))
 
     def counted(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"count_{side}")).select(
-            F.lit(1).alias(f"_all_{side}"), *[F.col(k).alias(f"{k}_{side}") for k in keys], f"count_{side}")
+        return df.groupBy(*keys).agg(n).select(*[F.col(k).alias(f"{k}_{side}") for k in keys], F.col("n").alias(f"count_{side}"))
 
-    on = [F.col("_all_a") == F.col("_all_b")] + [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys]
+    on = [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys]
     both = counted(a, "a").join(counted(b, "b"), reduce(lambda x, y: x & y, on), "full")
     return both.select(*[f"{k}_{side}" for k in keys for side in "ab"], "count_a", "count_b")
 

@@ -78,12 +78,19 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def _attach(df: DataFrame, facts: DataFrame, keys: list[str], take: str) -> DataFrame:
-    """Left join of per-(slice, key) facts; broadcast only when counted small."""
+def _attach(df: DataFrame, facts: DataFrame, keys: list[str], take: str, one_per_slice: bool = True) -> DataFrame:
+    """Left join of per-(slice, key) facts.
+
+    In a sort that starts with the keys only one key per slice goes on from an
+    earlier (or into a later) slice, so the facts are at most as many as the
+    slices and can be broadcast.  Otherwise they are counted first.
+    """
     tag = next(_fresh)
     names = {k: f"_k{tag}_{i}" for i, k in enumerate([_SLICE, *keys])}
-    facts = stage(facts.select(*[F.col(k).alias(n) for k, n in names.items()], take), "offsets")
-    if facts.count() <= SMALL_TABLE:
+    facts = facts.select(*[F.col(k).alias(n) for k, n in names.items()], take)
+    if not one_per_slice:
+        facts = stage(facts, "offsets")
+    if one_per_slice or facts.count() <= SMALL_TABLE:
         facts = F.broadcast(facts)
     return df.join(facts, _null_safe(df, facts, list(names.items())), "left").drop(*names.values())
 
@@ -115,7 +122,7 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
         offset = f"_before{i}"
         local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))
         placed = placed.withColumn(out, local.cast("bigint"))
-        placed = _attach(placed, _earlier(sliced, keys, F.count(F.lit(1)), offset), keys, offset)
+        placed = _attach(placed, _earlier(sliced, keys, F.count(F.lit(1)), offset), keys, offset, one_per_slice=False)
         placed = placed.withColumn(out, F.col(out) + F.coalesce(F.col(offset), F.lit(0))).drop(offset)
     return placed.drop(_SLICE, _POS)
 

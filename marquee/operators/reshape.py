@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,17 +18,15 @@ _AGGREGATE = {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max":
 _PER_PASS = 500
 
 
-def _plain_slug(text: str) -> str:
-    kept = "".join("_" if ch in " -" else ch for ch in text.lower())
-    while "__" in kept and "__" not in text:
-        kept = kept.replace("__", "_")
-    kept = "".join(ch for ch in kept if ch == "_" or (ch.isascii() and ch.isalnum()))
+def column_slug(text: str) -> str:
+    """``functions.text.slug`` for a column name."""
+    kept = re.sub("[^a-z0-9_]", "", re.sub("[ -]+", "_", text.lower()))
     return f"_{kept}" if kept[:1].isdigit() else kept
 
 
 def pivot_columns(column: str, values: list, agg: str = "sum", cmp: str = "=", prefix: str = "",
                   suffix: str = "", then_value=1, else_value=0, distinct: bool = False,
-                  slugify: bool = False) -> list[Column]:
+                  slugify: bool = False, alias: bool = True) -> list[Column]:
     """One conditional aggregate per value; absent values give the else value, not NULL."""
     out = []
     for v in values:
@@ -37,7 +36,7 @@ def pivot_columns(column: str, values: list, agg: str = "sum", cmp: str = "=", p
         else:
             case = _AGGREGATE[agg](case)
         name = f"{prefix}{v}{suffix}"
-        out.append(case.alias(_plain_slug(name) if slugify else name))
+        out.append(case.alias(column_slug(name) if slugify else name) if alias else case)
     return out
 
 

@@ -60,6 +60,14 @@ def tsv_rejects(spark, sf):
     return tsv.scan_with_rejects(spark, path, dataset)[1]
 
 
+@query("csv_seed", "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer")
+def csv_seed(spark, sf):
+    """A CSV with a header, read with declared types."""
+    path, rows = scratch_path(spark, "seed"), table(spark, sf, "customer")
+    rows.write.option("header", True).csv(path)
+    return rounded(tsv.read_seed(spark, path, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"))
+
+
 @query("header_check", """
 SELECT 'title_crew' AS dataset, true AS ok, 3 AS column_count UNION ALL SELECT 'title_ratings', false, 3""")
 def header_check(spark, sf):

@@ -11,7 +11,7 @@ from ..functions.ladder import steps
 from ..operators import generators as G
 from ..operators import reshape as P
 from ..operators.aggregates import column_values
-from ..operators.columns import blanks_to_null
+from ..operators.columns import blanks_to_null, with_audit
 from ..plans import rulebook as R
 from ..plans.marts import weighted_score
 from ..plans.staging import credit_key
@@ -144,6 +144,32 @@ def nullcheck(spark, sf):
     return blanks_to_null(raw(spark, sf, "raw_title_crew"))
 
 
+@query("text_cleanup", """
+SELECT doc_id, lower(trim(source)) AS source, length(trim(text)) AS trimmed_length, coalesce(nullif(lang, ''), 'unknown') AS lang FROM documents""")
+def text_cleanup(spark, sf):
+    return table(spark, sf, "documents").select(
+        "doc_id", F.lower(F.trim("source")).alias("source"), F.length(F.trim("text")).cast("bigint").alias("trimmed_length"),
+        X.default_text("lang", "unknown").alias("lang"))
+
+
+@query("casts", """
+SELECT p_partkey, cast(p_size AS varchar) AS size_text, cast(p_retailprice AS decimal(18,2))::double AS price,
+  try_cast(p_brand AS integer) AS no_number, CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END AS big, greatest(p_size, 10) AS at_least_10,
+  least(p_size, 10) AS at_most_10 FROM part""")
+def casts(spark, sf):
+    size = F.col("p_size")
+    return rounded(table(spark, sf, "part").select(
+        "p_partkey", size.cast("string").alias("size_text"), F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
+        F.col("p_brand").try_cast("int").alias("no_number"), (size > 25).cast("string").alias("big"),
+        F.greatest(size, F.lit(10)).alias("at_least_10"), F.least(size, F.lit(10)).alias("at_most_10")))
+
+
+@query("audit_columns", "SELECT o_orderkey, '2025-01-01' AS batch_date, 'run-7' AS run_id, true AS is_loaded FROM orders")
+def audit_columns(spark, sf):
+    rows = with_audit(table(spark, sf, "orders").select("o_orderkey"), "2025-01-01", "run-7")
+    return rows.withColumn("is_loaded", F.col("loaded_at").isNotNull()).drop("loaded_at")
+
+
 # --- numbers and dates -------------------------------------------------------------------------------
 
 

@@ -58,6 +58,7 @@ def load_dataset(spark: SparkSession, source: str, dataset: Dataset, table_path:
     rows are written.  The new version is published only when every file had
     its header and as many rows arrived as lines were read; the manifest is
     written last, so a failed load leaves table and manifest as they were.
+    Fewer files than cores are spread out before the write.
     """
     known = manifest.read() if manifest else None
     listing = list_files(spark, source, dataset.name)
@@ -70,6 +71,8 @@ def load_dataset(spark: SparkSession, source: str, dataset: Dataset, table_path:
     raw = lines(spark, source).observe(
         seen, F.count_if(is_header(dataset)).alias("headers"), F.count_if(~is_header(dataset)).alias("rows"))
     rows = parse(raw, dataset)
+    if partitions is None and files < spark.sparkContext.defaultParallelism:
+        partitions = spark.sparkContext.defaultParallelism
     if partitions:
         rows = rows.repartition(partitions)   # gzip gives one partition per file
     table = VersionedTable(spark, table_path)

@@ -132,6 +132,7 @@ def test_column_values(spark):
     assert A.column_values(df, "field") == ["g", "a", "b", "c", "d", "e", "f"]
     assert A.column_values(df, "field", where="condition = 'left'") == ["g", "a", "c", "e"]
     assert A.column_values(df, "field", limit=1) == ["g"]
+    assert A.column_values(df, "field", limit=2, order_by=[F.desc("value")]) == ["g", "f"]
     assert A.column_values(None, "field", default=["x"]) == ["x"]
     with pytest.raises(ValueError):
         A.column_values(None, "field")
@@ -182,6 +183,8 @@ def test_pivot(spark):
     assert out.columns == ["size", "red", "blue", "blues"] and rows(out) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
     with pytest.raises(ValueError):
         P.pivot(df, ["size"], "color", list(range(501)))
+    assert "red" not in df.groupBy("size").agg(*P.pivot_columns("color", ["red"], alias=False)).columns
+    assert [P.column_slug(t) for t in ("a - b__c!", "1x")] == ["a_b__c", "_1x"]
 
 
 CUSTOMERS = [(123, "2017-01-01", "active", "tier 1", "name 1"), (234, "2017-02-01", "active", "tier 3", "name 3"), (567, "2017-03-01", "churned", "tier 2", "name 2")]

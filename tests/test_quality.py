@@ -100,6 +100,9 @@ def test_row_counts(spark):
     # a group that one side lacks counts 0 unless strict
     assert C.equal_rowcount(df, df.where("field = 1"), ["field"]).selectExpr(total).first().n == 0
     assert C.equal_rowcount(df, df.where("field = 1"), ["field"], strict=True).selectExpr(total).first().n == 1
+    none = df.where("false")
+    assert C.equal_rowcount(df, none).selectExpr(total).first().n == 0
+    assert C.equal_rowcount(df, none, strict=True).selectExpr(total).first().n == 3
     one = frame(spark, [(1, 1), (1, 2), (1, 3)], "col_a int, f int")
     four = one.union(frame(spark, [(1, 4)], "col_a int, f int"))
     delta = "sum(row_count_delta) n"

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from helpers import plan
 
 import __spark_entry__ as entry
 
@@ -39,6 +40,9 @@ def duck(small):
 def test_query_equals_its_sql(spark, duck, small, name):
     df = QUERIES[name](spark, small)
     got = df.collect()
+    text = plan(df)
+    # no pairwise joins, no row-at-a-time or Arrow Python in any plan
+    assert not [op for op in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "Arrow") if op in text]
     if name not in ORACLES:
         return
     result = duck.execute(ORACLES[name])
