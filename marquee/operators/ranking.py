@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-HOT_ROWS = 2_000_000     # rows one window task may be given
+HOT_ROWS = 500_000       # rows of one group a window task may be given
+WHOLE_ROWS = 100_000     # rows of a whole table a window task may be given
 SMALL_TABLE = 500_000    # narrow rows that may be broadcast after being counted
 
 _SLICE, _POS = "_slice", "_pos"
@@ -41,14 +42,15 @@ def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None =
     """
     limit = HOT_ROWS if limit is None else limit
     total = df.count()
-    if total <= limit:
+    if total <= (limit if all(key_sets) else min(limit, WHOLE_ROWS)):
         return 0
     if all(key_sets):
         sizes = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
                  for keys in key_sets]
         if reduce(DataFrame.unionAll, sizes).agg(F.max("n")).first()[0] <= limit:
             return 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // HOT_ROWS + 1)
+    # several slices per task even out where the slices land
+    return max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // HOT_ROWS + 1)
 
 
 def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
@@ -58,8 +60,11 @@ def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
 
     Ties of ``order`` are broken by all other columns and then by the row's
     place in the input, so that even a huge group of copies splits into slices.
-    (Only equal rows ever depend on their place, and swapping those changes nothing.)
+    Places must be the same in every attempt of a task, so rows that come out
+    of a shuffle are stored first (which also computes them only once).
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        df = stage(df, "unsliced")
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rest = [F.col(f"`{c}`") for c, kind in kinds.items() if "map<" not in kind and kind != "variant"]
     here = F.monotonically_increasing_id()
@@ -117,7 +122,7 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
         })
     sliced = into_slices(df, order, slices)
     # clustering by slice satisfies every (slice, key) window below
-    placed = sliced.repartition(slices, _SLICE)
+    placed = sliced.repartition(max(slices // 4, 1), _SLICE)
     for i, (out, keys) in enumerate(ranks.items()):
         offset = f"_before{i}"
         local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))

@@ -75,14 +75,17 @@ def people_mart(people: DataFrame, credits: DataFrame, title_complete: DataFrame
     titles = title_complete.where(F.col("start_year").isNotNull())
     rows = credits.select("nconst", "tconst", F.col("role_category").alias("role")).join(
         titles.select("tconst", "start_year", "average_rating", "num_votes"), "tconst")
-    works = rows.groupBy("nconst", "tconst").agg(
-        F.count(F.lit(1)).alias("n"), F.max("start_year").alias("start_year"),
-        F.max("average_rating").alias("average_rating"), F.max("num_votes").alias("num_votes"),
-        *[F.max(F.when(F.col("role") == r, 1).otherwise(0)).alias(f"is_{r}") for r in R.CAREER_ROLES],
-    ).withColumns({"work_decade": R.WORK_DECADE.column(), "work_quality_tier": R.WORK_QUALITY.column()})
-
-    def having(column: str, value: str, name: str) -> Column:
-        return F.count_if(F.col(column) == value).alias(name)
+    bit = {r: 1 << i for i, r in enumerate(R.CAREER_ROLES)}
+    role_bits = F.lit(0)
+    for r, b in bit.items():
+        role_bits = F.when(F.col("role") == r, b).otherwise(role_bits)
+    # the title's own columns depend on its id: as keys they need no aggregation buffer
+    works = rows.groupBy("nconst", "tconst", "start_year", "average_rating", "num_votes").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or(role_bits).alias("roles"))
+
+    def within(column: str, low: int, high: int | None) -> Column:
+        c = F.col(column)
+        return (c >= low) if high is None else (c >= low) & (c < high)
 
     tenths = (F.col("average_rating") * 10).cast("bigint") * F.col("n")
     careers = works.groupBy("nconst").agg(
@@ -90,13 +93,12 @@ def people_mart(people: DataFrame, credits: DataFrame, title_complete: DataFrame
         F.count(F.lit(1)).alias("total_credits"),
         # start_year lies within TITLE_YEARS, so the set is small
         F.size(F.collect_set("start_year")).cast("bigint").alias("active_years"),
-        *[F.sum(f"is_{r}").alias(f"{r}_credits") for r in R.CAREER_ROLES],
+        *[F.count_if(F.col("roles").bitwiseAND(b) != 0).alias(f"{r}_credits") for r, b in bit.items()],
         F.sum(tenths).alias("_tenths"), F.sum(F.when(F.col("average_rating").isNotNull(), F.col("n"))).alias("_rated"),
         F.max("average_rating").alias("highest_rated_work"),
         F.sum(F.col("num_votes") * F.col("n")).alias("total_audience_reach"),
-        *[having("work_decade", d, f"works_{d}") for d in ("2020s", "2010s", "2000s", "1990s")],
-        having("work_quality_tier", "High Quality", "high_quality_works"),
-        having("work_quality_tier", "Good Quality", "good_quality_works"),
+        *[F.count_if(within("start_year", *span)).alias(name) for name, span in R.COUNTED_ERAS.items()],
+        *[F.count_if(within("average_rating", *span)).alias(name) for name, span in R.COUNTED_QUALITY.items()],
     ).where(F.col("total_credits") >= R.MIN_CAREER_CREDITS)
     held = [F.when(F.col(f"{r}_credits") > 0, 1).otherwise(0) for r in R.CAREER_ROLES]
     named = careers.join(people.select("nconst", F.col("primary_name").alias("person_name")), "nconst").withColumns({

@@ -76,6 +76,9 @@ ACTIVITY = rules(
     ("works_2010s >= greatest(works_2000s, works_1990s)", "Peak 2010s"),
     ("works_2000s >= works_1990s", "Peak 2000s"), ("works_1990s > 0", "Legacy Era"), default="Varied Activity")
 MIN_CAREER_CREDITS = 3
+# the rungs of WORK_DECADE and WORK_QUALITY a career counts, as [from, below)
+COUNTED_ERAS = {"works_2020s": (2020, None), "works_2010s": (2010, 2020), "works_2000s": (2000, 2010), "works_1990s": (1990, 2000)}
+COUNTED_QUALITY = {"high_quality_works": (8, None), "good_quality_works": (7, 8)}
 
 # --- fixed values: episode and series ladders -------------------------------------------
 LONGEVITY_CLASS = steps("series_years", ">=", [

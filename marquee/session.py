@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every plan in this package relies on.  Skewed join
-# partitions are split by AQE even when that costs one more exchange.
+# partitions are split by AQE even when that costs one more exchange; a join
+# skips its sorts when AQE has seen that every build partition is small.
 RUNTIME_CONF = {
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "96MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

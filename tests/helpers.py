@@ -25,4 +25,8 @@ def plan(df) -> str:
 def single_task_sort(df) -> bool:
     """TRUE when the plan sorts unaggregated rows in one task, as a window without keys does."""
     lines = plan(df).splitlines()
-    return any("Exchange SinglePartition" in below and "Sort [" in above for above, below in zip(lines, lines[1:]))
+    for i, line in enumerate(lines[:-1]):
+        if "Sort [" in line and "Exchange SinglePartition" in lines[i + 1]:
+            if not any("Aggregate(" in below for below in lines[i + 2:i + 5]):
+                return True
+    return False
