@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import consumers, intermediate as I, marts as M, rulebook as R, staging as S
-from ..session import stage
+from ..session import stage_once
 from ..sources.catalogue import raw
 from .core import AS_OF, VIEWS, query, rounded
 
@@ -220,28 +220,18 @@ def stg(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return build(raw(spark, sf, f"raw_{extract}"))
 
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def stored(spark, sf, name: str, build) -> DataFrame:
-    """A join several tables read, written once per session and folder (as ``plans.build`` does)."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _stored:
-        _stored[key] = stage(build(), name)
-    return _stored[key]
-
-
 def join_ratings(spark, sf):
     return I.title_complete(stg(spark, sf, "stg_titles"), stg(spark, sf, "stg_ratings"))
 
 
 def complete(spark, sf):
-    return stored(spark, sf, "title-complete", lambda: join_ratings(spark, sf))
+    """The join with ratings, stored once as ``plans.build`` does."""
+    return stage_once(spark, (sf, "title-complete"), lambda: join_ratings(spark, sf))
 
 
 def episode_rows(spark, sf):
     sources = [stg(spark, sf, n) for n in ("stg_episodes", "stg_titles", "stg_ratings")]
-    return stored(spark, sf, "episode-rows", lambda: I.episode_rows(*sources, as_of=AS_OF))
+    return stage_once(spark, (sf, "episode-rows"), lambda: I.episode_rows(*sources, as_of=AS_OF))
 
 
 def filmography(spark, sf):

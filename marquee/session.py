@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime SQL settings every plan in this package relies on.  Skewed join
 # partitions are split by AQE even when that costs one more exchange; a join
@@ -78,3 +80,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_once: dict[tuple, tuple[str, StructType]] = {}
+
+
+def stage_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stage`` with a name: the first call writes, later calls of the application read.
+
+    A table that has since been cleaned up is written again.
+    """
+    full = (spark.sparkContext.applicationId, *key)
+    if full in _once:
+        path, schema = _once[full]
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+            return spark.read.schema(schema).parquet(path)
+    df, path = build(), scratch_path(spark, key[-1])
+    df.write.parquet(path)
+    _once[full] = (path, df.schema)
+    return spark.read.schema(df.schema).parquet(path)

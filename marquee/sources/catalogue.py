@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import stage
+from ..session import stage_once
 
 _GENRES = "'Action,Comedy,Drama,Crime,Horror,Sci-Fi,Romance,Family'"
 _ROLES = "'actor,Actress,director,writer,producer,cinematographer,composer,editor,self,archive_footage'"
@@ -84,17 +84,13 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(CATALOGUE_SQL[name])
 
 
-_loaded: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw extract as a loaded table, written once per session and folder.
 
     A source of few files is spread out first, as a load of one gzip file must be.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _loaded:
+    def load() -> DataFrame:
         rows, tasks = derived(spark, sf_dir, name), spark.sparkContext.defaultParallelism
-        few = len(rows.inputFiles()) < tasks
-        _loaded[key] = stage(rows.repartition(tasks) if few else rows, name)
-    return _loaded[key]
+        return rows.repartition(tasks) if len(rows.inputFiles()) < tasks else rows
+
+    return stage_once(spark, (sf_dir, name), load)

@@ -8,7 +8,7 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from marquee.operators.upsert import VersionedTable, incremental_batch, upsert
-from marquee.session import scratch_path, scratch_root
+from marquee.session import scratch_path, scratch_root, stage_once
 from marquee.sources import layout, load, tsv
 from marquee.sources.datasets import DATASETS, Dataset
 from marquee.streaming import ingest
@@ -126,10 +126,10 @@ def test_layout(spark, small, tmp_path):
     back = spark.read.parquet(str(tmp_path / "sorted"))
     assert back.count() == orders.count() and len(back.inputFiles()) == 3
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)]" in plan(back.where("o_orderstatus = 'P'"))
-    for name, key in (("b_orders", "o_custkey"), ("b_customer", "c_custkey")):
-        layout.write_bucketed(spark.read.parquet(f"{small}/{name[2:]}.parquet"), name, [key], 4)
+    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        layout.write_bucketed(spark.read.parquet(f"{small}/{name}.parquet"), f"{name}_by_key", [key], 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    joined = spark.table("b_orders").join(spark.table("b_customer"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = spark.table("orders_by_key").join(spark.table("customer_by_key"), F.col("o_custkey") == F.col("c_custkey"))
     text = plan(joined)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in text
@@ -199,3 +199,17 @@ def test_stream_upsert(spark, tmp_path):
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(scratch_root(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_stored_once(spark):
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    first = stage_once(spark, ("here", "three"), build)
+    assert rows(stage_once(spark, ("here", "three"), build)) == [0, 1, 2] and len(calls) == 1
+    gone = spark._jvm.org.apache.hadoop.fs.Path(first.inputFiles()[0]).getParent()
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    assert rows(stage_once(spark, ("here", "three"), build)) == [0, 1, 2] and len(calls) == 2
