@@ -126,10 +126,10 @@ def test_layout(spark, small, tmp_path):
     back = spark.read.parquet(str(tmp_path / "sorted"))
     assert back.count() == orders.count() and len(back.inputFiles()) == 3
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)]" in plan(back.where("o_orderstatus = 'P'"))
-    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
-        layout.write_bucketed(spark.read.parquet(f"{small}/{name}.parquet"), f"{name}_by_key", [key], 4)
+    for name, key, out in (("orders", "o_custkey", "buckets_a"), ("customer", "c_custkey", "buckets_b")):
+        layout.write_bucketed(spark.read.parquet(f"{small}/{name}.parquet"), out, [key], 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    joined = spark.table("orders_by_key").join(spark.table("customer_by_key"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = spark.table("buckets_a").join(spark.table("buckets_b"), F.col("o_custkey") == F.col("c_custkey"))
     text = plan(joined)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in text
