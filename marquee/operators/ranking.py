@@ -20,6 +20,7 @@ from ..session import stage
 
 HOT_ROWS = 500_000       # rows of one group a window task may be given
 WHOLE_ROWS = 100_000     # rows of a whole table a window task may be given
+SLICE_ROWS = 20_000      # rows worth a slice of their own
 SMALL_TABLE = 500_000    # narrow rows that may be broadcast after being counted
 
 _SLICE, _POS = "_slice", "_pos"
@@ -49,8 +50,9 @@ def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None =
                  for keys in key_sets]
         if reduce(DataFrame.unionAll, sizes).agg(F.max("n")).first()[0] <= limit:
             return 0
-    # several slices per task even out where the slices land
-    return max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // HOT_ROWS + 1)
+    # several slices per shuffle task even out where they land, but none for a handful of rows
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(total // HOT_ROWS + 1, min(4 * tasks, total // SLICE_ROWS + 8))
 
 
 def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
@@ -122,7 +124,8 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
         })
     sliced = into_slices(df, order, slices)
     # clustering by slice satisfies every (slice, key) window below
-    placed = sliced.repartition(max(slices // 4, 1), _SLICE)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    placed = sliced.repartition(max(slices // 4, min(slices, cores)), _SLICE)
     for i, (out, keys) in enumerate(ranks.items()):
         offset = f"_before{i}"
         local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))
