@@ -18,7 +18,8 @@ tokens of their 1-prefix and meet each other there: nothing is lost.
 Pairs.  In every token's list all classes are first compared with the least
 one (a star, as many pairs as rows).  Verified links are joined into
 components, and only pairs of *different* components are formed in full,
-with the multi-match count.  A group of thousands of near copies thus costs its size, not its
+with the multi-match count.  Both kinds of pairs first pass a bound from their prefixes, then
+the sets themselves are compared.  A group of thousands of near copies thus costs its size, not its
 square; no link between components is lost.  Verification is exact.
 """
 
@@ -70,7 +71,7 @@ def frequent_shingles(docs: DataFrame, words: int = 5, listed: int = LISTED, mos
 
 
 def prefix(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray, percent: int, hot_from: int = HOT) -> tuple[np.ndarray, int]:
-    """The tokens under which a set is listed, and e (see the module's text)."""
+    """The tokens under which a set is listed, and e (see the module's text); -1 if it is hot nearly all over."""
     n = len(tokens)
     need = -(-percent * n // 100)
     est = np.zeros(n, np.int64)
@@ -85,7 +86,7 @@ def prefix(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray, percent:
     fits = held[n - need + l]
     ok = np.flatnonzero(fits < l)
     if not len(ok):
-        return np.concatenate((tokens[~hot], tokens[:n - need + 1][hot[:n - need + 1]])), 0
+        return np.concatenate((tokens[~hot], tokens[:n - need + 1][hot[:n - need + 1]])), -1
     end = n - need + ok[0] + 1
     cost = est[:end][~hot[:end]].sum()
     e = int(min(MOST_EXTRA, np.log2(1 + cost / 16)))
@@ -113,21 +114,53 @@ def describe(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, words: int
     return docs.mapInPandas(run, "doc_id long, _key long, cls long, n long, e int, prefix array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, tokens) of the documents whose _key is wanted, at most one row for each class.
+def _wanted(table: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows of ``table`` whose ``column`` is in ``wanted``.
 
-    A broadcast table of key buckets (at most BUCKETS rows) keeps most other
-    texts out of the shuffle.
+    A broadcast table of buckets (at most BUCKETS rows) keeps most other rows out of the shuffle.
     """
+    bucket = F.pmod(column, F.lit(BUCKETS)).alias("_bucket")
+    near = table.withColumn("_bucket", bucket).join(F.broadcast(wanted.select(bucket).distinct()), "_bucket", "left_semi").drop("_bucket")
+    return near.join(wanted.select(column), column, "left_semi")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(cls, tokens) of the documents whose _key is wanted, at most one row for each class."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [*shingle_sets(batch["text"], words)]
             yield pd.DataFrame({"cls": [set_digest(s) for s in sets], "tokens": sets})
 
-    bucket = F.pmod("_key", F.lit(BUCKETS)).alias("_bucket")
-    near = docs.withColumn("_bucket", bucket).join(F.broadcast(wanted.select(bucket).distinct()), "_bucket", "left_semi")
-    return near.select("_key", "text").join(wanted.select("_key"), "_key", "left_semi").dropDuplicates(["_key"]) \
-        .select("text").mapInPandas(run, "cls long, tokens array<long>").dropDuplicates(["cls"])
+    return _wanted(docs.select("_key", "text"), wanted, "_key").select("text") \
+        .mapInPandas(run, "cls long, tokens array<long>").dropDuplicates(["cls"])
+
+
+def possible(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs that their listed prefixes do not rule out.
+
+    A prefix holds all tokens of its set, hot ones aside, up to its last one.
+    Up to the lesser of two last tokens, what one prefix has and the other
+    lacks is not shared: that bounds the intersection from above.  Sets that
+    are hot nearly all over are let through.
+    """
+    classes = pairs.selectExpr("explode(array(a, b)) as cls").distinct()
+    mine = _wanted(told.select("cls", "n", "e", "prefix").where("n > 0"), classes, "cls").dropDuplicates(["cls"])
+    one, two = (mine.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("e").alias(f"e{x}"), F.col("prefix").alias(f"p{x}")) for x in "ab")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            for i, (na, ea, x, nb, eb, y) in enumerate(zip(*(batch[c] for c in ("na", "ea", "pa", "nb", "eb", "pb")), strict=True)):
+                if ea < 0 or eb < 0 or not len(x) or not len(y):
+                    continue
+                last = min(x[-1], y[-1])
+                x, y = x[:np.searchsorted(x, last, side="right")], y[:np.searchsorted(y, last, side="right")]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                most = min(na - len(x) + both, nb - len(y) + both)
+                keep[i] = 100 * most >= percent * (na + nb - most)
+            yield batch.loc[keep, ["a", "b"]]
+
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -152,9 +185,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int
     told = stage(describe(keyed, listed, counts, words, percent, hot), "prefixes")
 
     rows = told.where("n > 0").select("cls", "n", "e", F.explode("prefix").alias("token"))
-    repeated = stage(rows.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most"))
-                     .where("least <> most").select("token", "least"), "repeated")
-    lists = stage(rows.select("token", "cls").join(repeated, "token").distinct(), "lists")
+    # one count for each token is all that the large exchange carries; copies are told apart among what is left
+    repeated = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "repeated")
+    met = stage(rows.select("token", "cls").join(repeated, "token").distinct(), "met")
+    several = met.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most")
+    lists = stage(met.join(several.select("token", "least"), "token"), "lists")
 
     sizes = told.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.min("_key").alias("_key"))
     sizes = stage(sizes.join(lists.select("cls").distinct(), "cls", "left_semi"), "classes")
@@ -163,8 +198,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int
 
     star = lists.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
     star = stage(star.join(a, "a").join(b, "b").where(alike).select("a", "b"), "star")
-    sets = stage(_sets(keyed, sizes.join(star.selectExpr("explode(array(a, b)) as cls").distinct(), "cls", "left_semi"), words), "sets")
-    links = stage(verify(star, sets, percent), "links")
+    likely = stage(possible(star, told, percent), "likely")
+    sets = stage(_sets(keyed, sizes.join(likely.selectExpr("explode(array(a, b)) as cls").distinct(), "cls", "left_semi"), words), "sets")
+    links = stage(verify(likely, sets, percent), "links")
 
     roots = components(links)
     placed = lists.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
@@ -176,6 +212,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int
     met = met.groupBy(F.col("clsa").alias("a"), F.col("clsb").alias("b")) \
         .agg(F.count(F.lit(1)).alias("n"), F.first(F.least("ea", "eb")).alias("e")).where("n > e")
     met = stage(met.join(star, ["a", "b"], "left_anti").select("a", "b"), "pairs")
+    met = stage(possible(met, told, percent), "likely")
     more = sizes.join(met.selectExpr("explode(array(a, b)) as cls").distinct(), "cls", "left_semi")
     late = verify(met, _sets(keyed, more, words), percent)
 
