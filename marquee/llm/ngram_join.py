@@ -40,6 +40,7 @@ LISTED = 8            # shingles counted this often are listed with their count
 HOT = 48              # and hot from here on
 MOST_LISTED = 1 << 18  # the list is shipped to every task, so its length is bounded; the rest count as rare
 MOST_EXTRA = 3
+HELD_TOKENS = 1 << 21
 BUCKETS = 1 << 18     # bound of the broadcast pre-filter of documents that need verification
 
 
@@ -50,19 +51,26 @@ def set_digest(tokens: np.ndarray) -> int:
 def frequent_shingles(docs: DataFrame, words: int = 5, listed: int = LISTED, most: int = MOST_LISTED) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and estimated counts of the most frequent shingles, at most ``most``.
 
-    Every batch counts all its documents (equal sets once) and reports what
-    occurs in it twice or more; the counts are only used to estimate costs.
+    Every task counts the sets of some HELD_TOKENS tokens (equal sets once) and
+    reports what occurs among them twice or more; the counts are only used to
+    estimate costs.
     """
+    def told(sets: list[np.ndarray]) -> pd.DataFrame:
+        tokens, n = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)]), return_counts=True)
+        return pd.DataFrame({"token": tokens[n > 1], "n": n[n > 1]})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets, seen, held = [], set(), 0
         for batch in batches:
-            sets, seen = [], set()
             for tokens in shingle_sets(batch["text"], words):
                 if len(tokens) and (d := set_digest(tokens)) not in seen:
                     seen.add(d)
                     sets.append(tokens)
-            if sets:
-                tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pd.DataFrame({"token": tokens[n > 1], "n": n[n > 1]})
+                    held += len(tokens)
+                    if held >= HELD_TOKENS:
+                        yield told(sets)
+                        sets, seen, held = [], set(), 0
+        yield told(sets)
 
     found = docs.select("text").mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")) \
         .where(F.col("n") >= listed).orderBy(F.desc("n"), "token").limit(most).collect()
