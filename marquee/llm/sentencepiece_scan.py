@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from .common import doc_key, stage
 
 CHUNK = 1 << 15       # characters; longer texts are cut
-CACHED = 400_000      # words whose encoding a task keeps
-CACHED_LENGTH = 32
-TOGETHER = 1 << 22    # bytes of text that are encoded at once
+CACHED = 150_000      # words whose encoding a task keeps
+CACHED_LENGTH = 24
+TOGETHER = 1 << 20    # bytes of text that are encoded at once
 NEVER = -np.inf
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
