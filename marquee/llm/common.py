@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-__all__ = ["doc_key", "read", "separator_table", "shingle_sets", "spans_of", "stage", "text_of", "word_arrays"]
+__all__ = ["doc_key", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
 
 GROUP_BYTES = 1 << 18
 
@@ -37,6 +37,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` rows in a batch sent to Python.
+
+    The setting counts rows, and texts can be long: the default of 10,000 of them fills
+    a worker's memory several times over, on both sides of the pipe.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def doc_key(docs: DataFrame) -> DataFrame:
     """doc_id, text and a content key.
 
@@ -44,6 +54,7 @@ def doc_key(docs: DataFrame) -> DataFrame:
     repeated or null still join back row by row; exact repeats of a row share
     their key and get the same result.
     """
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
         .withColumn("_key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import separator_table, text_of, word_arrays
+from .common import separator_table, small_batches, text_of, word_arrays
 
 FEATURES = 1 << 15
 RANK = 128
@@ -223,6 +223,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, answer: str | None = None)
     The items of one pass are bounded (MOST_ITEMS); a larger benchmark is
     dealt into as many blocks as it needs, each compared with all texts.
     """
+    small_batches(docs.sparkSession)
     told = benchmark.where("item_id is not null").select(
         F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"),
         (F.col(answer) if answer else F.lit(None)).cast("string").alias("answer"))

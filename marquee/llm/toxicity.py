@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import small_batches, text_of
 
 SAMPLE_ROWS = 20_000   # at most about this many labelled rows are used for learning
 LEAST_CONTEXTS = 12    # contexts of a term in toxic texts, and toxic texts with it
@@ -183,6 +183,7 @@ def score_documents(docs: DataFrame, terms: dict[str, float]) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame([score(t or "", terms, machine, known) for t in texts], columns=["score", "n_clauses"])
 
+    small_batches(docs.sparkSession)
     scored = F.pandas_udf(run, "score double, n_clauses int")(text_of())
     kept = [c for c in docs.columns if c not in ("score", "predicted", "n_clauses", "_scored")]
     return docs.select(*(F.col(f"`{c}`") for c in kept), scored.alias("_scored")).select(
