@@ -68,11 +68,12 @@ def chunks_of(docs: DataFrame) -> DataFrame:
                 starts += [0, *cuts[:-1]] if cuts else []
                 ends += cuts
                 digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *cuts], cuts, strict=False)]
-            out = pd.DataFrame({"_key": keys, "doc_id": ids, "s": starts, "e": ends, "digest": digests})
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame({"_key": keys, "doc_id": ids, "s": starts, "e": ends, "digest": digests})
 
-    return docs.mapInPandas(run, "_key long, doc_id long, s int, e int, digest binary")
+    # ids travel as text: pandas turns integers with nulls among them into rounded floats
+    told = docs.select("_key", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+        run, "_key long, doc_id string, s int, e int, digest binary")
+    return told.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -122,9 +123,8 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                 rest = b"".join(kept)
                 out.append((doc, len(data), len(cut_points(data)), len(rows), len(data) - len(rest),
                             sorted(int(k) for k in linked if k is not None and k == k), rest.decode()))
-            told = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"])
-            told["doc_id"] = told["doc_id"].astype("Int64")
-            yield told
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"])
 
-    return keyed.join(found, "_key", "left").select("doc_id", "text", "found").mapInPandas(
-        run, "doc_id long, n_bytes long, n_chunks long, n_repeated long, n_removed long, linked array<long>, text string")
+    return keyed.join(found, "_key", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "found").mapInPandas(
+        run, "doc_id string, n_bytes long, n_chunks long, n_repeated long, n_removed long, linked array<long>, text string") \
+        .withColumn("doc_id", F.col("doc_id").cast("long"))

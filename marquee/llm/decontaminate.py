@@ -27,6 +27,7 @@ ITERATIONS = 2
 BLOCK = 16               # words; a window is two blocks
 PASSAGE = 64             # words of an item that make one row; longer items have several, half overlapping
 COMMON = 0.1             # words in more than this share of the documents weigh nothing
+LEAST_RARE = 3           # items with fewer other words have no useful vector: they are compared with all texts that have their words
 COSINE = 0.22
 LCS = 0.7
 ANSWER = 0.6
@@ -127,6 +128,7 @@ class Items:
         self.idf2, self.basis = (idf ** 2).astype(np.float32), (basis * idf[:, None]).astype(np.float32)
         self.known = np.where(np.abs(basis).max(axis=1, initial=0) > 0, self.idf2, np.float32(0))
         self.ids, self.masks, self.lengths, self.answers, self.item, latent = [], [], [], [], [], []
+        self.plain: list[tuple[int, frozenset]] = []
         for item, text, answer in rows:
             words, told = words_of([text, answer])
             if not len(words):
@@ -139,6 +141,8 @@ class Items:
                 distinct = np.unique(words)
                 rare = np.argsort(-idf[features_of(distinct)], kind="stable")
                 told = distinct[rare[:max(3, len(distinct) // 4)]].tolist()
+            if np.count_nonzero(idf[np.unique(features_of(words))]) < LEAST_RARE:
+                self.plain.append((len(self.ids), frozenset(words.tolist())))
             for s in range(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2):
                 at, x = tf_idf(words[s:s + PASSAGE], idf)
                 if (norm := np.linalg.norm(x)) > 0:
@@ -151,19 +155,29 @@ class Items:
         self.latent = np.array(latent, np.float32).reshape(len(latent), basis.shape[1])
 
     def find(self, words: np.ndarray) -> list[tuple[int, float, float]]:
-        """(item, cosine, share of the item's words in common order), each item once.
+        """(item, cosine, share of the item's words in common order), each item once."""
+        best = self._near(words) if len(words) and self.ids else {}
+        if self.plain and len(words):
+            present = set(words.tolist())
+            for i, told in self.plain:
+                m = self.lengths[i]
+                if len(told & present) >= LCS * len(told):
+                    share = max(common_subsequence(self.masks[i], m, words[s:s + 2 * m].tolist()) / m for s in range(0, len(words), m))
+                    if share >= LCS:
+                        best[i] = (best.get(i, (0.0, 0.0))[0], max(share, best.get(i, (0.0, 0.0))[1]))
+        return [(self.ids[i], *best[i]) for i in sorted(best)]
+
+    def _near(self, words: np.ndarray) -> dict[int, tuple[float, float]]:
+        """Cosine and common share of the items found by their vectors.
 
         A window is projected only if the words that the basis knows have enough
         of its weight; else its cosine cannot reach the limit.
         """
-        n = len(words)
-        if not n or not self.ids:
-            return []
         f = features_of(words)
-        cuts = np.arange(0, n, BLOCK)
+        cuts = np.arange(0, len(words), BLOCK)
         weight, known = self.idf2[f], np.flatnonzero(self.known[f])
         if not len(known):
-            return []
+            return {}
         places = known // BLOCK
         first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
         places, f = places[first], f[known]
@@ -173,7 +187,7 @@ class Items:
         part, whole = (part[:-1] + part[1:])[:k], (whole[:-1] + whole[1:])[:k]
         near = np.flatnonzero((whole > 0) & (part >= (SLACK * COSINE) ** 2 * whole))
         if not len(near):
-            return []
+            return {}
         sums = np.zeros((len(cuts) + 1, self.basis.shape[1]), np.float32)
         sums[places] = np.add.reduceat(self.basis[f], first, axis=0)
         cosine = (sums[near] + sums[near + 1]) @ self.latent.T / np.sqrt(whole[near])[:, None]
@@ -193,7 +207,7 @@ class Items:
             if share >= LCS:
                 old = best.get(i, (0.0, 0.0))
                 best[i] = (max(old[0], float(cosine[w, passage])), max(old[1], share))
-        return [(self.ids[i], *best[i]) for i in sorted(best)]
+        return best
 
 
 def _finder(items: Items):

@@ -105,7 +105,7 @@ def prefix(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray, percent:
 
 
 def describe(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, words: int, percent: int, hot: int) -> DataFrame:
-    """Per document: doc_id, _key, class, n and the listed prefix."""
+    """Per document: doc_id, _key, class (0 without shingles), n and the listed prefix."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -114,12 +114,14 @@ def describe(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, words: int
                     tokens_in, e = prefix(tokens, listed, counts, percent, hot)
                     out.append((set_digest(tokens), len(tokens), e, tokens_in))
                 else:
-                    out.append((None, 0, 0, tokens))
+                    out.append((0, 0, 0, tokens))
             got = pd.DataFrame(out, columns=["cls", "n", "e", "prefix"])
-            got["cls"] = got["cls"].astype("Int64")
             yield pd.concat([batch[["doc_id", "_key"]].reset_index(drop=True), got], axis=1)
 
-    return docs.mapInPandas(run, "doc_id long, _key long, cls long, n long, e int, prefix array<long>")
+    # ids travel as text: pandas turns integers with nulls among them into rounded floats
+    told = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "_key", "text") \
+        .mapInPandas(run, "doc_id string, _key long, cls long, n long, e int, prefix array<long>")
+    return told.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _wanted(table: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
@@ -225,7 +227,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int
     late = verify(met, _sets(keyed, more, words), percent)
 
     roots = components(links.unionByName(late))
-    classes = told.select("doc_id", "n", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
+    classes = told.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     classes = stage(classes, "classes")
     least = classes.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -99,6 +99,11 @@ class Vocabulary:
         """No piece has a space behind another character: a word and the spaces before it are solved by themselves."""
         return not any(re.search("[^ ] ", p) for p in self.pieces)
 
+    @cached_property
+    def cut(self) -> re.Pattern:
+        """A place that no piece crosses: a space behind another character."""
+        return re.compile("(?<! ) ")
+
     @cached_property
     def unit(self) -> re.Pattern:
         return re.compile(" *[^ ]+| +") if self.words_alone else re.compile("(?s).+")
@@ -305,43 +310,47 @@ class Encoder:
         flat = np.concatenate([*ids, np.zeros(0, np.int32)])
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(scores)], ["ids", "score"])
 
-    def middle(self, text: str) -> tuple[list[int], float]:
-        """As ``encode``, by whole arrays."""
-        got = self.encode_array(pa.array([text[1:]], pa.string())) if len(text) > 1 and text[0] == " " else None
-        return self.encode(text) if got is None else (got.field("ids").values.to_pylist(), got.field("score")[0].as_py())
-
-    def _parts(self, chunk: str) -> tuple[int, int]:
-        """First cut that no piece crosses and that lies behind every entry state, and the last one; -1: none."""
-        behind = [s for m in self.v.unit.finditer(chunk) if (s := m.start()) >= self.v.longest]
-        return (behind[0], behind[-1]) if behind else (-1, -1)
-
-    def matrix(self, chunk: str, ahead: str) -> np.ndarray:
-        """Scores from every entry state to every exit state; the middle is computed once for all of them."""
+    def middles(self, chunks: list[str]) -> list[tuple[int, int, list[int], float]]:
+        """Of each chunk the first cut that no piece crosses and that lies behind every entry state, the last such
+        cut, and ids and score of what is between them, all chunks together; cuts of -1: there is none."""
+        cuts = [self._cuts(c) for c in chunks]
+        got = self.encode_array(pa.array([c[a + 1:b] if a >= 0 else "" for c, (a, b) in zip(chunks, cuts, strict=True)], pa.string()))
+        ids, scores = got.field("ids").to_pylist(), got.field("score").to_pylist()
+        return [(a, b, i, t) for (a, b), i, t in zip(cuts, ids, scores, strict=True)]
+
+    def _cuts(self, chunk: str) -> tuple[int, int]:
+        first = self.v.cut.search(chunk, self.v.longest) if self.v.words_alone else None
+        if first is None:
+            return -1, -1
+        last = chunk.rfind(" ")
+        while chunk[last - 1] == " ":
+            last -= 1
+        return first.start(), max(last, first.start())
+
+    def matrix(self, chunk: str, ahead: str, first: int, last: int, middle: float) -> np.ndarray:
+        """Scores from every entry state to every exit state; the middle is the same for all of them."""
         size, n, text = self.v.longest, len(chunk), chunk + ahead
         out = np.full((size, size), NEVER)
-        first, last = self._parts(chunk)
         if first < 0:
             for a in range(min(size, n + 1)):
                 tail = self.forward(text, [NEVER] * a + [0.0], n)[0][n:n + size]
                 out[a, :len(tail)] = tail
             return out
-        middle = self.middle(chunk[first:last])[1]
         tail = np.array(self.forward(text[last:], [0.0], n - last)[0][n - last:n - last + size])
         for a in range(size):
             score, _ = self.forward(chunk[:first], [NEVER] * a + [0.0], first)
             out[a, :len(tail)] = score[first] + middle + tail
         return out
 
-    def backtrace(self, chunk: str, ahead: str, entry: int, leave: int) -> list[int]:
+    def backtrace(self, chunk: str, ahead: str, entry: int, leave: int, first: int, last: int, middle: list[int]) -> list[int]:
         """Ids of the pieces that start in a chunk, given the states at its two ends."""
         n, text = len(chunk), chunk + ahead
-        first, last = self._parts(chunk)
         begin = [NEVER] * entry + [0.0]
         if first < 0:
             return self.trace(text, self.forward(text, begin, n)[1], n + leave)[0]
         lead = self.trace(chunk, self.forward(chunk[:first], begin, first)[1], first)[0]
         tail = self.trace(text[last:], self.forward(text[last:], [0.0], n - last)[1], n - last + leave)[0]
-        return lead + self.middle(chunk[first:last])[0] + tail
+        return lead + middle + tail
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -389,8 +398,9 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) ->
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary)
         for b in batches:
+            middles = encoder.middles(b["part"].tolist())
             yield pd.DataFrame({"_key": b["_key"], "i": b["i"], "m": [
-                encoder.matrix(p, a).tobytes() for p, a in zip(b["part"], b["ahead"], strict=True)]})
+                encoder.matrix(p, a, x, y, t).tobytes() for p, a, (x, y, _, t) in zip(b["part"], b["ahead"], middles, strict=True)]})
 
     def scan(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """The best path's states at the cuts of one text: prefix products as vectors, then back from the end."""
@@ -411,8 +421,9 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) ->
     def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary)
         for b in batches:
+            middles = encoder.middles(b["part"].tolist())
             yield pd.DataFrame({"_key": b["_key"], "i": b["i"], "total": b["total"], "ids": [
-                encoder.backtrace(*x) for x in zip(b["part"], b["ahead"], b["entry"], b["leave"], strict=True)]})
+                encoder.backtrace(*x, *m[:3]) for *x, m in zip(b["part"], b["ahead"], b["entry"], b["leave"], middles, strict=True)]})
 
     states = chunks.select("_key", "i", "part", "ahead").mapInPandas(matrices, "_key long, i int, m binary") \
         .groupBy("_key").applyInPandas(scan, "_key long, i int, entry int, leave int, total double")

@@ -253,13 +253,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 kept.append(data[last:])
                 rest = b"".join(kept)
                 out.append((doc, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest()))
-            got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            got["doc_id"] = got["doc_id"].astype("Int64")
-            yield got
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     near, far = _near(keyed, spans)
-    changed = near.join(spans, "_key", "left").select("doc_id", "text", "spans").mapInPandas(
-        apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    # ids travel as text: pandas turns integers with nulls among them into rounded floats
+    changed = near.join(spans, "_key", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "spans").mapInPandas(
+        apply, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn("doc_id", F.col("doc_id").cast("long"))
     zero = F.lit(0).cast("long")
     return changed.unionByName(far.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"),
                                           zero.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")))

@@ -14,8 +14,8 @@ The weights of matched clauses add up to m and the score is 1 - exp(-m).
 Insults and their weights are learned: a term is a word, or a stem (the first
 4 to 6 letters of a longer word, for inflected forms), that marks labelled
 toxic texts.  Copies of one toxic text would make all of its words look toxic,
-so a word also needs many different words before it, and a stem many words
-that have it.
+so a word also needs different words before it, and a stem different words
+that have it, more of them the more texts there are.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, text_of
 
 SAMPLE_ROWS = 20_000   # at most about this many labelled rows are used for learning
-LEAST_CONTEXTS = 12    # contexts of a term in toxic texts, and toxic texts with it
-MOST_CONTEXTS = 64     # contexts that one batch reports of a term; LEAST_CONTEXTS would be enough
+LEAST_CONTEXTS = 4, 12  # contexts of a term in toxic texts, and toxic texts with it: an eighth of them within these bounds
+MOST_CONTEXTS = 64     # contexts that one batch reports of a term; the upper bound above would be enough
 LEAST_WEIGHT = 3.5     # log odds of a term
 MOST_TERMS = 2_000
 STEMS = (4, 5, 6)
@@ -145,6 +145,10 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
         .join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
+    n = {r[0]: r[1] for r in chosen.groupBy("toxic").count().collect()}
+    pos, neg = n.get(1, 0), n.get(0, 0)
+    least = min(max(LEAST_CONTEXTS[0], pos // 8), LEAST_CONTEXTS[1])
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts, contexts = [Counter(), Counter()], {}
@@ -162,10 +166,7 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     docs_with = texts.mapInPandas(count, "term string, pos long, neg long, contexts array<string>").groupBy("term").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts")) \
-        .where((F.col("pos") >= LEAST_CONTEXTS) & (F.col("contexts") >= LEAST_CONTEXTS))
-    n = chosen.groupBy("toxic").count().collect()
-    n = {r[0]: r[1] for r in n}
-    pos, neg = n.get(1, 0), n.get(0, 0)
+        .where((F.col("pos") >= least) & (F.col("contexts") >= least))
     odds = F.log((F.col("pos") + 0.5) / (pos - F.col("pos") + 0.5)) - F.log((F.col("neg") + 0.5) / (neg - F.col("neg") + 0.5))
     likely = docs_with.withColumn("weight", odds).where((F.col("weight") >= LEAST_WEIGHT) & (F.col("pos") >= 3 * F.col("neg")))
     found = likely.orderBy(F.desc("weight"), "term").limit(MOST_TERMS).collect()
