@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, stage
+from .common import doc_key, plain, stage
 
 MIN_CHUNK, MAX_CHUNK = 32, 512
 BITS = 5              # a cut every 2**BITS bytes on average, from MIN_CHUNK on
@@ -68,7 +68,7 @@ def chunks_of(docs: DataFrame) -> DataFrame:
                 starts += [0, *cuts[:-1]] if cuts else []
                 ends += cuts
                 digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *cuts], cuts, strict=False)]
-            yield pd.DataFrame({"_key": keys, "doc_id": ids, "s": starts, "e": ends, "digest": digests})
+            yield plain(pd.DataFrame({"_key": keys, "doc_id": ids, "s": starts, "e": ends, "digest": digests}))
 
     # ids travel as text: pandas turns integers with nulls among them into rounded floats
     told = docs.select("_key", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
@@ -123,7 +123,7 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                 rest = b"".join(kept)
                 out.append((doc, len(data), len(cut_points(data)), len(rows), len(data) - len(rest),
                             sorted(int(k) for k in linked if k is not None and k == k), rest.decode()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"])
+            yield plain(pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"]))
 
     return keyed.join(found, "_key", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "found").mapInPandas(
         run, "doc_id string, n_bytes long, n_chunks long, n_repeated long, n_removed long, linked array<long>, text string") \

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-__all__ = ["doc_key", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
+__all__ = ["doc_key", "plain", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
 
 GROUP_BYTES = 1 << 18
 
@@ -32,6 +33,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def plain(frame: pd.DataFrame) -> pd.DataFrame:
+    """The frame, with columns of objects if it has no rows: an empty list makes floats, which do not become strings."""
+    return frame if len(frame) else frame.astype(object)
+
+
 def text_of(column: str = "text") -> Column:
     """The text; a null text is the empty one."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

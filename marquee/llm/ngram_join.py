@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, shingle_sets, stage
+from .common import doc_key, plain, shingle_sets, stage
 from .components import components
 
 LISTED = 8            # shingles counted this often are listed with their count
@@ -116,7 +116,7 @@ def describe(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, words: int
                 else:
                     out.append((0, 0, 0, tokens))
             got = pd.DataFrame(out, columns=["cls", "n", "e", "prefix"])
-            yield pd.concat([batch[["doc_id", "_key"]].reset_index(drop=True), got], axis=1)
+            yield plain(pd.concat([batch[["doc_id", "_key"]].reset_index(drop=True), got], axis=1))
 
     # ids travel as text: pandas turns integers with nulls among them into rounded floats
     told = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "_key", "text") \

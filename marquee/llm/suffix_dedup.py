@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, mix, prefix_hash, slice_hash, spans_of, stage
+from .common import doc_key, mix, plain, prefix_hash, slice_hash, spans_of, stage
 
 LENGTH = 200
 CHUNK = 512           # segments of one anchor that are sorted together
@@ -253,7 +253,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 kept.append(data[last:])
                 rest = b"".join(kept)
                 out.append((doc, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield plain(pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]))
 
     near, far = _near(keyed, spans)
     # ids travel as text: pandas turns integers with nulls among them into rounded floats

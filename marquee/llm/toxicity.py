@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_of
+from .common import plain, small_batches, text_of
 
 SAMPLE_ROWS = 20_000   # at most about this many labelled rows are used for learning
 LEAST_CONTEXTS = 4, 12  # contexts of a term in toxic texts, and toxic texts with it: an eighth of them within these bounds
@@ -162,7 +162,7 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
                         for stem in terms[word][1:]:
                             contexts.setdefault(stem, set()).add(word)
             rows = [(t, counts[1][t], counts[0][t], sorted(contexts.get(t, ()))[:MOST_CONTEXTS]) for t in counts[0].keys() | counts[1].keys()]
-            yield pd.DataFrame(rows, columns=["term", "pos", "neg", "contexts"])
+            yield plain(pd.DataFrame(rows, columns=["term", "pos", "neg", "contexts"]))
 
     docs_with = texts.mapInPandas(count, "term string, pos long, neg long, contexts array<string>").groupBy("term").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts")) \
