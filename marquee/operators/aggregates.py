@@ -19,11 +19,11 @@ def distinct_counts(df: DataFrame, keys: list[str], entity: str, flags: dict[str
     entities, where the naive form would expand every row once per flag.
     """
     one = df.groupBy(*keys, entity).agg(
-        *[F.max(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in flags.items()],
-    ).where(F.col(entity).isNotNull())
+        *[F.max(F.when(cond & F.col(entity).isNotNull(), 1).otherwise(0)).alias(name) for name, cond in flags.items()],
+    )
     sums = [F.sum(name).cast("bigint").alias(name) for name in flags]
     if total:
-        sums.append(F.count(F.lit(1)).alias(total))
+        sums.append(F.count(entity).alias(total))
     return one.groupBy(*keys).agg(*sums)
 
 

@@ -113,7 +113,7 @@ def test_distinct_counts_equal_the_naive_form_without_expand(skewed):
     fast = A.distinct_counts(skewed, ["k"], "v", flags, total="n")
     naive = skewed.groupBy("k").agg(
         *[F.count_distinct(F.when(c, F.col("v"))).alias(n) for n, c in flags.items()], F.count_distinct("v").alias("n"))
-    assert same(fast, naive.where("n > 0"))
+    assert same(fast, naive)
     assert "Expand" not in plan(fast) and "Expand" in plan(naive)
 
 
