@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import doc_key, stage
 
 CHUNK = 1 << 15       # characters; longer texts are cut
+CHUNKS = 32           # chunks that are solved at once
 CACHED = 150_000      # words whose encoding a task keeps
 CACHED_LENGTH = 24
 TOGETHER = 1 << 20    # bytes of text that are encoded at once
@@ -310,13 +311,13 @@ class Encoder:
         flat = np.concatenate([*ids, np.zeros(0, np.int32)])
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(scores)], ["ids", "score"])
 
-    def middles(self, chunks: list[str]) -> list[tuple[int, int, list[int], float]]:
+    def middles(self, chunks: list[str]) -> list[tuple[int, int, np.ndarray, float]]:
         """Of each chunk the first cut that no piece crosses and that lies behind every entry state, the last such
         cut, and ids and score of what is between them, all chunks together; cuts of -1: there is none."""
         cuts = [self._cuts(c) for c in chunks]
         got = self.encode_array(pa.array([c[a + 1:b] if a >= 0 else "" for c, (a, b) in zip(chunks, cuts, strict=True)], pa.string()))
-        ids, scores = got.field("ids").to_pylist(), got.field("score").to_pylist()
-        return [(a, b, i, t) for (a, b), i, t in zip(cuts, ids, scores, strict=True)]
+        ids, ends, scores = got.field("ids").values.to_numpy(), got.field("ids").offsets.to_numpy().tolist(), got.field("score").to_pylist()
+        return [(*c, ids[s:e], t) for c, s, e, t in zip(cuts, ends[:-1], ends[1:], scores, strict=True)]
 
     def _cuts(self, chunk: str) -> tuple[int, int]:
         first = self.v.cut.search(chunk, self.v.longest) if self.v.words_alone else None
@@ -342,15 +343,15 @@ class Encoder:
             out[a, :len(tail)] = score[first] + middle + tail
         return out
 
-    def backtrace(self, chunk: str, ahead: str, entry: int, leave: int, first: int, last: int, middle: list[int]) -> list[int]:
+    def backtrace(self, chunk: str, ahead: str, entry: int, leave: int, first: int, last: int, middle: np.ndarray) -> np.ndarray:
         """Ids of the pieces that start in a chunk, given the states at its two ends."""
         n, text = len(chunk), chunk + ahead
         begin = [NEVER] * entry + [0.0]
         if first < 0:
-            return self.trace(text, self.forward(text, begin, n)[1], n + leave)[0]
+            return np.array(self.trace(text, self.forward(text, begin, n)[1], n + leave)[0], np.int32)
         lead = self.trace(chunk, self.forward(chunk[:first], begin, first)[1], first)[0]
         tail = self.trace(text[last:], self.forward(text[last:], [0.0], n - last)[1], n - last + leave)[0]
-        return lead + middle + tail
+        return np.concatenate((np.array(lead, np.int32), middle, np.array(tail, np.int32)))
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -395,9 +396,12 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) ->
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = stage(chunks.repartition(tasks, "_key", "i"), "chunks")
 
+    def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (b.iloc[s:s + CHUNKS] for b in batches for s in range(0, len(b), CHUNKS))
+
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary)
-        for b in batches:
+        for b in groups(batches):
             middles = encoder.middles(b["part"].tolist())
             yield pd.DataFrame({"_key": b["_key"], "i": b["i"], "m": [
                 encoder.matrix(p, a, x, y, t).tobytes() for p, a, (x, y, _, t) in zip(b["part"], b["ahead"], middles, strict=True)]})
@@ -420,7 +424,7 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) ->
 
     def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary)
-        for b in batches:
+        for b in groups(batches):
             middles = encoder.middles(b["part"].tolist())
             yield pd.DataFrame({"_key": b["_key"], "i": b["i"], "total": b["total"], "ids": [
                 encoder.backtrace(*x, *m[:3]) for *x, m in zip(b["part"], b["ahead"], b["entry"], b["leave"], middles, strict=True)]})
