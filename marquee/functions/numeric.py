@@ -54,13 +54,16 @@ def exact_avg(c: str | Column) -> Column:
     return F.avg(col(c).cast("decimal(18,12)"))
 
 
+_WHOLE = "decimal(20,0)"   # any bigint; quotients keep 18 digits
+
+
 def guarded_ratio(n: Column, d: Column, scale: int) -> Column:
     """n / max(d, 1), rounded half up as a decimal."""
-    top = n.cast("decimal(18,0)")
-    bottom = F.greatest(d, F.lit(1)).cast("decimal(18,0)")
+    top = n.cast(_WHOLE)
+    bottom = F.greatest(d, F.lit(1)).cast(_WHOLE)
     return F.round(top / bottom, scale)
 
 
 def share(n: str | Column, total: Column, scale: int = 4) -> Column:
     """n / total rounded half up as a decimal; NULL for a zero total."""
-    return F.round(col(n).cast("decimal(18,0)") / F.nullif(total.cast("decimal(18,0)"), F.lit(0)), scale)
+    return F.round(col(n).cast(_WHOLE) / F.nullif(total.cast(_WHOLE), F.lit(0)), scale)

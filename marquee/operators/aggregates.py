@@ -56,8 +56,9 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, q: float, out: s
     found = placed.withColumn("_at", at).groupBy(*keys).agg(
         value_at(F.floor("_at")).alias("_lo"), value_at(F.ceil("_at")).alias("_hi"), F.max("_at").alias("_at"),
     )
-    mix = F.col("_at") - F.floor("_at")
-    return found.select(*keys, (F.col("_lo") + mix * (F.col("_hi") - F.col("_lo"))).alias(out))
+    # the arithmetic of ``percentile``, so that both routes agree to the last bit
+    mixed = (F.ceil("_at") - F.col("_at")) * F.col("_lo") + (F.col("_at") - F.floor("_at")) * F.col("_hi")
+    return found.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(mixed).alias(out))
 
 
 def with_shares(df: DataFrame, shares: dict[str, str], scale: int = 4) -> DataFrame:
@@ -82,19 +83,20 @@ def value_frequencies(df: DataFrame, column: str, where: str | None = None, limi
 
 
 def column_values(df: DataFrame | None, column: str, where: str | None = None, limit: int | None = None,
-                  default: list | None = None, at_most: int = 10_000, order_by: list[Column] | None = None) -> list:
+                  default: list | None = None, at_most: int | None = None, order_by: list[Column] | None = None) -> list:
     """Distinct values as a list, for naming columns.
 
-    ``df=None`` stands for a table that does not exist.  More than ``at_most``
-    values is an error: such a list cannot become columns, use
-    ``value_frequencies``.
+    ``df=None`` stands for a table that does not exist.  More values than
+    ``at_most``, if it is given, are an error; for a list of unknown length use
+    ``value_frequencies``, which stays distributed.
     """
     if df is None:
         if default is None:
             raise ValueError("no such table and no default value")
         return default
-    found = [r[0] for r in value_frequencies(df, column, where, limit, order_by).select("value").take(at_most + 1)]
-    if len(found) > at_most:
+    values = value_frequencies(df, column, where, limit, order_by).select("value")
+    found = [r[0] for r in (values.collect() if at_most is None else values.take(at_most + 1))]
+    if at_most is not None and len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} distinct values")
     return found or (default if default is not None else [])
 

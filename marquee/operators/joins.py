@@ -13,13 +13,13 @@ HOT_SHARE = 1000   # a key is hot above 1/HOT_SHARE of the rows: fewer than HOT_
 
 
 def hot_keys(df: DataFrame, key: str, at_least: int = 1_000_000, share: int = HOT_SHARE) -> list:
-    """Keys that hold more than 1/share of the rows (and ``at_least`` rows): under ``share`` values."""
+    """Keys, None among them, that hold more than 1/share of the rows (and ``at_least`` rows): under ``share`` values."""
     total = df.count()
     floor = max(total // share, at_least)
     if total <= floor:
         return []
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > floor)
-    return [r[0] for r in counted.select(key).where(F.col(key).isNotNull()).collect()]
+    return [r[0] for r in counted.select(key).collect()]
 
 
 def skew_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", salts: int = 64,
@@ -27,8 +27,8 @@ def skew_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", sa
     """Join whose hot fact keys are dealt over ``salts`` tasks.
 
     Only dimension rows of hot keys are copied; the salt is a hash of the row,
-    so a retried task deals it the same way.  Without hot keys it is the plain
-    join, and AQE still splits whatever partition turns out large.
+    so a retried task deals it the same way.  Rows without a key match nothing and
+    are dealt without copies.  Without hot keys it is the plain join, and AQE still splits whatever partition turns out large.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -36,7 +36,8 @@ def skew_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", sa
     if not hot:
         return facts.join(dim, key, how)
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    dealt = facts.withColumn("_salt", F.when(F.col(key).isin(hot), spread).otherwise(F.lit(0)))
+    hot = [k for k in hot if k is not None]
+    dealt = facts.withColumn("_salt", F.when(F.col(key).isNull() | F.col(key).isin(hot), spread).otherwise(F.lit(0)))
     copies = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = dim.withColumn("_salt", F.explode(copies))
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")

@@ -6,6 +6,9 @@ all" holds a third of the rows.  So each operator first measures the largest
 group; beyond ``HOT_ROWS`` it sorts globally into range partitions ("slices"),
 stores them, works inside each slice, and stitches the slices with a table of
 per-slice facts that has at most one row per slice (or slice and group).
+
+Rows that an order leaves tied are ordered by all their columns on either route: the
+size of a group decides the plan, never the result.
 """
 
 from __future__ import annotations
@@ -55,6 +58,12 @@ def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None =
     return max(total // HOT_ROWS + 1, min(4 * tasks, total // SLICE_ROWS + 8))
 
 
+def _others(df: DataFrame) -> list[Column]:
+    """All columns that can be ordered: they break the ties of an order, alike on both routes."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [F.col(f"`{c}`") for c, kind in kinds.items() if "map<" not in kind and kind != "variant"]
+
+
 def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
     """Globally sorted rows stored with the slice and position they landed in.
 
@@ -67,10 +76,8 @@ def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
     """
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         df = stage(df, "unsliced")
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rest = [F.col(f"`{c}`") for c, kind in kinds.items() if "map<" not in kind and kind != "variant"]
     here = F.monotonically_increasing_id()
-    keys = [*order, *rest, F.col("_tie")]
+    keys = [*order, *_others(df), F.col("_tie")]
     placed = (
         df.withColumn("_tie", here)
         .repartitionByRange(slices, *keys).sortWithinPartitions(*keys).drop("_tie")
@@ -119,7 +126,7 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
     slices = slices_needed(df, list(ranks.values()), hot_rows)
     if not slices:
         return df.withColumns({
-            out: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+            out: F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *_others(df))).cast("bigint")
             for out, keys in ranks.items()
         })
     sliced = into_slices(df, order, slices)
@@ -140,7 +147,7 @@ def row_number(df: DataFrame, keys: list[str], order: list[Column], out: str = "
     """ROW_NUMBER within ``keys`` (or over everything) for groups of any size."""
     slices = slices_needed(df, [keys], hot_rows)
     if not slices:
-        w = Window.partitionBy(*keys).orderBy(*order)
+        w = Window.partitionBy(*keys).orderBy(*order, *_others(df))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     # sorting by key first leaves at most one continued key per slice
     sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
@@ -156,7 +163,7 @@ def exclusive_sum(df: DataFrame, keys: list[str], order: list[Column], amount: s
     """Running total of ``amount`` over the rows before the current one (0 for the first)."""
     slices = slices_needed(df, [keys], hot_rows)
     if not slices:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*keys).orderBy(*order, *_others(df)).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
     sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
     w = Window.partitionBy(_SLICE, *keys).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
@@ -171,7 +178,7 @@ def _neighbour(df: DataFrame, value: str, out: str, keys: list[str], order: list
     step = F.lead if ahead else F.lag
     slices = slices_needed(df, [keys], hot_rows)
     if not slices:
-        return df.withColumn(out, step(value).over(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumn(out, step(value).over(Window.partitionBy(*keys).orderBy(*order, *_others(df))))
     sliced = into_slices(df, [asc(k) for k in keys] + order, slices)
     inside = Window.partitionBy(_SLICE, *keys).orderBy(_POS)
     placed = sliced.withColumn(out, step(value).over(inside)).withColumn("_edge", step(_POS).over(inside).isNull())

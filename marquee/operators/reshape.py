@@ -45,10 +45,19 @@ def _term(v) -> Column:
 
 
 def pivot(df: DataFrame, group_by: list[str], column: str, values: list, **options) -> DataFrame:
-    """Values of ``column`` as columns, one row per group, in one aggregate pass."""
-    if len(values) > _PER_PASS:
-        raise ValueError(f"{len(values)} pivot columns; aggregate to rows instead")
-    return df.groupBy(*group_by).agg(*pivot_columns(column, values, **options))
+    """Values of ``column`` as columns, one row per group.
+
+    One aggregate pass makes _PER_PASS columns; the passes of more values are joined on the groups.
+    """
+    passes = [df.groupBy(*group_by).agg(*pivot_columns(column, values[at:at + _PER_PASS], **options))
+              for at in range(0, max(len(values), 1), _PER_PASS)]
+
+    def beside(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = b.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(group_by)})
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(group_by)], F.lit(True))
+        return a.join(b, same).drop(*[f"_k{i}" for i in range(len(group_by))])
+
+    return reduce(beside, passes)
 
 
 def unpivot(df: DataFrame, cast_to: str = "string", keep: list[str] = (), remove: list[str] = (),

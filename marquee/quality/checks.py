@@ -173,8 +173,10 @@ def _comparable(df: DataFrame, columns: list[str], precision: int | None) -> Dat
     out = []
     for c in columns:
         kind = kinds[c.lower()]
-        if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-            out.append(F.round(F.col(c).cast("decimal(38,18)"), precision).alias(c))
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            out.append(F.round(F.col(c).cast("double"), precision).alias(c))
+        elif isinstance(kind, T.DecimalType):
+            out.append(F.round(c, precision).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)

@@ -93,12 +93,15 @@ def rowcount_reconcile(spark, sf):
 @query("change_manifest", """
 SELECT 1 AS run, 'title_ratings' AS dataset, true AS loaded, 'no previous load recorded' AS reason,
   (SELECT count(*) FROM raw_title_ratings) AS rows
-UNION ALL SELECT 2, 'title_ratings', false, 'current version already loaded', 0""")
+UNION ALL SELECT 2, 'title_ratings', false, 'current version already loaded', 0
+UNION ALL SELECT 3, 'title_ratings', true, 'source newer than last load', 2 * count(*) FROM raw_title_ratings""")
 def change_manifest(spark, sf):
-    """The second load of unchanged files is skipped."""
+    """The second load of unchanged files is skipped; the third finds new ones in a sub-folder."""
     path, dataset = _exported(spark, sf, "title_ratings")
     home, manifest = scratch_path(spark, "table-ratings"), VersionedTable(spark, scratch_path(spark, "manifest"))
     runs = [load.load_dataset(spark, path, dataset, home, manifest) for _ in range(2)]
+    tsv.write(raw(spark, sf, "raw_title_ratings"), f"{path}/more", dataset)
+    runs.append(load.load_dataset(spark, path, dataset, home, manifest))
     return spark.createDataFrame([(i, r["dataset"], r["loaded"], r["reason"], r["rows"]) for i, r in enumerate(runs, 1)],
                                  "run int, dataset string, loaded boolean, reason string, rows bigint")
 
@@ -200,9 +203,12 @@ def stream_new_files(spark, sf):
 SELECT event_id, ts, user_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x WHERE rn = 1""")
 def stream_upsert(spark, sf):
-    """Newest event per user, kept by upserting each micro-batch."""
+    """Newest event per user, kept by upserting micro-batches of one file whose events are in no order of time."""
     home = VersionedTable(spark, scratch_path(spark, "newest"))
-    rows = ingest.new_files(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
+    events, landing = table(spark, sf, "events"), scratch_path(spark, "landing")
+    for part in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).coalesce(1).write.parquet(f"{landing}/{part}")
+    rows = ingest.new_files(spark, f"{landing}/*", events.schema, max_files=1)
     rows = rows.select("event_id", "ts", "user_id", "event_type", "value")
     ingest.upsert_available(rows, home, ["user_id"], scratch_path(spark, "stream"), ["ts", "event_id"])
     return home.read()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import consumers, intermediate as I, marts as M, rulebook as R, staging as S
 from ..session import stage_once
-from ..sources.catalogue import raw
+from ..sources.catalogue import raw, sources_of
 from .core import AS_OF, VIEWS, query, rounded
 
 YEAR = AS_OF[:4]
@@ -226,12 +226,12 @@ def join_ratings(spark, sf):
 
 def complete(spark, sf):
     """The join with ratings, stored once as ``plans.build`` does."""
-    return stage_once(spark, (sf, "title-complete"), lambda: join_ratings(spark, sf))
+    return stage_once(spark, (sf, sources_of(spark, sf), "title-complete"), lambda: join_ratings(spark, sf))
 
 
 def episode_rows(spark, sf):
     sources = [stg(spark, sf, n) for n in ("stg_episodes", "stg_titles", "stg_ratings")]
-    return stage_once(spark, (sf, "episode-rows"), lambda: I.episode_rows(*sources, as_of=AS_OF))
+    return stage_once(spark, (sf, sources_of(spark, sf), "episode-rows"), lambda: I.episode_rows(*sources, as_of=AS_OF))
 
 
 def filmography(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -82,6 +83,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def files_below(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, size, time in milliseconds) of the files at and below the paths that match, empty files included."""
+    path, told = spark._jvm.org.apache.hadoop.fs.Path(pattern), []
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for top in fs.globStatus(path) or []:
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            told.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return told
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the files at and below the paths, by path, size and time; contents are not read."""
+    told = sorted(f for path in paths for f in files_below(spark, path))
+    return hashlib.blake2b(repr(told).encode(), digest_size=16).hexdigest()
+
+
 _once: dict[tuple, tuple[str, StructType]] = {}
 
 

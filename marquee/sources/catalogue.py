@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import stage_once
+from ..session import fingerprint, stage_once
 
 _GENRES = "'Action,Comedy,Drama,Crime,Horror,Sci-Fi,Romance,Family'"
 _ROLES = "'actor,Actress,director,writer,producer,cinematographer,composer,editor,self,archive_footage'"
@@ -73,6 +73,9 @@ from lineitem""",
 }
 
 
+SOURCES = ["orders", "lineitem", "supplier"]
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
     for name in names:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
@@ -80,12 +83,17 @@ def register_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw extract as a lazy query over the star-schema tables."""
-    register_tables(spark, sf_dir, ["orders", "lineitem", "supplier"])
+    register_tables(spark, sf_dir, SOURCES)
     return spark.sql(CATALOGUE_SQL[name])
 
 
+def sources_of(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the source files' names, sizes and times: part of the key of what is stored from them."""
+    return fingerprint(spark, *(f"{sf_dir}/{t}.parquet" for t in SOURCES))
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw extract as a loaded table, written once per session and folder.
+    """One raw extract as a loaded table, written once per session and state of the source files.
 
     A source of few files is spread out first, as a load of one gzip file must be.
     """
@@ -93,4 +101,4 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         rows, tasks = derived(spark, sf_dir, name), spark.sparkContext.defaultParallelism
         return rows.repartition(tasks) if len(rows.inputFiles()) < tasks else rows
 
-    return stage_once(spark, (sf_dir, name), load)
+    return stage_once(spark, (sf_dir, sources_of(spark, sf_dir), name), load)

@@ -13,27 +13,47 @@ from .datasets import Dataset
 
 # Backslash escapes of the text format.
 ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f", "v": "\v"}
-_GUARD = "\u0001"
+OCTAL, HEX = "^[0-7]{1,3}", "^x([0-9A-Fa-f]{1,2})"
 
 
 def _unescape(c: Column) -> Column:
-    out = F.replace(c, F.lit("\\\\"), F.lit(_GUARD))
-    for letter, sign in ESCAPES.items():
-        out = F.replace(out, F.lit("\\" + letter), F.lit(sign))
-    out = F.regexp_replace(out, r"\\(.)", "$1")
+    """The text that an escaped one stands for, its bytes as given.
+
+    It is split at escaped backslashes, and each piece at the backslashes that
+    are left, so every escape is read once and by itself.  Octal and hex
+    escapes are bytes, of which several may make one character: the pieces are
+    put together as bytes.
+    """
+    def byte(digits: Column, base: int) -> Column:
+        return F.lpad(F.conv(digits, base, 16), 8, "0").substr(7, 2)
+
+    def decoded(part: Column) -> Column:
+        out = F.when(part == "", F.lit("5C"))   # a backslash that ends the text stands for itself
+        for letter, sign in ESCAPES.items():
+            out = out.when(part.startswith(letter), F.concat(F.hex(F.lit(sign)), F.hex(F.substr(part, F.lit(2)))))
+        octal, hexed = F.regexp_extract(part, OCTAL, 0), F.regexp_extract(part, HEX, 1)
+        out = out.when(octal != "", F.concat(byte(octal, 8), F.hex(F.substr(part, F.length(octal) + 1))))
+        out = out.when(hexed != "", F.concat(byte(hexed, 16), F.hex(F.substr(part, F.length(hexed) + 2))))
+        return out.otherwise(F.hex(part))
+
+    def piece(text: Column) -> Column:
+        return F.array_join(F.transform(F.split(text, r"\\", -1), lambda part, i: F.when(i == 0, F.hex(part)).otherwise(decoded(part))), "")
+
+    pieces = F.transform(F.split(c, r"\\\\", -1), piece)
     # most texts hold no backslash at all
-    return F.when(F.contains(c, F.lit("\\")), F.replace(out, F.lit(_GUARD), F.lit("\\"))).otherwise(c)
+    return F.when(F.contains(c, F.lit("\\")), F.unhex(F.array_join(pieces, "5C")).cast("string")).otherwise(c)
 
 
 def _escape(c: Column) -> Column:
     out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     for letter, sign in ESCAPES.items():
         out = F.replace(out, F.lit(sign), F.lit("\\" + letter))
-    return out
+    return F.replace(out, F.lit("\u0000"), F.lit("\\000"))
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("lineSep", "\n").text(path)
+    """Lines of the files at and anywhere below a path; ``_metadata`` tells whose they are."""
+    return spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
 
 
 def _line() -> Column:
@@ -55,6 +75,8 @@ def _typed(dataset: Dataset, safe: bool) -> list[Column]:
     for i, f in enumerate(dataset.schema.fields):
         text = F.get(F.col("_f"), F.lit(i))
         value = F.when(text != NULL_MARKER, _unescape(text) if isinstance(f.dataType, T.StringType) else text)
+        if isinstance(f.dataType, T.StringType) and not safe:
+            value = F.validate_utf8(value)
         if not isinstance(f.dataType, T.StringType):
             value = value.try_cast(f.dataType) if safe else value.cast(f.dataType)
         out.append(value.alias(f.name))
@@ -87,6 +109,9 @@ def scan_with_rejects(spark: SparkSession, path: str, dataset: Dataset) -> tuple
     for i, kind in numbers:
         text = F.get(F.col("_f"), F.lit(i))
         good = good & ((text == NULL_MARKER) | text.try_cast(kind).isNotNull())
+    for i, f in enumerate(dataset.schema.fields):
+        if isinstance(f.dataType, T.StringType):
+            good = good & F.is_valid_utf8(_unescape(F.get(F.col("_f"), F.lit(i))))
     good = F.coalesce(good, F.lit(False))
     return rows.where(good).select(*_typed(dataset, safe=True)), rows.where(~good).select("value")
 
@@ -97,7 +122,7 @@ def check_headers(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame
     Only the split that starts a file is read for it, and ``first`` inside that
     split is the file's first line.
     """
-    raw = spark.read.option("lineSep", "\n").text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    raw = lines(spark, path).select("value", "_metadata.file_path", "_metadata.file_block_start")
     tops = raw.where("file_block_start = 0").groupBy(F.col("file_path").alias("file")).agg(F.first("value").alias("header"))
     names = F.split(F.rtrim(F.rtrim(F.col("header"), F.lit("\r"))), "\t", -1)
     want = F.array(*[F.lit(c) for c in dataset.columns])
@@ -119,11 +144,12 @@ def write(df: DataFrame, path: str, dataset: Dataset, compression: str = "gzip")
         else:
             text = c.cast("string")
         cols.append(text.alias(f.name))
-    # one text column under the header as its name: fields are joined here, so the writer never quotes
+    # one text column under the header as its name: fields are joined here; a carriage return is
+    # escaped wherever it occurs, so as the separator it is found in no value and nothing is quoted
     joined = reduce(lambda a, b: F.concat(a, F.lit("\t"), b),
                     [F.coalesce(c, F.lit(NULL_MARKER)) for c in [F.col(x) for x in dataset.columns]])
     body = df.select(*cols).select(joined.alias(dataset.header))
-    (body.write.option("header", True).option("sep", "\u0002").option("quote", "").option("escapeQuotes", False)
+    (body.write.option("header", True).option("sep", "\r").option("quote", "").option("escapeQuotes", False)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "")
      .option("escape", "").option("compression", compression).csv(path))
 

@@ -35,11 +35,14 @@ def upsert_available(rows: DataFrame, table: VersionedTable, key: list[str], che
     """Upsert everything that is available now into a versioned table, batch by batch.
 
     Replaying a batch after a failure replaces the same keys again, so the
-    outcome does not change.  ``newest_by`` first keeps the newest row per key
-    of a batch.
+    outcome does not change.  ``newest_by`` keeps the newest row per key among
+    the batch and what is stored, so an older row that comes late replaces nothing.
     """
     def apply(batch: DataFrame, _: int) -> None:
         if newest_by:
+            stored = table.read()
+            if stored is not None:
+                batch = batch.unionByName(stored.join(batch.select(*key).distinct(), key, "left_semi"))
             batch = deduplicate(batch, key, [(c, "desc") for c in newest_by])
         table.upsert(batch, key)
 

@@ -144,3 +144,9 @@ def test_exact_average_and_ratio(spark):
                                 N.share(F.lit(1), F.lit(0)))
     got = one.first()
     assert float(got[0]) == 5.0 and float(got[1]) == 3.0 and got[2] is None
+
+
+def test_ratios_of_large_totals(spark):
+    n = F.lit(9 * 10**18)
+    one = spark.range(1).select(N.guarded_ratio(n, F.lit(2 * 10**18), 1), N.share(n, F.lit(9 * 10**18)), N.share(F.lit(1), F.lit(3)))
+    assert [float(x) for x in one.first()] == [4.5, 1.0, 0.3333]

@@ -1,6 +1,7 @@
 """Extract format, loads, layout, upserts and streams."""
 
 import gzip
+import os
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from marquee.operators.upsert import VersionedTable, incremental_batch, upsert
-from marquee.session import scratch_path, scratch_root, stage_once
+from marquee.session import fingerprint, scratch_path, scratch_root, stage_once
 from marquee.sources import layout, load, tsv
 from marquee.sources.datasets import DATASETS, Dataset
 from marquee.streaming import ingest
@@ -113,6 +114,63 @@ def test_failed_load_publishes_nothing(spark, tmp_path):
     assert VersionedTable(spark, home).read() is None and manifest.read() is None
 
 
+def test_load_reads_what_it_lists(spark, tmp_path):
+    src, home = tmp_path / "in", str(tmp_path / "table")
+    manifest = VersionedTable(spark, str(tmp_path / "manifest"))
+
+    def run():
+        got = load.load_dataset(spark, str(src), PAIRS, home, manifest)
+        return got["loaded"], got["reason"], got["rows"]
+
+    write_gz(src / "one.tsv.gz", "k\tv\tn", "a\tb\t1")
+    write_gz(src / "sub folder" / "two.tsv.gz", "k\tv\tn", "c\td\t2")
+    assert run() == (True, "no previous load recorded", 2)
+    assert run() == (False, "current version already loaded", 0)
+    old = write_gz(src / "three.tsv.gz", "k\tv\tn", "e\tf\t3")
+    os.utime(old, (10**9, 10**9))
+    assert run() == (True, "source newer than last load", 3)
+    os.remove(old)
+    assert run() == (True, "files removed since last load", 2)
+    assert run()[0] is False
+
+
+@pytest.mark.parametrize("lines", [(), ("k\tv\tn", "a\tb\t1", "k\tv\tn")], ids=["empty", "repeated"])
+def test_load_wants_one_header_in_each_file(spark, tmp_path, lines):
+    write_gz(tmp_path / "in" / "one.tsv.gz", "k\tv\tn", "a\tb\t1")
+    path = write_gz(tmp_path / "in" / "odd.tsv.gz", *lines)
+    if not lines:
+        open(path, "wb").close()
+    with pytest.raises(ValueError, match="header lines instead of one"):
+        load.load_dataset(spark, str(tmp_path / "in"), PAIRS, str(tmp_path / "table"))
+    assert VersionedTable(spark, str(tmp_path / "table")).read() is None
+
+
+def test_load_notices_files_that_balance(spark, tmp_path):
+    write_gz(tmp_path / "in" / "twice.tsv.gz", "k\tv\tn", "a\tb\t1", "k\tv\tn")
+    open(write_gz(tmp_path / "in" / "none.tsv.gz"), "wb").close()
+    with pytest.raises(ValueError, match="header lines instead of one"):
+        load.load_dataset(spark, str(tmp_path / "in"), PAIRS, str(tmp_path / "table"))
+    table = tsv.scan(spark, str(tmp_path / "in"), PAIRS)
+    assert rows(load.reconcile(spark, str(tmp_path / "in"), PAIRS, table), "ok") == [False]
+
+
+def test_text_format_keeps_every_character(spark, tmp_path):
+    signs = [chr(i) for i in range(0x21)] + ["\x7f", "\x80", "é", "😀", "\\"]
+    texts = [f"a{x}b" for x in signs] + signs + ["\\" * n + x for n in range(1, 6) for x in ("", "n", "x41", "101", "\x01", "\t")]
+    df = spark.createDataFrame([(t, "v", i) for i, t in enumerate(texts)], PAIRS.schema)
+    tsv.write(df.repartition(3), str(tmp_path / "o"), PAIRS)
+    assert rows(tsv.scan(spark, str(tmp_path / "o"), PAIRS)) == rows(df)
+
+
+def test_octal_and_hex_escapes(spark, tmp_path):
+    path = write_gz(tmp_path / "a.tsv.gz", "k\tv\tn", "\\x41\\101\\x4\\18\\xg\\\\x41\t\\303\\251\\xc3\\xa9\\134n\t1", "end\\\t\\777\t2")
+    good, bad = tsv.scan_with_rejects(spark, path, PAIRS)
+    assert rows(good) == [("AA\x04\x018xg\\x41", "éé\\n", 1)]
+    assert rows(bad) == ["end\\\t\\777\t2"]
+    with pytest.raises(Exception, match="INVALID_UTF8"):
+        tsv.scan(spark, path, PAIRS).collect()
+
+
 def test_reconcile(spark, tmp_path):
     path = write_gz(tmp_path / "a.tsv.gz", "k\tv\tn", "a\tb\t1", "c\td\t2")
     table = tsv.scan(spark, path, PAIRS)
@@ -194,6 +252,9 @@ def test_stream_upsert(spark, tmp_path):
     spark.createDataFrame([(2, 5, "d"), (3, 1, "e")], df.schema).coalesce(1).write.parquet(str(src / "b"))
     run()
     assert rows(table.read()) == [(1, 2, "b"), (2, 5, "d"), (3, 1, "e")]
+    spark.createDataFrame([(2, 4, "late"), (3, 2, "f")], df.schema).coalesce(1).write.parquet(str(src / "c"))
+    run()
+    assert rows(table.read()) == [(1, 2, "b"), (2, 5, "d"), (3, 2, "f")]
 
 
 def test_scratch_folder_comes_from_the_session(spark):
@@ -201,6 +262,14 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_fingerprint_follows_the_files(spark, tmp_path):
+    write_gz(tmp_path / "d" / "sub" / "a.gz", "x")
+    first = fingerprint(spark, str(tmp_path / "d"))
+    assert first == fingerprint(spark, str(tmp_path / "d"))
+    write_gz(tmp_path / "d" / "sub" / "a.gz", "something longer")
+    assert first != fingerprint(spark, str(tmp_path / "d"))
+
+
 def test_stored_once(spark):
     calls = []
 
