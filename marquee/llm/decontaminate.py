@@ -1,13 +1,16 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Words are hashed to FEATURES features; their document frequencies are counted
-over the whole corpus.  A randomised SVD of the benchmark's TF-IDF passages
-(power iterations whose products are summed by feature on the executors)
-gives a basis of at most RANK directions.  Every text is cut into windows of
-32 words, half overlapping; a window's latent vector is compared
-with those of all items by cosine.  What comes near is checked on the words
-themselves: longest common subsequence with the item, and the item's answer
-(a given column, else its rarest words) must be there too.
+over the whole corpus.  The benchmark's TF-IDF passages are dealt into groups
+of at most GROUP, and an SVD of each gives the group a basis of its own, as
+wide as it must be for every passage to keep ENERGY of its squared length.
+Every text is cut into windows of 32 words, half overlapping; a window's
+latent vector is compared with those of all items by cosine.  What comes near
+is checked on the words themselves: longest common subsequence with the item,
+and the item's answer (a given column, else its rarest words) must be there too.
+
+An item whose copy could stay under COSINE, because its words are light
+beside the rarest ones, is also looked for by an exact join on its words.
 """
 
 from __future__ import annotations
@@ -22,12 +25,12 @@ from pyspark.sql import functions as F
 from .common import separator_table, small_batches, text_of, word_arrays
 
 FEATURES = 1 << 15
-RANK = 128
-ITERATIONS = 2
+GROUP = 256              # passages that share a basis
+ENERGY = 0.9             # share of its squared length that every passage keeps in the basis
 BLOCK = 16               # words; a window is two blocks
 PASSAGE = 64             # words of an item that make one row; longer items have several, half overlapping
 COMMON = 0.1             # words in more than this share of the documents weigh nothing
-LEAST_RARE = 3           # items with fewer other words have no useful vector: they are compared with all texts that have their words
+LEAST_RARE = 3           # items with fewer other words have no useful vector: their answer does not count
 COSINE = 0.22
 LCS = 0.7
 ANSWER = 0.6
@@ -70,44 +73,28 @@ def tf_idf(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, n * idf[at]
 
 
-def latent_basis(passages: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """FEATURES x rank basis of the right singular vectors of the passages' TF-IDF matrix A.
+def latent_basis(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of some (features, unit TF-IDF) passages and, as one row of each, the right singular vectors that ENERGY asks for."""
+    used = np.unique(np.concatenate([at for at, _ in rows]))
+    a = np.zeros((len(rows), len(used)))
+    for i, (at, x) in enumerate(rows):
+        a[i, np.searchsorted(used, at)] = x
+    u, d, v = np.linalg.svd(a, full_matrices=False)
+    kept = np.cumsum((u * d) ** 2, axis=1)
+    rank = 1 + int((kept < ENERGY * kept[:, -1:]).sum(axis=1).max())
+    return used, np.ascontiguousarray(v[:rank].T)
 
-    Each round computes A^T (A Q): a task multiplies its own rows and the
-    products, one vector per feature, are summed by feature.  Q has a fixed
-    size, however many passages there are.
-    """
-    q = np.random.default_rng(seed).standard_normal((FEATURES, rank)).astype(np.float32)
-    for _ in range(ITERATIONS + 1):
-        def multiply(batches: Iterator[pd.DataFrame], q=q) -> Iterator[pd.DataFrame]:
-            out = {}
-            for batch in batches:
-                for words in words_of(batch["text"]):
-                    at, x = tf_idf(words, idf)
-                    at, x = at[x > 0], x[x > 0]
-                    if len(at):
-                        y = (x / np.linalg.norm(x)).astype(np.float32)
-                        row = y @ q[at]
-                        for f, v in zip(at.tolist(), y, strict=True):
-                            out[f] = out[f] + v * row if f in out else v * row
-            yield pd.DataFrame({"f": list(out), "v": [v.tobytes() for v in out.values()]})
-
-        def add(batches: Iterator[pd.DataFrame], width=q.shape[1]) -> Iterator[pd.DataFrame]:
-            out = {}
-            for batch in batches:
-                for f, v in zip(batch["f"], batch["v"], strict=True):
-                    v = np.frombuffer(v, np.float32)
-                    out[f] = out[f] + v if f in out else v
-            yield pd.DataFrame({"f": list(out), "v": [v.tobytes() for v in out.values()]})
-
-        parts = passages.select(text_of().alias("text")).mapInPandas(multiply, "f long, v binary")
-        z = np.zeros((FEATURES, q.shape[1]), np.float32)
-        for f, v in parts.repartition(16, "f").mapInPandas(add, "f long, v binary").collect():
-            z[f] = np.frombuffer(v, np.float32)
-        q, r = np.linalg.qr(z)
-        solid = np.abs(np.diag(r)) > 1e-5 * max(np.abs(np.diag(r)).max(initial=0), 1e-30)
-        q = np.ascontiguousarray(q[:, solid])
-    return q
+
+class Latent:
+    """The basis of a group of passages, and their latent vectors."""
+
+    def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]], idf: np.ndarray):
+        self.item = [i for i, _, _ in rows]
+        used, basis = latent_basis([row[1:] for row in rows])
+        self.latent = np.array([x @ basis[np.searchsorted(used, at)] for _, at, x in rows], np.float32)
+        self.place = np.full(FEATURES, -1, np.int32)
+        self.place[used] = np.arange(len(used))
+        self.basis = (basis * idf[used, None]).astype(np.float32)
 
 
 def common_subsequence(masks: dict[int, int], length: int, words: list[int]) -> int:
@@ -124,11 +111,12 @@ def common_subsequence(masks: dict[int, int], length: int, words: list[int]) ->
 class Items:
     """A block of benchmark items, ready to be compared."""
 
-    def __init__(self, rows: list[tuple[int, str, str | None]], idf: np.ndarray, basis: np.ndarray):
-        self.idf2, self.basis = (idf ** 2).astype(np.float32), (basis * idf[:, None]).astype(np.float32)
-        self.known = np.where(np.abs(basis).max(axis=1, initial=0) > 0, self.idf2, np.float32(0))
-        self.ids, self.masks, self.lengths, self.answers, self.item, latent = [], [], [], [], [], []
-        self.plain: list[tuple[int, frozenset]] = []
+    def __init__(self, rows: list[tuple[int, str, str | None]], idf: np.ndarray):
+        self.idf2 = (idf ** 2).astype(np.float32)
+        self.ids, self.masks, self.lengths, self.answers = [], [], [], []
+        self.passages: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.light: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}   # items of the exact join, with their passages
+        heaviest = float(self.idf2.max(initial=0))
         for item, text, answer in rows:
             words, told = words_of([text, answer])
             if not len(words):
@@ -142,72 +130,141 @@ class Items:
                 rare = np.argsort(-idf[features_of(distinct)], kind="stable")
                 told = distinct[rare[:max(3, len(distinct) // 4)]].tolist()
             if np.count_nonzero(idf[np.unique(features_of(words))]) < LEAST_RARE:
-                self.plain.append((len(self.ids), frozenset(words.tolist())))
+                told = []       # compared by its words alone
+            own, sure = [], bool(told)
             for s in range(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2):
                 at, x = tf_idf(words[s:s + PASSAGE], idf)
-                if (norm := np.linalg.norm(x)) > 0:
-                    self.item.append(len(self.ids))
-                    latent.append(x @ basis[at] / norm)
+                at, x = at[x > 0], x[x > 0]
+                if norm := np.linalg.norm(x):
+                    own.append((at, x / norm))
+                    sure = sure and self._least_cosine(words[s:s + PASSAGE], norm, heaviest) >= COSINE / ENERGY
+            self.passages += [(len(self.ids), at, x) for at, x in own]
+            if not sure:
+                self.light[len(self.ids)] = [(at, (x * idf[at]).astype(np.float32)) for at, x in own]
             self.ids.append(item)
             self.masks.append(masks)
             self.lengths.append(len(words))
             self.answers.append(frozenset(told))
-        self.latent = np.array(latent, np.float32).reshape(len(latent), basis.shape[1])
+        self.groups = [Latent(self.passages[i:i + GROUP], idf) for i in range(0, len(self.passages), GROUP)]
+        self._index()
+
+    def _least_cosine(self, words: np.ndarray, norm: float, heaviest: float) -> float:
+        """Of a window that holds LCS of any BLOCK words of a passage, beside BLOCK of the heaviest words."""
+        sums = np.concatenate(([0], np.cumsum(self.idf2[features_of(words)], dtype=np.float64)))
+        n = min(BLOCK, len(words))
+        part = LCS * float((sums[n:] - sums[:-n]).min())
+        return part / (norm * np.sqrt(part + BLOCK * heaviest)) if part else 0.0
+
+    def _index(self) -> None:
+        """Of the words of the light items: which items have them, and how often."""
+        w = [(word, i, mask.bit_count()) for i in self.light for word, mask in self.masks[i].items()]
+        words = np.array([x[0] for x in w], np.uint64)
+        order = np.argsort(words, kind="stable")
+        self.vocabulary, first = np.unique(words[order], return_index=True)
+        self.first = np.concatenate((first, [len(w)])).astype(np.int64)
+        self.having = np.array([x[1] for x in w], np.int64)[order]
+        self.times = np.array([x[2] for x in w], np.int64)[order]
+        self.least = np.array([LCS * m for m in self.lengths])
 
     def find(self, words: np.ndarray) -> list[tuple[int, float, float]]:
         """(item, cosine, share of the item's words in common order), each item once."""
-        best = self._near(words) if len(words) and self.ids else {}
-        if self.plain and len(words):
-            present = set(words.tolist())
-            for i, told in self.plain:
-                m = self.lengths[i]
-                if len(told & present) >= LCS * len(told):
-                    share = max(common_subsequence(self.masks[i], m, words[s:s + 2 * m].tolist()) / m for s in range(0, len(words), m))
-                    if share >= LCS:
-                        best[i] = (best.get(i, (0.0, 0.0))[0], max(share, best.get(i, (0.0, 0.0))[1]))
+        if not (len(words) and self.ids):
+            return []
+        best: dict[int, tuple[float, float]] = {}
+        for found in (self._near(words), self._exact(words)):
+            for i, (cosine, share) in found:
+                old = best.get(i, (0.0, 0.0))
+                best[i] = (max(cosine, old[0]), max(share, old[1]))
         return [(self.ids[i], *best[i]) for i in sorted(best)]
 
-    def _near(self, words: np.ndarray) -> dict[int, tuple[float, float]]:
+    def _exact(self, words: np.ndarray) -> Iterator[tuple[int, tuple[float, float]]]:
+        """Cosine and common share of the light items: of all that have LCS of their words in the text, whatever their weight."""
+        if not len(self.vocabulary):
+            return
+        distinct = np.unique(words)
+        at = np.minimum(np.searchsorted(self.vocabulary, distinct), len(self.vocabulary) - 1)
+        at = at[self.vocabulary[at] == distinct]
+        n = self.first[at + 1] - self.first[at]
+        if not len(at):
+            return
+        places = np.repeat(self.first[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        common = np.bincount(self.having[places], self.times[places], len(self.ids))
+        present = None
+        for i in np.flatnonzero((common > 0) & (common >= self.least)).tolist():
+            answer, m = self.answers[i], self.lengths[i]
+            present = present or set(distinct.tolist())
+            if len(answer & present) < ANSWER * len(answer):
+                continue
+            held = np.concatenate(([0], np.cumsum(np.isin(words, np.array(list(self.masks[i]), np.uint64)))))
+            starts = np.arange(0, len(words), m)
+            starts = starts[held[np.minimum(starts + 2 * m, len(words))] - held[starts] >= LCS * m]
+            share = 0.0
+            for s in starts.tolist():
+                region = words[s:s + 2 * m].tolist()
+                if len(answer.intersection(region)) >= ANSWER * len(answer):
+                    share = max(share, common_subsequence(self.masks[i], m, region) / m)
+            if share >= LCS:
+                yield i, (self._cosine(words, i), share)
+
+    def _cosine(self, words: np.ndarray, i: int) -> float:
+        """The greatest cosine of a window with a passage of a light item."""
+        f = features_of(words)
+        cuts = np.arange(0, len(words), BLOCK)
+
+        def windows(x: np.ndarray) -> np.ndarray:
+            sums = np.append(np.add.reduceat(x, cuts), 0)
+            return (sums[:-1] + sums[1:])[:max(1, len(cuts) - 1)]
+
+        whole, best = np.sqrt(windows(self.idf2[f])), 0.0
+        for at, x in self.light[i]:
+            weights = np.zeros(FEATURES, np.float32)
+            weights[at] = x
+            best = max(best, float((windows(weights[f])[whole > 0] / whole[whole > 0]).max(initial=0)))
+        return best
+
+    def _near(self, words: np.ndarray) -> Iterator[tuple[int, tuple[float, float]]]:
         """Cosine and common share of the items found by their vectors.
 
         A window is projected only if the words that the basis knows have enough
         of its weight; else its cosine cannot reach the limit.
         """
-        f = features_of(words)
+        features = features_of(words)
         cuts = np.arange(0, len(words), BLOCK)
-        weight, known = self.idf2[f], np.flatnonzero(self.known[f])
-        if not len(known):
-            return {}
-        places = known // BLOCK
-        first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
-        places, f = places[first], f[known]
-        part, whole = np.zeros(len(cuts) + 1, np.float32), np.zeros(len(cuts) + 1, np.float32)
-        part[places], whole[:-1] = np.add.reduceat(weight[known], first), np.add.reduceat(weight, cuts)
+        weight = self.idf2[features]
+        every = np.append(np.add.reduceat(weight, cuts), np.float32(0))
         k = max(1, len(cuts) - 1)
-        part, whole = (part[:-1] + part[1:])[:k], (whole[:-1] + whole[1:])[:k]
-        near = np.flatnonzero((whole > 0) & (part >= (SLACK * COSINE) ** 2 * whole))
-        if not len(near):
-            return {}
-        sums = np.zeros((len(cuts) + 1, self.basis.shape[1]), np.float32)
-        sums[places] = np.add.reduceat(self.basis[f], first, axis=0)
-        cosine = (sums[near] + sums[near + 1]) @ self.latent.T / np.sqrt(whole[near])[:, None]
-        best: dict[int, tuple[float, float]] = {}
+        whole = (every[:-1] + every[1:])[:k]
         present, tried = None, set()
-        for w, passage in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
-            i, at = self.item[passage], int(near[w])
-            present = present or set(words.tolist())
-            answer, m = self.answers[i], self.lengths[i]
-            if (i, at) in tried or len(answer & present) < ANSWER * len(answer):
+        for group in self.groups:
+            f = group.place[features]
+            known = np.flatnonzero(f >= 0)
+            if not len(known):
                 continue
-            tried.add((i, at))
-            region = words[max(0, at * BLOCK - m):(at + 2) * BLOCK + m].tolist()
-            if len(answer.intersection(region)) < ANSWER * len(answer):
+            places = known // BLOCK
+            first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
+            places, f = places[first], f[known]
+            part = np.zeros(len(cuts) + 1, np.float32)
+            part[places] = np.add.reduceat(weight[known], first)
+            part = (part[:-1] + part[1:])[:k]
+            near = np.flatnonzero((whole > 0) & (part >= (SLACK * COSINE) ** 2 * whole))
+            if not len(near):
                 continue
-            share = common_subsequence(self.masks[i], m, region) / m
-            if share >= LCS:
-                old = best.get(i, (0.0, 0.0))
-                best[i] = (max(old[0], float(cosine[w, passage])), max(old[1], share))
-        return best
+            sums = np.zeros((len(cuts) + 1, group.basis.shape[1]), np.float32)
+            sums[places] = np.add.reduceat(group.basis[f], first, axis=0)
+            cosine = (sums[near] + sums[near + 1]) @ group.latent.T / np.sqrt(whole[near])[:, None]
+            for w, passage in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
+                i, at = group.item[passage], int(near[w])
+                present = present or set(words.tolist())
+                answer, m = self.answers[i], self.lengths[i]
+                if (i, at) in tried or len(answer & present) < ANSWER * len(answer):
+                    continue
+                tried.add((i, at))
+                region = words[max(0, at * BLOCK - m):(at + 2) * BLOCK + m].tolist()
+                if len(answer.intersection(region)) < ANSWER * len(answer):
+                    continue
+                share = common_subsequence(self.masks[i], m, region) / m
+                if share >= LCS:
+                    yield i, (float(cosine[w, passage]), share)
 
 
 def _finder(items: Items):
@@ -243,11 +300,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, answer: str | None = None)
         (F.col(answer) if answer else F.lit(None)).cast("string").alias("answer"))
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "leaks"]
     idf = inverse_frequencies(docs)
-    basis = latent_basis(told, idf)
     blocks = max(1, -(-told.count() // MOST_ITEMS))
     found = F.array().cast(LEAKS)
     for k in range(blocks):
         rows = sorted(map(tuple, told.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()), key=lambda r: (r[0], r[1]))
-        items = Items(rows, idf, basis)
+        items = Items(rows, idf)
         found = F.concat(found, F.pandas_udf(_finder(items), LEAKS)(text_of()))
     return docs.select(*kept, found.alias("leaks"))

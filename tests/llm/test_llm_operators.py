@@ -164,6 +164,18 @@ def test_leaks_are_found_and_clean_texts_are_not(spark, docs_of, odd, none):
     assert decontaminate.find_leaks(none, benchmark).collect() == []
 
 
+@pytest.mark.parametrize("zipf", [0, 1])
+def test_leaks_of_thousands_of_items_are_all_found(spark, docs_of, zipf):
+    rng = random.Random(11)
+    weights = [1 / (i + 1) ** zipf for i in range(len(WORDS))]
+    items = [(i, " ".join(rng.choices(WORDS, weights, k=rng.randint(20, 60)))) for i in range(2000)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(d, " ".join(" ".join(rng.choices(WORDS, weights, k=60)) + " " + t for _, t in items[5 * d:5 * d + 5])) for d in range(400)]
+    rows += [(1000 + i, " ".join(rng.choices(WORDS, weights, k=300))) for i in range(100)]
+    found = decontaminate.find_leaks(docs_of(rows), benchmark).select("doc_id", F.explode("leaks.item_id").alias("i")).collect()
+    assert sorted(map(tuple, found)) == [(i // 5, i) for i, _ in items]
+
+
 def test_common_subsequence():
     masks = {1: 0b00001, 2: 0b01010, 3: 0b10100}
     assert decontaminate.common_subsequence(masks, 5, [2, 3, 2, 3]) == 4
