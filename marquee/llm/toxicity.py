@@ -7,9 +7,15 @@ on, with a factor, to the next:
 * negation: an insult or threat up to three words after a negation weighs 1/4;
 * report: after a verb of reported speech the rest of the clause weighs 1/2;
 * target: a person addressed up to four words before an insult raises it by a
-  half; a threat counts in full only together with a target.
+  half; a threat counts in full only if the speaker makes it (I, we) to somebody
+  addressed, who is its next word or the one after, or an object within two words
+  before it.  Without a speaker, with a third person or over up to four words
+  it weighs 1/4, and without anybody behind it nothing.  These are weak threats,
+  as negated and reported ones are.
 
-The weights of matched clauses add up to m and the score is 1 - exp(-m).
+The weights of matched clauses add up to m and the score is 1 - exp(-m).  Weak
+threats add at most one a clause, and in a text of more than WEAK_CLAUSES clauses
+their sum is scaled down to that length.  What the labels say about a threat word lowers its weight.
 
 Insults and their weights are learned: a term is a word, or a stem (the first
 4 to 6 letters of a longer word, for inflected forms), that marks labelled
@@ -40,11 +46,18 @@ LEAST_WEIGHT = 3.5     # log odds of a term
 MOST_TERMS = 2_000
 STEMS = (4, 5, 6)
 PREDICTED_FROM = 0.7
+THREAT_WEIGHT = 1.5    # of a threat that no clean label speaks against
+WEAK = 0.25            # share of it that a weak threat has
+WEAK_CLAUSES = 8
 
 THREATS = frozenset("kill murder hurt destroy beat stab shoot strangle umbringen töten toeten schlagen tuer tuerai frapper"
                     " matar matare mataré golpear".split())
 TARGETS = frozenset("you your youre u ya they them he she him her du dich dir ihr euch sie tu toi vous te ti usted ustedes"
                     " vosotros ellos".split())
+SECOND = frozenset("you u ya".split())
+OBJECTS = frozenset("dich dir euch te vous".split())   # stand before the verb too
+SPEAKERS = frozenset("i we im ill gonna ich wir je nous yo voy vamos".split())
+SPOKEN = frozenset("tuerai mataré matare".split())     # threats whose form tells the speaker
 NEGATIONS = frozenset("not never no dont isnt arent wasnt nicht kein keine keinen nie ne jamais nunca".split())
 REPORTS = frozenset("said says reported quoted claimed alleged called sagte berichtete nannte dit disait rapporté dijo dice llamó".split())
 
@@ -66,13 +79,20 @@ class Transducer:
             return (one, two), out, f * g
         return Transducer((self.start, other.start), step)
 
-    def weigh(self, symbols: list[str], weights: list[float]) -> float:
-        state, total = self.start, 0.0
+    def weigh(self, symbols: list[str], weights: list[float]) -> tuple[float, float]:
+        """Weight of the clause, and of its heaviest weak threat."""
+        state, total, weak, threat, plainly = self.start, 0.0, 0.0, 0.0, True
         for symbol, weight in zip(symbols, weights, strict=True):
             state, out, factor = self.step(state, symbol)
-            if out in "IT":
+            if symbol == "T":
+                threat, plainly = weight * factor, factor == 1
+            if out == "I":
                 total += weight * factor
-        return total
+            elif out == "T" and plainly:
+                total += threat
+            elif out in "TW":
+                weak = max(weak, threat if out == "T" else WEAK * threat)
+        return total, weak
 
 
 def _negation(left: int, symbol: str):
@@ -85,17 +105,23 @@ def _report(inside: bool, symbol: str):
     return inside or symbol == "R", symbol, 0.5 if inside and symbol in "IT" else 1.0
 
 
-def _target(state: tuple[int, bool], symbol: str):
-    left, threat = state
-    if symbol == "G":
-        return (4, False), "T" if threat else symbol, 1.0 if threat else 0.0
+def _target(state: tuple[int, bool, int, int], symbol: str):
+    """Writes T for a full threat and W for a weak one, at the threat or at the target behind it."""
+    left, speaker, before, gap = state
+    later = max(left - 1, 0), speaker, max(before - 1, 0), max(gap - 1, 0)
+    if symbol in "YDG":     # second person, second person as object, other
+        near = gap >= 3
+        out = "T" if near and speaker and symbol != "G" else "W" if near or gap and symbol != "G" else symbol
+        return (4, speaker, 2 if symbol == "D" else later[2], 0), out, 1.0
+    if symbol == "S":
+        return (later[0], True, *later[2:]), symbol, 1.0
     if symbol == "T":
-        return (max(left - 1, 0), not left), symbol, 1.0 if left else 0.0
-    return (max(left - 1, 0), threat), symbol, 1.5 if left and symbol == "I" else 1.0
+        return (*later[:3], 0 if before else 4), ("T" if speaker else "W") if before else "t", 1.0
+    return later, symbol, 1.5 if left and symbol == "I" else 1.0
 
 
 def grammar() -> Transducer:
-    return Transducer(0, _negation).then(Transducer(False, _report)).then(Transducer((0, False), _target))
+    return Transducer(0, _negation).then(Transducer(False, _report)).then(Transducer((0, False, 0, 0), _target))
 
 
 def score(text: str, terms: dict[str, float], machine: Transducer, known: dict[str, float]) -> tuple[float, int]:
@@ -109,7 +135,7 @@ def score(text: str, terms: dict[str, float], machine: Transducer, known: dict[s
             if len(known) < 200_000:
                 known[word] = weight
         marked = marked or weight > 0 or word in THREATS
-    total, clauses = 0.0, 0
+    total, faint, clauses, length = 0.0, 0.0, 0, 0
     if marked:
         for clause in CLAUSE.split(lower):
             symbols, weights = [], []
@@ -117,13 +143,19 @@ def score(text: str, terms: dict[str, float], machine: Transducer, known: dict[s
                 weight = known.get(word)
                 if weight is None:
                     weight = max([terms.get(word, 0.0), *(terms.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n)])
-                symbols.append("I" if weight else "T" if word in THREATS else "G" if word in TARGETS
+                if not weight and word in SPOKEN:
+                    symbols.append("S")
+                    weights.append(0.0)
+                symbols.append("I" if weight else "T" if word in THREATS else "D" if word in OBJECTS else "Y" if word in SECOND
+                               else "G" if word in TARGETS else "S" if word in SPEAKERS
                                else "N" if word in NEGATIONS else "R" if word in REPORTS else "O")
-                weights.append(weight or 1.5)
-            m = machine.weigh(symbols, weights)
-            clauses += m > 0
+                weights.append(weight or terms.get("!" + word, THREAT_WEIGHT))
+            m, weak = machine.weigh(symbols, weights)
+            clauses += m + weak > 0
+            length += bool(symbols)
             total += m
-    return float(-np.expm1(-total)), clauses
+            faint += weak
+    return float(-np.expm1(-total - faint * min(1, WEAK_CLAUSES / max(length, 1)))), clauses
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -136,7 +168,9 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     At most about ``sample_rows`` labels are used, picked by a hash of the id:
     a bounded table that is broadcast.  Terms are counted on the executors;
-    only the chosen ones (MOST_TERMS at most) come to the driver.
+    only the chosen ones (MOST_TERMS at most) come to the driver.  A threat
+    word that clean texts have too is among them, as "!" and the word, with
+    THREAT_WEIGHT times the toxic texts' part in its use.
     """
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
@@ -165,12 +199,17 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
             yield plain(pd.DataFrame(rows, columns=["term", "pos", "neg", "contexts"]))
 
     docs_with = texts.mapInPandas(count, "term string, pos long, neg long, contexts array<string>").groupBy("term").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts")) \
-        .where((F.col("pos") >= least) & (F.col("contexts") >= least))
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts"))
     odds = F.log((F.col("pos") + 0.5) / (pos - F.col("pos") + 0.5)) - F.log((F.col("neg") + 0.5) / (neg - F.col("neg") + 0.5))
-    likely = docs_with.withColumn("weight", odds).where((F.col("weight") >= LEAST_WEIGHT) & (F.col("pos") >= 3 * F.col("neg")))
-    found = likely.orderBy(F.desc("weight"), "term").limit(MOST_TERMS).collect()
-    return {r["term"]: min(1.5, r["weight"] / 4) for r in found}
+    rows = docs_with.withColumn("weight", odds).withColumn("threat", F.col("term").isin(*THREATS)).withColumn(
+        "likely", (F.col("pos") >= least) & (F.col("contexts") >= least) & (F.col("weight") >= LEAST_WEIGHT) & (F.col("pos") >= 3 * F.col("neg")))
+    found = rows.where("threat or likely").orderBy(F.desc("likely"), F.desc("weight"), "term").limit(MOST_TERMS + len(THREATS)).collect()
+    terms = {r["term"]: min(1.5, r["weight"] / 4) for r in [r for r in found if r["likely"]][:MOST_TERMS]}
+    for r in found:
+        if r["threat"] and not r["likely"] and r["neg"]:
+            toxic, clean = (r["pos"] + 1) / (pos + 1), r["neg"] / (neg + 1)
+            terms["!" + r["term"]] = THREAT_WEIGHT * toxic / (toxic + clean)
+    return terms
 
 
 def score_documents(docs: DataFrame, terms: dict[str, float]) -> DataFrame:

@@ -130,6 +130,32 @@ def test_clauses_are_scored_by_context():
     assert scored("i will kill you") >= 0.7 and scored("to kill time") < 0.5
 
 
+def test_clean_prose_with_words_of_threat_is_clean():
+    machine = toxicity.grammar()
+
+    def scored(text, terms={}):
+        return toxicity.score(text, terms, machine, {})[0]
+    clean = ["he was charged with murder", "they beat them in the final", "destroy old records before you leave", "you beat the eggs and stir",
+             "she shot the film and they beat him to it", "i will not hurt you", "too much salt can kill you", "he said i will kill you",
+             "ihr müsst die Sahne schlagen", "il faut frapper avant d'entrer chez vous"]
+    for text in clean:
+        assert scored(text) < toxicity.PREDICTED_FROM, text
+    rest = ". ".join(["the match went on for a long time"] * 20)
+    assert scored(". ".join([*clean, rest] * 50)) < toxicity.PREDICTED_FROM
+    for text in ["i will kill you", "ich werde dich umbringen", "je vais te tuer", "te mataré", "we are going to hurt you", "I'll shoot you"]:
+        assert scored(text) >= toxicity.PREDICTED_FROM, text
+    assert scored("i will beat you", {"!beat": 0.5}) < toxicity.PREDICTED_FROM
+
+
+def test_threats_that_clean_texts_have_weigh_less(spark, docs_of):
+    rows = [(i, prose(random.Random(i), 20) + (" i will beat you" if i % 2 else "")) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    terms = toxicity.learn_terms(docs, labels)
+    assert terms["!beat"] < 0.5 and "!kill" not in terms
+    assert toxicity.score_documents(docs, terms).where("predicted = 1").count() == 0
+
+
 def test_toxicity_learns_from_its_share_and_holds_on_the_rest(spark, docs_of, odd, none):
     rng = random.Random(7)
     rows = [(i, prose(rng, 40) + (" you zorg " + prose(rng, 5) + " zorg" if i % 5 == 0 else "")) for i in range(400)]
