@@ -5,9 +5,11 @@ network, so a pseudonym is as valid as the value was, equal values get equal
 pseudonyms in every document (separators and letter case do not matter), and the
 owner of the key can undo it:
 
-* cards (Luhn): the digits before the check digit, which is computed anew;
+* cards (Luhn): the digits before the check digit, which is computed anew; in a longer
+  run of digits the groups that make up cards, and the other values beside them;
 * IBANs (mod 97): the digits and letters after the check digits, which are computed anew;
-* phone numbers (ten digits, perhaps after +1), social security numbers, IPv4 addresses;
+* phone numbers (ten digits, perhaps after +1; without separators only if area code and
+  exchange begin with 2 to 9): these two digits stay in 0 and 1 or in 2 to 9; social security numbers, IPv4 addresses;
 * dates (year-month-day, day-month-year): a permutation of the 146,097 days of 1800
   to 2199, exactly 189 * 773; month/day/year where the day is 13 to 28, within that form;
 * e-mail addresses: the letters and digits before the @.
@@ -34,8 +36,11 @@ DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|
         r"|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])")
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+PHONE = (r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}"
+         r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])")
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"     # with all digits beside it
+CARD_LIKE = r"^[ -]?(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$"
+MOST_STEPS = 64
 KINDS = {"email": EMAIL, "iban": IBAN, "date": DATE, "ip": IP, "ssn": SSN, "phone": PHONE, "card": CARD}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 GATE = r"@|[0-9](?:[ ().+/-]{0,3}[0-9]){3}|[A-Z]{2}[0-9]{2}[A-Z0-9]"   # part of every match
@@ -73,15 +78,19 @@ def _symbol(v: Column, r: int | Column) -> Column:
 
 
 def _symbols(s: Column, key: str, tweak: str, undo: bool, first: tuple[int, ...] = ()) -> Column:
-    """Letters and digits permuted within their kinds; at the places ``first`` (from 0) a digit stays in 2 to 9."""
+    """Letters and digits permuted within their kinds; at the places ``first`` (from 0) a digit stays in 0 and 1 or in 2 to 9."""
     def base(c: Column, i: Column) -> Column:
-        return F.when(i.isin(*first), 50).when(c >= 97, 97).when(c >= 65, 65).otherwise(48) if first else \
-            F.when(c >= 97, 97).when(c >= 65, 65).otherwise(48)
+        kind = F.when(c >= 97, 97).when(c >= 65, 65).otherwise(48)
+        return F.when(i.isin(*first) & (c >= 50), 50).otherwise(kind) if first else kind
+
+    def symbol(c: Column, i: Column) -> Column:
+        b = base(c, i)
+        radix = F.when(b == 50, 8).when(b == 48, F.when(i.isin(*first), 2).otherwise(10) if first else 10).otherwise(26)
+        return _symbol(c - b, radix)
 
     def run(codes: Column) -> Column:
-        bases = F.transform(codes, base)
-        pairs = F.zip_with(codes, bases, lambda c, b: _symbol(c - b, F.when(b == 50, 8).when(b == 48, 10).otherwise(26)))
-        return F.array_join(F.zip_with(feistel(pairs, key, tweak, undo), bases, lambda v, b: F.chr(v + b)), "")
+        return F.array_join(F.zip_with(feistel(F.transform(codes, symbol), key, tweak, undo), F.transform(codes, base),
+                                       lambda v, b: F.chr(v + b)), "")
 
     return bound(F.transform(characters(s), lambda c: F.ascii(c)), run)
 
@@ -121,11 +130,87 @@ def iban_digits(country: Column, account: Column) -> Column:
     return F.lpad((98 - F.aggregate(codes, F.lit(0), add)).cast("string"), 2, "0")
 
 
+def _payload(digits: Column) -> Column:
+    return F.substr(digits, F.lit(1), F.length(digits) - 1)
+
+
+def _valid_card(m: Column) -> Column:
+    return bound(_digits(m), lambda d: F.length(d).between(13, 19) & (F.right(d, F.lit(1)) == luhn_digit(_payload(d))))
+
+
+def _joined(groups: Column, i: Column, n: Column) -> Column:
+    return F.array_join(F.slice(groups, i, n), "")
+
+
+def card_spans(groups: Column) -> Column:
+    """The cards in a run of digit groups as (i, n): first group, from 1, and number of groups.
+
+    That is the whole run if it is a card, else, from the left, what is written like
+    one, else the longest groups from the left that are valid.
+    """
+    size = F.size(groups)
+
+    def search(like: bool) -> Column:
+        def fits(m: Column) -> Column:
+            return m.rlike(CARD_LIKE) & _valid_card(m) if like else _valid_card(m)
+
+        def best(i: Column) -> Column:
+            return F.array_max(F.filter(F.sequence(F.lit(1), F.least(F.lit(19), size - i + 1)),
+                                        lambda n: bound(_joined(groups, i, n), fits)))
+
+        def add(acc: Column, i: Column) -> Column:
+            return F.when(i < acc["next"], acc).otherwise(bound(best(i), lambda n: F.when(n.isNull(), acc).otherwise(
+                F.struct((i + n).alias("next"), F.concat(acc["out"], F.array(F.struct(i.alias("i"), n.alias("n")))).alias("out")))))
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<i:int,n:int>>").alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), size), start, add, lambda acc: acc["out"])
+
+    whole = F.array(F.struct(F.lit(1).alias("i"), size.alias("n")))
+    return F.when(_valid_card(F.array_join(groups, "")), whole).otherwise(
+        bound(search(True), lambda out: F.when(F.size(out) > 0, out).otherwise(search(False))))
+
+
+def _groups(m: Column) -> Column:
+    return F.regexp_extract_all(m, F.lit("[ -]?[0-9]+"), F.lit(0))
+
+
 def _card(m: Column, key: str, undo: bool) -> Column:
-    digits = _digits(m)
-    payload = F.substr(digits, F.lit(1), F.length(digits) - 1)
-    new = bound(_symbols(payload, key, "card", undo), lambda new: F.concat(new, luhn_digit(new)))
-    return F.when(F.right(digits, F.lit(1)) == luhn_digit(payload), _refill(m, new)).otherwise(m)
+    """The cards of a run of digits, and the dates, social security and phone numbers beside them.
+
+    The run is changed until cards are found at the same places again, so that undoing finds them too.
+    """
+    beside = {k: KINDS[k] for k in ("date", "ssn", "phone")}
+    pattern = "|".join(f"(?:{p})" for p in beside.values())
+
+    def card(piece: Column) -> Column:
+        new = bound(_symbols(_payload(_digits(piece)), key, "card", undo), lambda new: F.concat(new, luhn_digit(new)))
+        return _refill(piece, new)
+
+    def rest(groups: Column, i: Column, n: Column) -> Column:
+        return bound(_joined(groups, i, n), lambda piece: rewritten(piece, pattern, lambda x: pseudonym(x, key, undo, beside), "[0-9]"))
+
+    def once(v: Column, spans: Column) -> Column:
+        def change(groups: Column) -> Column:
+            def add(acc: Column, x: Column) -> Column:
+                return F.struct((x["i"] + x["n"]).alias("at"), F.concat(
+                    acc["out"], rest(groups, acc["at"], x["i"] - acc["at"]),
+                    F.when(x["n"] > 0, bound(_joined(groups, x["i"], x["n"]), card)).otherwise("")).alias("out"))
+
+            start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+            last = F.array(F.struct((F.size(groups) + 1).alias("i"), F.lit(0).alias("n")))
+            return F.aggregate(F.concat(spans, last), start, add, lambda acc: acc["out"])
+
+        return bound(_groups(v), change)
+
+    def walk(spans: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            return F.when(acc["done"], acc).otherwise(bound(once(acc["v"], spans), lambda v: F.struct(
+                v.alias("v"), (bound(_groups(v), card_spans) == spans).alias("done"))))
+
+        start = F.struct(m.alias("v"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), start, step, lambda acc: acc["v"])
+
+    return bound(bound(_groups(m), card_spans), walk)
 
 
 def _iban(m: Column, key: str, undo: bool) -> Column:
@@ -185,23 +270,23 @@ def _ssn(m: Column, key: str, undo: bool) -> Column:
 CHANGES = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def kind_of(match: Column) -> Column:
-    """Which of KINDS a match belongs to: the first that fits it whole."""
+def kind_of(match: Column, kinds: dict[str, str] = KINDS) -> Column:
+    """Which of ``kinds`` a match belongs to: the first that fits it whole."""
     out = F.lit(None).cast("string")
-    for kind in reversed(KINDS):
-        out = F.when(match.rlike(f"^(?:{KINDS[kind]})$"), kind).otherwise(out)
+    for kind in reversed(kinds):
+        out = F.when(match.rlike(f"^(?:{kinds[kind]})$"), kind).otherwise(out)
     return out
 
 
-def pseudonym(match: Column, key: str, undo: bool = False) -> Column:
+def pseudonym(match: Column, key: str, undo: bool = False, kinds: dict[str, str] = KINDS) -> Column:
     """The pseudonym of one matched value, or the value itself if it is not valid."""
     def change(kind: Column) -> Column:
         out = match
-        for name, changed in CHANGES.items():
-            out = F.when(kind == name, changed(match, key, undo)).otherwise(out)
+        for name in kinds:
+            out = F.when(kind == name, CHANGES[name](match, key, undo)).otherwise(out)
         return out
 
-    return bound(kind_of(match), change)
+    return bound(kind_of(match, kinds), change)
 
 
 def pseudonymise(docs: DataFrame, key: str, undo: bool = False) -> DataFrame:

@@ -244,6 +244,24 @@ def test_pseudonyms_keep_format_link_and_come_back(docs_of, odd, none):
     assert pii.pseudonymise(none, "k").collect() == []
 
 
+def test_phones_with_any_digits_and_cards_among_others(docs_of):
+    card = "4111 1111 1111 1111"
+    texts = ["call (017) 555-7713 or 017.555.7713", "+1 132-155-1352 now", f"{card} 123", f"123 {card}", f"12345 {card} 77", f"{card} 5555-5555-5555-4444",
+             f"{card} 829 555 7292", "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "4555595528066773", f"{card} 017-555-7713 123-45-6789"]
+    texts += [f"{card} {i:03}" for i in range(40)]
+    docs = docs_of(list(enumerate(texts)))
+    out = pii.pseudonymise(docs, "k")
+    got = {r.doc_id: r.text for r in out.collect()}
+    for i, text in enumerate(texts):
+        assert re.sub("[0-9]", "0", got[i]) == re.sub("[0-9]", "0", text)
+    assert "555-7713" not in got[0] and re.findall("[0-9]", got[0])[:10] == re.findall("[0-9]", got[0])[10:]
+    assert "155-1352" not in got[1] and "829 555 7292" not in got[6] and "017-555-7713" not in got[9] and "123-45-6789" not in got[9]
+    assert all(card not in t for t in got.values()) and "5555-5555-5555-4444" not in got[5]
+    assert got[2].endswith(" 123") and got[3].startswith("123 ") and got[4].startswith("12345 ") and got[4].endswith(" 77") and got[8] == texts[8]
+    assert all(luhn(re.sub("[^0-9]", "", t)) for t in (got[2][:19], got[3][4:], got[4][6:25], got[5][:19], got[5][20:]))
+    assert {r.doc_id: r.text for r in pii.pseudonymise(out, "k", undo=True).collect()} == dict(enumerate(texts))
+
+
 # ---- secrets
 
 def reference_runs(s):
