@@ -6,7 +6,7 @@ Cuts depend on the bytes around them only, so an insertion changes the chunks
 around it and no others.  Chunks are compared by digest over the whole
 corpus.  The first of equal chunks (least document, then place) is kept; later
 ones are removed where they make up runs of MIN_RUN bytes or more, so short
-phrases stay.
+phrases stay.  Shorter documents are compared whole too, and copies of them removed.
 
 Only digests are shuffled, counted before they are, and a hot digest is joined
 to its rows, which splits; texts are shuffled once, for the documents that
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, plain, stage
 
-MIN_CHUNK, MAX_CHUNK = 32, 512
-BITS = 5              # a cut every 2**BITS bytes on average, from MIN_CHUNK on
+MIN_CHUNK, MAX_CHUNK = 16, 512
+BITS = 4              # a cut every 2**BITS bytes on average, from MIN_CHUNK on
 MIN_RUN = 128         # bytes
 
 _GEAR = np.random.default_rng(0x6EA2).integers(0, 2**32, 256, dtype=np.uint32)
@@ -55,8 +55,11 @@ def cut_points(data: bytes, least: int = MIN_CHUNK, most: int = MAX_CHUNK, bits:
     return ends
 
 
-def chunks_of(docs: DataFrame) -> DataFrame:
-    """(_key, doc_id, s, e, digest) of every chunk; places are bytes, the end exclusive."""
+def chunks_of(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """(_key, doc_id, s, e, digest) of every chunk; places are bytes, the end exclusive.
+
+    A text of fewer than ``min_run`` bytes has a row for the whole of it too, with s = -1.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, ids, starts, ends, digests = [], [], [], [], []
@@ -68,6 +71,12 @@ def chunks_of(docs: DataFrame) -> DataFrame:
                 starts += [0, *cuts[:-1]] if cuts else []
                 ends += cuts
                 digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *cuts], cuts, strict=False)]
+                if 0 < len(data) < min_run:
+                    keys.append(key)
+                    ids.append(doc)
+                    starts.append(-1)
+                    ends.append(len(data))
+                    digests.append(hashlib.blake2b(data, digest_size=16, person=b"whole").digest())
             yield plain(pd.DataFrame({"_key": keys, "doc_id": ids, "s": starts, "e": ends, "digest": digests}))
 
     # ids travel as text: pandas turns integers with nulls among them into rounded floats
@@ -86,7 +95,7 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     doc_id and text) count as one document and come back with the same result.
     """
     keyed = doc_key(docs)
-    chunks = chunks_of(keyed.select("_key", "doc_id", "text")) \
+    chunks = chunks_of(keyed.select("_key", "doc_id", "text"), min_run) \
         .withColumn("order", F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"), F.col("s").alias("s")))
     first = stage(chunks.groupBy("digest").agg(F.min("order").alias("first"), F.max("order").alias("last"))
                   .where("first <> last").select("digest", "first"), "repeated")
@@ -100,6 +109,7 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                 data = text.encode()
                 runs: list[list] = []
                 rows = sorted(found, key=lambda r: r["s"]) if found is not None else []
+                whole = [rows.pop(0)] if rows and rows[0]["s"] < 0 else []
                 for r in rows:
                     if not r["later"]:
                         continue
@@ -108,9 +118,12 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                         runs[-1][2].add(r["keeper"])
                     else:
                         runs.append([r["s"], r["e"], {r["keeper"]}])
+                copy = bool(whole) and whole[0]["later"]
+                if copy:
+                    runs = [[0, len(data), {whole[0]["keeper"]}]]
                 kept, last, linked = [], 0, set()
                 for s, e, keepers in runs:
-                    if e - s < min_run:
+                    if e - s < min_run and not copy:
                         continue
                     while s < e and data[s] & 0xC0 == 0x80:
                         s += 1

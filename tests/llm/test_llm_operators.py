@@ -117,6 +117,20 @@ def test_chunks_resist_insertions_and_keep_the_first_copy(docs_of, odd, none):
     assert chunk_dedup.deduplicate(odd).count() == 8 and chunk_dedup.deduplicate(none).collect() == []
 
 
+def test_chunks_catch_passages_of_fifty_words_and_copies_of_short_documents(docs_of):
+    rng = random.Random(12)
+    rows = []
+    for i in range(400):
+        passage = prose(rng, 45)[:312]
+        rows += [(i, f"{prose(rng, rng.randint(20, 60))} {passage} {prose(rng, 30)}"), (1000 + i, f"{prose(rng, rng.randint(20, 60))} {passage} {prose(rng, 30)}")]
+    rows += [(5000, "a short document"), (5001, "a short document"), (5002, "a short document"), (5003, "a short document too")]
+    got = {r.doc_id: r for r in chunk_dedup.deduplicate(docs_of(rows)).collect()}
+    assert all(got[i].n_removed == 0 for i in range(400))
+    assert sum(got[1000 + i].n_removed > 0 for i in range(400)) >= 0.97 * 400
+    assert [(got[i].text, got[i].linked) for i in (5000, 5001, 5002, 5003)] == [
+        ("a short document", []), ("", [5000]), ("", [5000]), ("a short document too", [])]
+
+
 # ---- toxicity
 
 def test_clauses_are_scored_by_context():
