@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-__all__ = ["doc_key", "plain", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
+__all__ = ["doc_key", "join_hot", "plain", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
 
 GROUP_BYTES = 1 << 18
 
@@ -65,6 +65,23 @@ def doc_key(docs: DataFrame) -> DataFrame:
         .withColumn("_key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
 
 
+HOT_SHARE = 1_000     # keys with more than 1 / HOT_SHARE of the rows are joined by broadcast
+HOT_ROWS = 1_000      # unless they have fewer rows than this
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, key: str, weight: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the facts of their key; ``how`` is inner or left.
+
+    ``facts`` has one row a key and, in ``weight``, that key's rows of ``n_rows`` in all.  At most HOT_SHARE
+    keys can hold more than a HOT_SHARE-th of the rows: they are broadcast, the others
+    meet in a shuffle without a hot key.
+    """
+    hot = F.col(weight) > max(HOT_ROWS, n_rows // HOT_SHARE)
+    often, rest = facts.where(hot).drop(weight), facts.where(~hot).drop(weight)
+    return rows.join(F.broadcast(often), key).unionByName(
+        rows.join(F.broadcast(often.select(key)), key, "left_anti").join(rest, key, how))
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, 1 << 16)

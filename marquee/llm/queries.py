@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_dedup, decontaminate, ngram_join, pii, secret_scan, sentencepiece_scan, suffix_dedup, toxicity, voronoi_knn, warc
+from . import (chunk_dedup, conversation_repair, decontaminate, ngram_join, pattern_packing, pii, secret_scan, sentencepiece_scan,
+               suffix_dedup, toxicity, voronoi_knn, warc, whitening)
 from .common import read
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -67,6 +68,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max("l.cosine").alias("cosine"), F.max("l.lcs").alias("lcs"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").where(whitening.valid(F.col("embedding")))
+    return whitening.whiten(rows.select("vec_id", whitening.quantised(F.col("embedding")).alias("x")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    report, repaired = conversation_repair.repair(conversation_repair.damage(rows))
+    return conversation_repair.report_all(rows, report, conversation_repair.digests(repaired))
+
+
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +91,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc_derivatives, op2_pii_feistel, op3_secret_scan, op4_chunk_dedup, op5_toxicity, op6_sentencepiece_scan,
-    op7_suffix_dedup, op8_ngram_jaccard, op9_voronoi_knn, op10_decontaminate, pipeline)}
+    op7_suffix_dedup, op8_ngram_jaccard, op9_voronoi_knn, op10_decontaminate, op11_whitening, op12_conversation_repair,
+    op13_pattern_packing, pipeline)}
 
 # components are floats of at most 64 terms: the products are exact integers in double precision
 ORACLES: dict[str, str] = {
