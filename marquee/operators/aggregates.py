@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import share
 from ..session import stage
-from .ranking import HOT_ROWS, asc, exclusive_sum
+from .ranking import HOT_ROWS
 
 
 def distinct_counts(df: DataFrame, keys: list[str], entity: str, flags: dict[str, Column],
@@ -27,38 +29,76 @@ def distinct_counts(df: DataFrame, keys: list[str], entity: str, flags: dict[str
     return one.groupBy(*keys).agg(*sums)
 
 
+BUCKETS = 1024      # of one narrowing round
+
+
 def percentile_cont(df: DataFrame, keys: list[str], value: str, q: float, out: str,
                     hot_rows: int | None = None) -> DataFrame:
     """Exact continuous percentile per group, however many values a group has.
 
-    Rows shrink to (group, value, count); a running count finds the two values
+    Groups of up to ``hot_rows`` rows are merged from (group, value, count).  Larger
+    ones, of which there are few, are never sorted: ``select_ranks`` narrows down to the two values
     around the target position, which are interpolated.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    counted = stage(counted, "value-counts")
-    if counted.count() <= (HOT_ROWS if hot_rows is None else hot_rows):
-        return counted.groupBy(*keys).agg(F.percentile(value, q, F.col("_n")).alias(out))
-    placed = exclusive_sum(counted, keys, [asc(value)], "_n", "_below", hot_rows)
-    sizes = counted.groupBy(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]).agg(F.sum("_n").alias("_size"))
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & placed[k].eqNullSafe(sizes[f"_s{i}"])
-    if keys:
-        placed = placed.join(sizes, same).drop(*[f"_s{i}" for i in range(len(keys))])
-    else:
-        placed = placed.withColumn("_size", sizes.scalar())
+    if not keys:
+        return percentile_cont(df.withColumn("_all", F.lit(0)), ["_all"], value, q, out, hot_rows).groupBy().agg(F.max(out).alias(out))
+    rows = stage(df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value")), "values")
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+
+    def merged(some: DataFrame) -> DataFrame:
+        counted = some.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
+        return counted.groupBy(*keys).agg(F.percentile("_value", q, F.col("_n")).alias(out))
+
+    if rows.count() <= limit:
+        return merged(rows)
+    sizes = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi")), "sizes")
+    hot = sizes.where(F.col("_size") > limit)
+    if hot.isEmpty():
+        return merged(rows)
     at = (F.col("_size") - 1) * F.lit(float(q))
-
-    def value_at(pos: Column) -> Column:
-        hit = (F.col("_below") <= pos) & (pos < F.col("_below") + F.col("_n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
-
-    found = placed.withColumn("_at", at).groupBy(*keys).agg(
-        value_at(F.floor("_at")).alias("_lo"), value_at(F.ceil("_at")).alias("_hi"), F.max("_at").alias("_at"),
-    )
+    wanted = hot.select(*keys, "_lo", "_hi", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))).alias("_rank"), at.alias("_at"))
+    found = select_ranks(rows, keys, wanted)
+    two = found.groupBy(*keys).agg(F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"), F.first("_at").alias("_at"))
     # the arithmetic of ``percentile``, so that both routes agree to the last bit
     mixed = (F.ceil("_at") - F.col("_at")) * F.col("_lo") + (F.col("_at") - F.floor("_at")) * F.col("_hi")
-    return found.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(mixed).alias(out))
+    large = two.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(mixed).alias(out))
+    if limit == 0:
+        return large
+    return large.unionByName(merged(_joined(rows, hot.select(*keys), keys, "left_anti")))
+
+
+def _joined(rows: DataFrame, facts: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join with broadcast facts on keys, NULL equal to NULL; the facts' keys are dropped."""
+    other = facts.withColumnsRenamed({k: f"_g{i}" for i, k in enumerate(keys)})
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(other[f"_g{i}"]) for i, k in enumerate(keys)])
+    return rows.join(F.broadcast(other), same, how).drop(*[f"_g{i}" for i in range(len(keys))])
+
+
+def select_ranks(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The ``_rank``-th smallest ``_value`` (from 0) of each group, as ``_v``, by narrowing histograms.
+
+    ``wanted`` has one row for each group and rank, with the range _lo to _hi in which the value lies.  Every round counts
+    the rows of that range in BUCKETS equal parts, picks the part that holds the rank and goes
+    on with the least and the largest value in it, until these are equal: a few scans
+    with small partial counts, and no sort.  ``wanted`` holds large groups only, so it is short.
+    """
+    state = stage(wanted.select(*keys, "_rank", F.col("_rank").alias("_left"), "_lo", "_hi", "_at"), "ranks")
+    while not state.where(~F.col("_lo").cast("double").eqNullSafe(F.col("_hi").cast("double"))).isEmpty():
+        lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+        share = (F.col("_value").cast("double") - lo) / (hi - lo)
+        part = F.when(lo == hi, 0).otherwise(F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS)).cast("int"))
+        inside = _joined(rows, state.drop("_at"), keys, "inner").where(F.col("_value").between(F.col("_lo"), F.col("_hi")))
+        counted = inside.groupBy(*keys, "_rank", "_left", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_l"), F.max("_value").alias("_h"))
+        # at most BUCKETS parts a group and rank
+        before = Window.partitionBy(*keys, "_rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        narrowed = counted.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0))) \
+            .where((F.col("_below") <= F.col("_left")) & (F.col("_left") < F.col("_below") + F.col("_n")))
+        kept = state.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], F.col("_rank").alias("_r"), "_at")
+        same = reduce(lambda a, b: a & b, [narrowed[k].eqNullSafe(kept[f"_s{i}"]) for i, k in enumerate(keys)], narrowed["_rank"] == kept["_r"])
+        state = stage(narrowed.join(F.broadcast(kept), same).select(
+            *keys, "_rank", (F.col("_left") - F.col("_below")).alias("_left"), F.col("_l").alias("_lo"), F.col("_h").alias("_hi"), "_at"), "ranks")
+    return state.select(*keys, "_rank", F.col("_lo").cast("double").alias("_v"), "_at")
 
 
 def with_shares(df: DataFrame, shares: dict[str, str], scale: int = 4) -> DataFrame:

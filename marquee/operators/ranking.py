@@ -3,9 +3,11 @@
 A window hands each group to one task.  That is the right plan while every
 group is small, and the wrong one when a title type, a genre or "no group at
 all" holds a third of the rows.  So each operator first measures the largest
-group; beyond ``HOT_ROWS`` it sorts globally into range partitions ("slices"),
-stores them, works inside each slice, and stitches the slices with a table of
-per-slice facts that has at most one row per slice (or slice and group).
+group; beyond ``HOT_ROWS`` it sorts globally into range partitions ("slices")
+and stores them bucketed by slice: the only exchange of the rows.  Reading
+knows that a slice lies together, so ranks inside each slice need no further
+shuffle; a table of per-slice facts (one row per slice, or slice and group)
+stitches the slices.
 
 Rows that an order leaves tied are ordered by all their columns on either route: the
 size of a group decides the plan, never the result.
@@ -19,12 +21,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, stage_bucketed, staged_bytes
+from .joins import join_counted
 
 HOT_ROWS = 500_000       # rows of one group a window task may be given
 WHOLE_ROWS = 100_000     # rows of a whole table a window task may be given
 SLICE_ROWS = 20_000      # rows worth a slice of their own
-SMALL_TABLE = 500_000    # narrow rows that may be broadcast after being counted
+SLICE_BYTES = 128 << 20  # what a slice is meant to hold
+MOST_SLICES = 20_000     # beyond that slices grow instead: facts about slices stay small
+SMALL_BYTES = 16 << 20   # stored facts that may be broadcast, by the size of their files
 
 _SLICE, _POS = "_slice", "_pos"
 _fresh = itertools.count()
@@ -38,6 +43,13 @@ def desc(c: str) -> Column:
     return F.col(c).desc_nulls_first()
 
 
+def _bytes(df: DataFrame) -> Column:
+    """Rough size of the rows: lengths of texts, and some bytes for every other column."""
+    long = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    texts = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in long]
+    return reduce(lambda a, b: a + b, texts, F.count(F.lit(1)) * (16 * len(df.columns)))
+
+
 def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None = None) -> int:
     """0 when every group of every key set fits one task, else the number of slices to cut.
 
@@ -53,9 +65,21 @@ def slices_needed(df: DataFrame, key_sets: list[list[str]], limit: int | None =
                  for keys in key_sets]
         if reduce(DataFrame.unionAll, sizes).agg(F.max("n")).first()[0] <= limit:
             return 0
-    # several slices per shuffle task even out where they land, but none for a handful of rows
+    # enough slices for all tasks where there are rows for them, else as many as their bytes ask for
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(total // HOT_ROWS + 1, min(4 * tasks, total // SLICE_ROWS + 8))
+    return min(MOST_SLICES, max(df.agg(_bytes(df)).first()[0] // SLICE_BYTES, min(tasks, total // SLICE_ROWS)) + 1)
+
+
+_labels: dict[int, list[int]] = {}
+
+
+def slice_labels(df: DataFrame, slices: int) -> list[int]:
+    """Rising numbers, one for each slice, that hash to buckets of their own."""
+    if slices not in _labels:
+        bucket = F.pmod(F.hash("id"), F.lit(slices))
+        first = df.sparkSession.range(64 * slices, numPartitions=1).groupBy(bucket).agg(F.min("id")).collect()
+        _labels[slices] = sorted(r[1] for r in first)
+    return _labels[slices]
 
 
 def _others(df: DataFrame) -> list[Column]:
@@ -65,7 +89,7 @@ def _others(df: DataFrame) -> list[Column]:
 
 
 def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
-    """Globally sorted rows stored with the slice and position they landed in.
+    """Globally sorted rows stored with the slice and position they landed in, each slice in a bucket of its own.
 
     The number of slices is explicit, so that AQE does not merge them.
 
@@ -77,15 +101,17 @@ def into_slices(df: DataFrame, order: list[Column], slices: int) -> DataFrame:
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         df = stage(df, "unsliced")
     here = F.monotonically_increasing_id()
+    labels = slice_labels(df, slices)
+    slices = len(labels)
     keys = [*order, *_others(df), F.col("_tie")]
     placed = (
         df.withColumn("_tie", here)
         .repartitionByRange(slices, *keys).sortWithinPartitions(*keys).drop("_tie")
         .withColumn(_POS, here)
-        .withColumn(_SLICE, F.shiftright(F.col(_POS), 33))
+        .withColumn(_SLICE, F.array(*map(F.lit, labels))[F.shiftright(F.col(_POS), 33).cast("int")])
         .withColumn(_POS, F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    return stage(placed, "slices")
+    return stage_bucketed(placed, "slices", _SLICE, slices)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -97,14 +123,14 @@ def _attach(df: DataFrame, facts: DataFrame, keys: list[str], take: str, one_per
 
     In a sort that starts with the keys only one key per slice goes on from an
     earlier (or into a later) slice, so the facts are at most as many as the
-    slices and can be broadcast.  Otherwise they are counted first.
+    slices and can be broadcast.  Otherwise they are stored and their size decides.
     """
     tag = next(_fresh)
     names = {k: f"_k{tag}_{i}" for i, k in enumerate([_SLICE, *keys])}
     facts = facts.select(*[F.col(k).alias(n) for k, n in names.items()], take)
     if not one_per_slice:
         facts = stage(facts, "offsets")
-    if one_per_slice or facts.count() <= SMALL_TABLE:
+    if one_per_slice or staged_bytes(facts) <= SMALL_BYTES:
         facts = F.broadcast(facts)
     return df.join(facts, _null_safe(df, facts, list(names.items())), "left").drop(*names.values())
 
@@ -129,10 +155,8 @@ def row_numbers(df: DataFrame, ranks: dict[str, list[str]], order: list[Column],
             out: F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *_others(df))).cast("bigint")
             for out, keys in ranks.items()
         })
-    sliced = into_slices(df, order, slices)
-    # clustering by slice satisfies every (slice, key) window below
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    placed = sliced.repartition(max(slices // 4, min(slices, cores)), _SLICE)
+    # lying together by slice satisfies every (slice, key) window below
+    sliced = placed = into_slices(df, order, slices)
     for i, (out, keys) in enumerate(ranks.items()):
         offset = f"_before{i}"
         local = F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(_POS))
@@ -209,20 +233,18 @@ def percent_rank(df: DataFrame, value: str, out: str, hot_rows: int | None = Non
     """PERCENT_RANK over the whole table, ascending with NULLs last.
 
     Ties share a rank, so ranks are a running count over distinct values: count
-    per value (map-side combined), running sum, join back on the value.
+    per value (map-side combined), running sum, join back on the value.  The counts
+    are broadcast while their files are small; else only values that hold a large part of the
+    rows are, and the others meet in a shuffle.
     ``counts_from`` names a stored table with the same rows to count from.
     """
     counts = stage((df if counts_from is None else counts_from).groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
     ranked = exclusive_sum(counts, [], [asc(value)], "_n", "_below", hot_rows)
-    total = counts.agg(F.sum("_n").alias("total"))
-    ranked = ranked.select(
-        F.col(value).alias("_v"),
-        F.when(total.scalar() > 1, F.col("_below") / (total.scalar() - 1))
-        .otherwise(F.lit(0.0)).cast("double").alias(out),
-    )
-    if counts.count() <= SMALL_TABLE:
-        ranked = F.broadcast(ranked)
-    return df.join(ranked, df[value].eqNullSafe(ranked["_v"]), "left").drop("_v")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    ranked = ranked.select(F.col(value).alias("_v"), "_n", (F.col("_below") / F.lit(max(total - 1, 1))).cast("double").alias(out))
+    if staged_bytes(counts) <= SMALL_BYTES:
+        return df.join(F.broadcast(ranked.drop("_n")), df[value].eqNullSafe(ranked["_v"]), "left").drop("_v")
+    return join_counted(df, stage(ranked.withColumnRenamed("_v", value), "value-ranks"), value, "_n", total)
 
 
 def deduplicate(df: DataFrame, partition_by: list[str], order_by: list[tuple[str, str]]) -> DataFrame:

@@ -49,8 +49,8 @@ def pivot(df: DataFrame, group_by: list[str], column: str, values: list, **optio
 
     One aggregate pass makes _PER_PASS columns; the passes of more values are joined on the groups.
     """
-    passes = [df.groupBy(*group_by).agg(*pivot_columns(column, values[at:at + _PER_PASS], **options))
-              for at in range(0, max(len(values), 1), _PER_PASS)]
+    one = _distinct_pass if options.get("distinct") else _pass
+    passes = [one(df, group_by, column, values[at:at + _PER_PASS], options) for at in range(0, max(len(values), 1), _PER_PASS)]
 
     def beside(a: DataFrame, b: DataFrame) -> DataFrame:
         b = b.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(group_by)})
@@ -60,6 +60,43 @@ def pivot(df: DataFrame, group_by: list[str], column: str, values: list, **optio
     return reduce(beside, passes)
 
 
+def _pass(df: DataFrame, group_by: list[str], column: str, values: list, options: dict) -> DataFrame:
+    return df.groupBy(*group_by).agg(*pivot_columns(column, values, **options))
+
+
+def _distinct_pass(df: DataFrame, group_by: list[str], column: str, values: list, options: dict) -> DataFrame:
+    """Distinct counts or sums in two levels, where one aggregate would expand every row once for each value.
+
+    Level 1 keeps one row for each group and entity (the then value) with a mark for each
+    value that it matches; level 2 adds marks.  The else value is one entity more
+    wherever a row does not match and no matching row has it already.
+    """
+    agg, cmp = options.get("agg", "sum"), options.get("cmp", "=")
+    then, other = _term(options.get("then_value", 1)), _term(options.get("else_value", 0))
+    names = pivot_columns(column, values, **{**options, "distinct": False, "agg": "count"})
+    hits = [F.coalesce(_COMPARE[cmp](F.col(column), F.lit(v)), F.lit(False)) for v in values]
+    marks = [F.max(h).alias(f"_m{i}") for i, h in enumerate(hits)] + [F.max(~h).alias(f"_o{i}") for i, h in enumerate(hits)]
+    # both values in the type that one CASE of them has
+    entity, other = (F.when(F.lit(first), then).otherwise(other) for first in (True, False))
+    once = df.select(*group_by, F.col(column), entity.alias("_entity"), other.alias("_other"))
+    once = once.groupBy(*group_by, "_entity", "_other").agg(*marks)
+
+    def total(i: int) -> Column:
+        mine, others = F.col(f"_m{i}"), F.col(f"_o{i}")
+        extra = F.max(F.when(others, F.col("_other")))
+        known = F.bool_or(mine & F.col("_entity").eqNullSafe(F.col("_other")))
+        more = extra.isNotNull() & ~F.coalesce(known, F.lit(False))
+        if agg == "count":
+            return F.count(F.when(mine, F.col("_entity"))) + more.cast("bigint")
+        if agg != "sum":
+            raise ValueError("distinct values are counted or summed")
+        matched = F.sum(F.when(mine, F.col("_entity")))
+        return F.when(more, F.coalesce(matched, F.lit(0)) + extra).otherwise(matched)
+
+    labels = df.groupBy(*group_by).agg(*names).columns[len(group_by):]
+    return once.groupBy(*group_by).agg(*[total(i).alias(n) for i, n in enumerate(labels)])
+
+
 def unpivot(df: DataFrame, cast_to: str = "string", keep: list[str] = (), remove: list[str] = (),
             field_name: str = "field_name", value_name: str = "value") -> DataFrame:
     """Columns as rows; ``keep`` columns repeat, ``remove`` columns vanish, NULLs stay."""

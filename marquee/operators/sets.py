@@ -5,34 +5,79 @@ from __future__ import annotations
 import fnmatch
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def common_type(kinds: list[T.DataType]) -> T.DataType:
+    """The narrowest type that holds the values of all: numbers widen, dates become timestamps, anything else becomes text."""
+    if all(k == kinds[0] for k in kinds):
+        return kinds[0]
+    kinds = [k for k in kinds if not isinstance(k, T.NullType)]
+    whole = [k for k in kinds if type(k) in _BITS]
+    decimals = [k for k in kinds if isinstance(k, T.DecimalType)]
+    floating = [k for k in kinds if isinstance(k, (T.FloatType, T.DoubleType))]
+    if kinds and len(whole) + len(decimals) + len(floating) == len(kinds):
+        if floating:
+            # a float holds 24 bits: only next to short whole numbers does it stay one
+            narrow = all(isinstance(k, T.FloatType) for k in floating) and not decimals and all(_BITS[type(k)] <= 16 for k in whole)
+            return T.FloatType() if narrow else T.DoubleType()
+        if not decimals:
+            return max(whole, key=lambda k: _BITS[type(k)])
+        scale = max(k.scale for k in decimals)
+        digits = max([k.precision - k.scale for k in decimals] + [_DIGITS[type(k)] for k in whole])
+        return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.DoubleType()
+    if kinds and all(isinstance(k, (T.DateType, T.TimestampType)) for k in kinds):
+        return T.TimestampType()
+    return kinds[0] if kinds and all(k == kinds[0] for k in kinds) else T.StringType()
 
 
 def union_relations(relations: dict[str, DataFrame], column_override: dict[str, str] | None = None,
                     include: list[str] = (), exclude: list[str] = (),
-                    source_column: str | None = "source_relation", where: str | None = None) -> DataFrame:
+                    source_column: str | None = "source_relation", where: str | None = None,
+                    types_from: str = "all") -> DataFrame:
     """Union of tables with different columns: superset of columns, NULL where absent.
 
-    The first table to have a column fixes its type unless overridden.
+    A column gets the narrowest type that holds the values of all tables (text, if they have nothing
+    else in common), unless overridden.  With ``types_from='first'`` the first table to have it fixes its type,
+    and fractions that meet a whole-number type are rounded: doubles to even, decimals away from zero.
     """
+    if types_from not in ("all", "first"):
+        raise ValueError("types_from must be 'all' or 'first'")
     if include and exclude:
         raise ValueError("give include or exclude, not both")
     override = column_override or {}
     only, never = {c.lower() for c in include}, {c.lower() for c in exclude}
-    types: dict[str, str] = {}
+    found: dict[str, list[T.DataType]] = {}
     for df in relations.values():
         for f in df.schema.fields:
             low = f.name.lower()
             if low in never or (only and low not in only):
                 continue
-            types.setdefault(f.name, override.get(f.name, f.dataType.simpleString()))
-    if not types:
+            found.setdefault(f.name, []).append(f.dataType)
+    if not found:
         raise ValueError(f"no columns to union in {', '.join(relations)}")
+    types = {c: override.get(c, (common_type(kinds) if types_from == "all" else kinds[0]).simpleString()) for c, kinds in found.items()}
+
+    def cast(c: str, kind: T.DataType, to: str) -> Column:
+        col = F.col(f"`{c}`")
+        if to in _WHOLE and isinstance(kind, (T.DoubleType, T.FloatType)):
+            col = F.bround(col, 0)
+        elif to in _WHOLE and isinstance(kind, T.DecimalType):
+            col = F.round(col, 0)
+        return col.cast(to).alias(c)
+
     parts = []
     for name, df in relations.items():
         rows = df.where(where) if where else df
-        cols = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        cols = [cast(c, kinds[c], t) if c in kinds else F.lit(None).cast(t).alias(c) for c, t in types.items()]
         if source_column is not None:
             cols.insert(0, F.lit(name).alias(source_column))
         parts.append(rows.select(*cols))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import stage
+from ..session import scratch_scope, stage
 from ..sources.layout import write_sorted
 from . import intermediate as I
 from . import marts as M
@@ -33,17 +33,22 @@ def staging_tables(raw: dict[str, DataFrame], as_of=None, missing: str = "marker
 
 def shared_joins(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
     """The joins more than one table reads, stored once."""
+    return {name: stage(df, f"shared-{name}") for name, df in lazy_joins(stg, as_of).items()}
+
+
+def lazy_joins(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
+    """The same joins, not stored: for views, which must show what their tables hold when they are read."""
     return {
-        "complete": stage(I.title_complete(stg["stg_titles"], stg["stg_ratings"]), "title-complete"),
-        "episodes": stage(I.episode_rows(stg["stg_episodes"], stg["stg_titles"], stg["stg_ratings"], as_of), "episode-rows"),
+        "complete": I.title_complete(stg["stg_titles"], stg["stg_ratings"]),
+        "episodes": I.episode_rows(stg["stg_episodes"], stg["stg_titles"], stg["stg_ratings"], as_of),
     }
 
 
-def intermediate_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def intermediate_tables(stg: dict[str, DataFrame], shared: dict[str, DataFrame], stored: bool = True) -> dict[str, DataFrame]:
     return {
         "int_title_genres": I.title_genres(stg["stg_titles"]), "int_title_complete": shared["complete"],
         "int_filmography": I.filmography(stg["stg_people"], stg["stg_credits"], shared["complete"]),
-        "int_hierarchy": I.hierarchy(shared["episodes"]),
+        "int_hierarchy": I.hierarchy(shared["episodes"], stored),
     }
 
 
@@ -65,9 +70,10 @@ def all_tables(raw: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of=None, batch_date: str = "",
           run_id: str = "") -> dict[str, DataFrame]:
-    """Write staging tables and marts below ``out``; intermediate tables stay views over staging.
+    """Write staging tables and marts below ``out``; intermediate tables stay lazy views over the stored staging tables.
 
-    Later layers read the written staging tables, so each extract is scanned once.
+    Later layers read the written staging tables, so each extract is scanned once.  What the marts
+    store on the way is deleted as soon as they are written.
     """
     def written(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         for name, df in tables.items():
@@ -77,8 +83,9 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of=None,
         return {name: spark.read.parquet(f"{out}/{name}") for name in tables}
 
     stg = written(staging_tables(raw, as_of, batch_date=batch_date, run_id=run_id))
-    shared = shared_joins(stg, as_of)
-    views = intermediate_tables(stg, shared)
+    views = intermediate_tables(stg, lazy_joins(stg, as_of), stored=False)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return {**stg, **views, **written(mart_tables(stg, shared))}
+    with scratch_scope():
+        marts = written(mart_tables(stg, shared_joins(stg, as_of)))
+    return {**stg, **views, **marts}

@@ -76,15 +76,16 @@ def episode_rows(episodes: DataFrame, titles: DataFrame, ratings: DataFrame, as_
         years.alias("series_duration_years"))
 
 
-def hierarchy(rows: DataFrame) -> DataFrame:
+def hierarchy(rows: DataFrame, stored: bool = True) -> DataFrame:
     """Episode rows (see ``episode_rows``) with their series' totals and classes.
 
     The rows are read twice, for the totals and for the detail: pass a stored
     table, not the joins.  The totals are stored too: small ones are broadcast,
-    otherwise AQE can split a hot series.  An episode id is unique, so counting rows counts
+    otherwise AQE can split a hot series.  With ``stored=False`` nothing is written before the result is read, as
+    a view needs it.  An episode id is unique, so counting rows counts
     episodes and the season count is the only distinct aggregate (no row expansion).
     """
-    totals = stage(rows.where(F.col("episode_rating").isNotNull()).groupBy("series_tconst").agg(
+    totals = rows.where(F.col("episode_rating").isNotNull()).groupBy("series_tconst").agg(
         F.max("series_duration_years").alias("series_years"),
         F.count(F.lit(1)).alias("total_episodes"), F.count_distinct("season_number").alias("total_seasons"),
         exact_avg("episode_rating").alias("avg_series_rating"),
@@ -95,7 +96,8 @@ def hierarchy(rows: DataFrame) -> DataFrame:
     ).withColumns({
         "avg_episodes_per_season": guarded_ratio(F.col("total_episodes"), F.col("total_seasons"), 1),
         "rating_spread": F.round("rating_consistency", 10),
-    }), "series-totals")
+    })
+    totals = stage(totals, "series-totals") if stored else totals
     joined = rows.join(totals, "series_tconst", "left").withColumn(
         "rating_gap", F.col("episode_rating") - F.col("avg_series_rating"))
     return joined.select(

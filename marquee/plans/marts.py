@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_avg, guarded_ratio
 from ..operators.aggregates import with_shares
-from ..operators.ranking import asc, desc, percent_rank, row_numbers
+from ..operators.ranking import asc, desc, percent_rank, row_number, row_numbers
 from ..session import stage
 from . import rulebook as R
 from .intermediate import GENRE_COLUMNS
@@ -18,6 +20,7 @@ MART_ORDER = {
     "mart_genres": ["market_share", "avg_rating"],
     "mart_series": ["avg_series_rating", "total_episodes"],
 }
+MART_KEY = {"mart_titles": "tconst", "mart_people": "nconst", "mart_genres": "genre", "mart_series": "series_tconst"}
 
 
 def ordered(name: str, df: DataFrame) -> DataFrame:
@@ -25,6 +28,12 @@ def ordered(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*[desc(c) for c in MART_ORDER[name]])
 
 
+def positions(name: str, df: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """The published order as a column: ``position`` counts from 1, ties in the order of the mart's key."""
+    order = [*[desc(c) for c in MART_ORDER[name]], asc(MART_KEY[name])]
+    return row_number(stage(df, name), [], order, "position", hot_rows)
+
+
 def weighted_score(rating: str = "average_rating", votes: str = "num_votes") -> Column:
     """Rating scaled by how many votes back it, as an exact decimal."""
     out = None
@@ -63,6 +72,20 @@ def title_mart(title_complete: DataFrame, hot_rows: int | None = None) -> DataFr
         F.col("performance_tier").isin(R.PREMIUM_TIERS).alias("is_premium_content"))
 
 
+_WORDS = range((R.TITLE_YEARS[1] - R.TITLE_YEARS[0]) // 64 + 1)
+
+
+def year_words(year: str) -> list[Column]:
+    """The distinct years of a group as bits: a few machine words that combine with OR before they are shuffled."""
+    at = F.col(year) - F.lit(R.TITLE_YEARS[0])
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+    return [F.bit_or(F.when(F.floor(at / 64) == w, bit)).alias(f"_years{w}") for w in _WORDS]
+
+
+def years_in_words() -> Column:
+    return reduce(lambda a, b: a + b, [F.bit_count(F.coalesce(F.col(f"_years{w}"), F.lit(0).cast("bigint"))) for w in _WORDS]).cast("bigint")
+
+
 def people_mart(people: DataFrame, credits: DataFrame, title_complete: DataFrame) -> DataFrame:
     """Careers of persons with enough titles.
 
@@ -91,15 +114,14 @@ def people_mart(people: DataFrame, credits: DataFrame, title_complete: DataFrame
     careers = works.groupBy("nconst").agg(
         F.min("start_year").alias("career_start_year"), F.max("start_year").alias("latest_work_year"),
         F.count(F.lit(1)).alias("total_credits"),
-        # start_year lies within TITLE_YEARS, so the set is small
-        F.size(F.collect_set("start_year")).cast("bigint").alias("active_years"),
+        *year_words("start_year"),
         *[F.count_if(F.col("roles").bitwiseAND(b) != 0).alias(f"{r}_credits") for r, b in bit.items()],
         F.sum(tenths).alias("_tenths"), F.sum(F.when(F.col("average_rating").isNotNull(), F.col("n"))).alias("_rated"),
         F.max("average_rating").alias("highest_rated_work"),
         F.sum(F.col("num_votes") * F.col("n")).alias("total_audience_reach"),
         *[F.count_if(within("start_year", *span)).alias(name) for name, span in R.COUNTED_ERAS.items()],
         *[F.count_if(within("average_rating", *span)).alias(name) for name, span in R.COUNTED_QUALITY.items()],
-    ).where(F.col("total_credits") >= R.MIN_CAREER_CREDITS)
+    ).where(F.col("total_credits") >= R.MIN_CAREER_CREDITS).withColumn("active_years", years_in_words())
     held = [F.when(F.col(f"{r}_credits") > 0, 1).otherwise(0) for r in R.CAREER_ROLES]
     named = careers.join(people.select("nconst", F.col("primary_name").alias("person_name")), "nconst").withColumns({
         "career_span_years": F.col("latest_work_year") - F.col("career_start_year"),
@@ -148,7 +170,7 @@ def genre_mart(title_complete: DataFrame) -> DataFrame:
         *[F.count_if(F.col("title_type") == t).alias(f"{n}_count")
           for t, n in (("movie", "movie"), ("tvSeries", "tv_series"), ("tvMovie", "tv_movie"))],
         F.count_if((rating >= 8) & (votes >= 50000)).alias("premium_titles"),
-        F.count_if((rating * 10 >= 75) & (votes >= 100000)).alias("blockbuster_titles"),
+        F.count_if((rating >= 7.5) & (votes >= 100000)).alias("blockbuster_titles"),
     )
     market = with_shares(stats, {"market_share": "total_titles", "vote_share": "total_votes"})
     market = market.withColumn("rating_drift", F.col("avg_rating_2020s") - F.col("avg_rating_2010s")).withColumns({

@@ -62,8 +62,8 @@ PRODUCTIVITY = steps("total_credits", ">=", [
     (100, "Highly Prolific (100+)"), (50, "Very Active (50-99)"), (20, "Active (20-49)"), (10, "Moderate (10-19)")],
     "Limited Activity (3-9)")
 DOMINANT_ROLE = rules(
-    ("actor_credits >= greatest(director_credits, writer_credits, producer_credits)", "Actor"),
-    ("director_credits >= greatest(writer_credits, producer_credits)", "Director"),
+    ("actor_credits >= director_credits AND actor_credits >= writer_credits AND actor_credits >= producer_credits", "Actor"),
+    ("director_credits >= writer_credits AND director_credits >= producer_credits", "Director"),
     ("writer_credits >= producer_credits", "Writer"), ("producer_credits > 0", "Producer"), default="Other")
 VERSATILITY = rules(("roles_held >= 3", "Multi-Talented"), ("roles_held = 2", "Dual-Role"), default="Specialist")
 REPUTATION = rules(
@@ -72,8 +72,8 @@ REPUTATION = rules(
     ("avg_project_rating >= 6.5", "Good Track Record"), ("avg_project_rating IS NOT NULL", "Mixed Results"),
     default="Unrated Work")
 ACTIVITY = rules(
-    ("works_2020s >= greatest(works_2010s, works_2000s)", "Current Era Active"),
-    ("works_2010s >= greatest(works_2000s, works_1990s)", "Peak 2010s"),
+    ("works_2020s >= works_2010s AND works_2020s >= works_2000s", "Current Era Active"),
+    ("works_2010s >= works_2000s AND works_2010s >= works_1990s", "Peak 2010s"),
     ("works_2000s >= works_1990s", "Peak 2000s"), ("works_1990s > 0", "Legacy Era"), default="Varied Activity")
 MIN_CAREER_CREDITS = 3
 # the rungs of WORK_DECADE and WORK_QUALITY a career counts, as [from, below)
@@ -149,7 +149,7 @@ PERFORMANCE_TIER = rules(
     (_both(">= 0.95", ">= 0.9"), "Masterpiece"), (_both(">= 0.9", ">= 0.7"), "Blockbuster Hit"),
     (_both(">= 0.85", ">= 0.5"), "Critical Success"), (_both(">= 0.6", ">= 0.85"), "Popular Hit"),
     ("quality_percentile >= 0.7", "Quality Content"), ("popularity_percentile >= 0.7", "Mainstream Appeal"),
-    ("greatest(quality_percentile, popularity_percentile) >= 0.5", "Above Average"), default="Standard Content")
+    ("quality_percentile >= 0.5 OR popularity_percentile >= 0.5", "Above Average"), default="Standard Content")
 PREMIUM_TIERS = ["Masterpiece", "Blockbuster Hit", "Critical Success"]
 POPULARITY_SEGMENT = steps("popularity_percentile", ">=", [
     ("0.9", "Mass Market"), ("0.7", "Broad Appeal"), ("0.4", "Moderate Reach"), ("0.2", "Niche Appeal")],

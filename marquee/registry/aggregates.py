@@ -173,9 +173,9 @@ def scalar_default(spark, sf):
 
 
 @query("join_inner", """
-SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'""")
+SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey""")
 def join_inner(spark, sf):
-    orders = table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    orders = table(spark, sf, "orders")
     customer = table(spark, sf, "customer").select("c_custkey", "c_name")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "o_totalprice")
 
@@ -190,10 +190,10 @@ def join_left(spark, sf):
 @query("join_chain", """
 SELECT n_name, r_name, count(*) AS lines, round(sum(cast(l_extendedprice AS decimal(18,2))), 2)::double AS revenue
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  LEFT JOIN region ON n_regionkey = r_regionkey WHERE l_returnflag = 'R' GROUP BY n_name, r_name""")
+  LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY n_name, r_name""")
 def join_chain(spark, sf):
     # shrink the fact table to one row per supplier before it meets the dimensions
-    lines = table(spark, sf, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("r"))
     nation = table(spark, sf, "nation").withColumnsRenamed({"n_nationkey": "s_nationkey", "n_regionkey": "r_regionkey"})
     joined = lines.join(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey") \
@@ -325,17 +325,44 @@ def union_by_pattern(spark, sf):
     return U.union_relations(U.tables_matching(spark, "%ER", exclude="order%"))
 
 
-@query("union_by_prefix", "SELECT 'orders' AS source_relation, * FROM orders")
+@query("union_by_prefix", """
+SELECT 'customer' AS source_relation, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, NULL::bigint AS conv_id, NULL::bigint AS turn,
+  NULL::varchar AS role, NULL::varchar AS text FROM customer
+UNION ALL SELECT 'conversations', NULL, NULL, NULL, NULL, NULL, conv_id, turn, role, text FROM conversations""")
 def union_by_prefix(spark, sf):
-    register_tables(spark, sf, ["customer", "supplier", "orders"])
-    return U.union_relations(U.tables_with_prefix(spark, "ord"))
+    register_tables(spark, sf, ["customer", "conversations", "orders"])
+    return U.union_relations(dict(reversed(U.tables_with_prefix(spark, "c").items())))
 
 
 @query("union_files", """
-SELECT 'nation' AS source_relation, n_regionkey, n_name AS name FROM nation""")
+SELECT 'nation' AS source_relation, n_name, n_regionkey, NULL::varchar AS r_name FROM nation
+UNION ALL SELECT 'region', NULL, NULL, r_name FROM region
+UNION ALL SELECT 'part', NULL, NULL, NULL FROM part""")
 def union_files(spark, sf):
-    out = U.union_files(spark, {"nation": f"{sf}/nation.parquet"}, include=["n_regionkey", "n_name"])
-    return out.withColumnRenamed("n_name", "name")
+    paths = {name: f"{sf}/{name}.parquet" for name in ("nation", "region", "part")}
+    return U.union_files(spark, paths, include=["n_regionkey", "n_name", "r_name"])
+
+
+@query("union_mixed_types", """
+SELECT 'lines' AS source_relation, l_linenumber::double AS amount, l_orderkey::varchar AS code FROM lineitem
+UNION ALL SELECT 'prices', p_retailprice, p_brand FROM part
+UNION ALL SELECT 'balances', c_acctbal, NULL FROM customer""")
+def union_mixed_types(spark, sf):
+    """Whole numbers first, then fractions; keys first, then names: the common type holds all of them."""
+    return U.union_relations({
+        "lines": table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("int").alias("amount"), F.col("l_orderkey").alias("code")),
+        "prices": table(spark, sf, "part").select(F.col("p_retailprice").alias("amount"), F.col("p_brand").alias("code")),
+        "balances": table(spark, sf, "customer").select(F.col("c_acctbal").alias("amount"))})
+
+
+@query("union_first_types", """
+SELECT 'lines' AS source_relation, l_linenumber AS amount FROM lineitem
+UNION ALL SELECT 'prices', round_even(p_retailprice, 0)::int FROM part""")
+def union_first_types(spark, sf):
+    """The first table's type asked for: fractions are rounded to it."""
+    return U.union_relations({
+        "lines": table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("int").alias("amount")),
+        "prices": table(spark, sf, "part").select(F.col("p_retailprice").alias("amount"))}, types_from="first")
 
 
 @query("star_except", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")

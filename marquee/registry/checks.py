@@ -161,12 +161,13 @@ def chk_relationships_where(spark, sf):
 
 
 _SEQUENCE = """
-SELECT o_orderkey, previous_value FROM (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_value
-  FROM orders WHERE o_orderstatus = 'F') x WHERE NOT (o_orderkey = previous_value + 1)"""
+SELECT o_custkey, o_orderkey, previous_value FROM (
+  SELECT o_custkey, o_orderkey, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous_value
+  FROM orders) x WHERE NOT (o_orderkey = previous_value + 1)"""
 
 
 def _sequence(spark, sf, hot_rows=None):
-    return C.sequential_values(table(spark, sf, "orders").where("o_orderstatus = 'F'"), "o_orderkey", hot_rows=hot_rows)
+    return C.sequential_values(table(spark, sf, "orders"), "o_orderkey", group_by=["o_custkey"], hot_rows=hot_rows)
 
 
 query("chk_sequential_values", _SEQUENCE)(_sequence)

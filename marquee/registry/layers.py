@@ -311,25 +311,29 @@ def consumer_top_movies(spark, sf):
 @query("consumer_versatile", """
 SELECT person_name, total_credits, career_span_years, round(avg_project_rating, 6) AS avg_project_rating, dominant_role,
   versatility_level, quality_reputation
-FROM mart_people WHERE versatility_level = 'Multi-Talented' AND avg_project_rating >= 5.5""")
+FROM mart_people WHERE versatility_level = 'Multi-Talented' AND avg_project_rating >= 7.0""")
 def consumer_versatile(spark, sf):
-    """The derived catalogue has no career average of 7, so the bar is a parameter."""
-    return rounded(consumers.versatile_people(people_mart(spark, sf), min_rating=5.5))
+    return rounded(consumers.versatile_people(people_mart(spark, sf)))
 
 
-@query("consumer_genres", f"""
+@query("consumer_genres", """
 SELECT genre, market_share, production_trend, quality_trend, investment_priority, content_strategy
-FROM mart_genres WHERE investment_priority IN {_list(R.PRIORITY.labels)}""")
+FROM mart_genres WHERE investment_priority IN ('High Priority', 'Medium Priority', 'Emerging Opportunity')""")
 def consumer_genres(spark, sf):
-    """No derived genre rates high enough, so the wanted priorities are a parameter."""
-    return rounded(consumers.genre_investments(genre_mart(spark, sf), R.PRIORITY.labels))
+    return rounded(consumers.genre_investments(genre_mart(spark, sf)))
 
 
-@query("consumer_series", f"""
+@query("consumer_series", """
 SELECT series_title, total_episodes, total_seasons, round(avg_series_rating, 6) AS avg_series_rating, consistency_rating,
   series_performance_tier, engagement_level
-FROM mart_series WHERE series_performance_tier IN {_list(R.MART_SERIES_TIER.labels)}
-  AND consistency_rating IN {_list(R.MART_CONSISTENCY.labels)}""")
+FROM mart_series WHERE series_performance_tier IN ('Premium Franchise', 'Quality Series')
+  AND consistency_rating IN ('Very Consistent', 'Consistent')""")
 def consumer_series(spark, sf):
-    """Few derived series are premium, so the wanted classes are a parameter."""
-    return rounded(consumers.premium_series(series_mart(spark, sf), R.MART_SERIES_TIER.labels, R.MART_CONSISTENCY.labels))
+    return rounded(consumers.premium_series(series_mart(spark, sf)))
+
+
+# the published order made visible; rows that it leaves tied are in the order of their key
+for _name, (_keys, _tie) in {name: (M.MART_ORDER[name], M.MART_KEY[name]) for name in M.MART_ORDER}.items():
+    _sql = f"""SELECT {_tie}, row_number() OVER (ORDER BY {", ".join(f"{_name}.{c} DESC NULLS FIRST" for c in _keys)}, {_tie}) AS position FROM {_name}"""
+    query(f"{_name}_published_order", _sql)(
+        partial(lambda name, spark, sf: M.positions(name, TABLES[name](spark, sf)).select(M.MART_KEY[name], "position"), _name))

@@ -299,6 +299,15 @@ def pivot_distinct(spark, sf):
                    then_value=F.col("user_id"), else_value=None, distinct=True)
 
 
+@query("pivot_distinct_default", """
+SELECT event_type, count(DISTINCT CASE WHEN user_id % 3 = 0 THEN value ELSE 10 END) AS u0,
+  count(DISTINCT CASE WHEN user_id % 3 = 1 THEN value ELSE 10 END) AS u1 FROM events GROUP BY event_type""")
+def pivot_distinct_default(spark, sf):
+    """An else value is one more distinct value, unless a matching row has it."""
+    events = table(spark, sf, "events").withColumn("third", F.col("user_id") % 3)
+    return P.pivot(events, ["event_type"], "third", [0, 1], agg="count", prefix="u", then_value=F.col("value"), else_value=10, distinct=True)
+
+
 @query("pivot_prefix", """
 SELECT o_orderpriority, round(sum(CASE WHEN o_orderstatus = 'F' THEN cast(o_totalprice AS decimal(18,2)) ELSE 0 END)::double, 2) AS status_f_total,
   round(sum(CASE WHEN o_orderstatus = 'O' THEN cast(o_totalprice AS decimal(18,2)) ELSE 0 END)::double, 2) AS status_o_total
@@ -394,12 +403,12 @@ def date_spine_month(spark, sf):
 
 
 @query("spine_filled_revenue", f"""
-SELECT d::date AS day, round(coalesce(sum(cast(o_totalprice AS decimal(18,2))) FILTER (o_orderpriority = '1-URGENT'), 0)::double, 2) AS revenue
+SELECT d::date AS day, round(coalesce(sum(cast(o_totalprice AS decimal(18,2))), 0)::double, 2) AS revenue
 FROM generate_series({_SPAN}::timestamp, (SELECT max(o_orderdate)::date FROM orders)::timestamp, INTERVAL 1 DAY) g(d)
 LEFT JOIN orders ON o_orderdate::date = d::date GROUP BY 1""")
 def spine_filled_revenue(spark, sf):
     orders, first, last = _order_days(spark, sf)
     spine = G.date_spine(spark, "day", first, last).select(F.col("date_day").cast("date").alias("day"))
-    facts = orders.where("o_orderpriority = '1-URGENT'").groupBy(F.to_date("o_orderdate").alias("day")).agg(
+    facts = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"))
     return rounded(G.fill_spine(spine, "day", facts, ["revenue"]))

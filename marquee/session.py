@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -80,7 +81,88 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged_at(df.sparkSession, path, df.schema)
+
+
+_PATH = "_marquee_path"
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
+def staged_at(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The frame over a written scratch table; the innermost open scope owns the table."""
+    if _scopes:
+        _scopes[-1].append((spark, path))
+    out = spark.read.schema(schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
+
+
+def stage_bucketed(df: DataFrame, label: str, by: str, buckets: int) -> DataFrame:
+    """``stage`` as a bucketed table: readers know that rows with equal ``by`` lie together, and need no shuffle for it."""
+    path = scratch_path(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append((df.sparkSession, path))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, by).saveAsTable(_table_of(path))
+    out = df.sparkSession.table(_table_of(path))
+    setattr(out, _PATH, path)
+    return out
+
+
+def _table_of(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def staged_bytes(staged: DataFrame) -> int:
+    """Size of the files of a staged frame."""
+    return sum(size for _, size, _ in files_below(staged.sparkSession, getattr(staged, _PATH)))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    spark.sql(f"DROP TABLE IF EXISTS `{_table_of(path)}`")     # of a bucketed one
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the files of staged frames that nothing will read again."""
+    for df in staged:
+        delete_path(df.sparkSession, getattr(df, _PATH))
+
+
+def paths_read(df: DataFrame) -> set[str]:
+    """The paths, files or folders, that the frame's relations were opened with; no file is listed."""
+    leaves, out = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName().startswith("LogicalRelation"):
+            roots = leaf.relation().location().rootPaths() if hasattr(leaf.relation(), "location") else None
+            out |= {roots.apply(j).toUri().getPath() for j in range(roots.size())} if roots is not None else set()
+    return out
+
+
+def is_scan(df: DataFrame) -> bool:
+    """The rows come straight from files: nothing but columns and filters lies between."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().apply(0)
+    return node.nodeName() == "LogicalRelation"
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[tuple[SparkSession, str]]]:
+    """Owns the tables that ``stage`` writes inside the block and deletes them at its end.
+
+    Results must be written, or collected, inside.  A table staged in a nested
+    scope belongs to that one.  ``stage_once`` keeps its tables: later callers read them.
+    """
+    owned: list[tuple[SparkSession, str]] = []
+    _scopes.append(owned)
+    try:
+        yield owned
+    finally:
+        _scopes.remove(owned)
+        for spark, path in owned:
+            delete_path(spark, path)
 
 
 def files_below(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:

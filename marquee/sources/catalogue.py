@@ -42,7 +42,7 @@ select {_tt('o_orderkey')} as tconst,
   when o_orderkey%3=1 then g1||','||g2 else g1||','||g2||','||g3 end as genres
 from (select o.*, {_genre(0)} as g1, {_genre(3)} as g2, {_genre(5)} as g3 from orders o) x""",
     "raw_title_ratings": f"""
-select {_tt('o_orderkey')} as tconst, cast(((o_orderkey*7919)%91+10)/10.0 as decimal(3,1)) as averageRating,
+select {_tt('o_orderkey')} as tconst, cast(floor(100.5-((o_orderkey*7919)%91)*((o_orderkey*7919)%91)/90.0)/10.0 as decimal(3,1)) as averageRating,
  cast(floor(o_totalprice/(1+o_orderkey%97)) as int) as numVotes
 from orders where o_orderkey%5<>0""",
     "raw_name_basics": f"""

@@ -32,7 +32,7 @@ def append_available(rows: DataFrame, out: str, checkpoint: str) -> StreamingQue
 
 def upsert_available(rows: DataFrame, table: VersionedTable, key: list[str], checkpoint: str,
                      newest_by: list[str] | None = None) -> StreamingQuery:
-    """Upsert everything that is available now into a versioned table, batch by batch.
+    """Upsert everything that is available now into a versioned table, batch by batch; a bucketed one rewrites the batch's buckets only.
 
     Replaying a batch after a failure replaces the same keys again, so the
     outcome does not change.  ``newest_by`` keeps the newest row per key among
@@ -40,9 +40,9 @@ def upsert_available(rows: DataFrame, table: VersionedTable, key: list[str], che
     """
     def apply(batch: DataFrame, _: int) -> None:
         if newest_by:
-            stored = table.read()
+            stored = table.matching(batch, key)
             if stored is not None:
-                batch = batch.unionByName(stored.join(batch.select(*key).distinct(), key, "left_semi"))
+                batch = batch.unionByName(stored)
             batch = deduplicate(batch, key, [(c, "desc") for c in newest_by])
         table.upsert(batch, key)
 
