@@ -148,6 +148,28 @@ def is_scan(df: DataFrame) -> bool:
     return node.nodeName() == "LogicalRelation"
 
 
+def _forget(owned: list[tuple[SparkSession, str]]) -> None:
+    _scopes[:] = [s for s in _scopes if s is not owned]
+
+
+@contextmanager
+def recording(owned: list[tuple[SparkSession, str]]) -> Iterator[None]:
+    """Tables that ``stage`` writes inside the block are added to ``owned``; the caller deletes them when it can tell that nobody reads them."""
+    _scopes.append(owned)
+    try:
+        yield
+    finally:
+        _forget(owned)
+
+
+def free_unread(owned: list[tuple[SparkSession, str]], *frames: DataFrame) -> None:
+    """Delete the recorded tables that none of the frames reads, and forget them."""
+    read = {path.rstrip("/").rsplit("/", 1)[-1] for df in frames for path in paths_read(df)}
+    for entry in [e for e in owned if e[1].rsplit("/", 1)[-1] not in read]:
+        owned.remove(entry)
+        delete_path(*entry)
+
+
 @contextmanager
 def scratch_scope() -> Iterator[list[tuple[SparkSession, str]]]:
     """Owns the tables that ``stage`` writes inside the block and deletes them at its end.
@@ -160,7 +182,7 @@ def scratch_scope() -> Iterator[list[tuple[SparkSession, str]]]:
     try:
         yield owned
     finally:
-        _scopes.remove(owned)
+        _forget(owned)
         for spark, path in owned:
             delete_path(spark, path)
 
