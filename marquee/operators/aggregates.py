@@ -29,7 +29,8 @@ def distinct_counts(df: DataFrame, keys: list[str], entity: str, flags: dict[str
     return one.groupBy(*keys).agg(*sums)
 
 
-BUCKETS = 1024      # of one narrowing round
+BUCKETS = 1024       # of one narrowing round
+MOST_NAMES = 10_000  # values that may become a list on the driver
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value: str, q: float, out: str,
@@ -123,11 +124,11 @@ def value_frequencies(df: DataFrame, column: str, where: str | None = None, limi
 
 
 def column_values(df: DataFrame | None, column: str, where: str | None = None, limit: int | None = None,
-                  default: list | None = None, at_most: int | None = None, order_by: list[Column] | None = None) -> list:
+                  default: list | None = None, at_most: int = MOST_NAMES, order_by: list[Column] | None = None) -> list:
     """Distinct values as a list, for naming columns.
 
     ``df=None`` stands for a table that does not exist.  More values than
-    ``at_most``, if it is given, are an error; for a list of unknown length use
+    ``at_most`` are an error; for a list of unknown length use
     ``value_frequencies``, which stays distributed.
     """
     if df is None:
@@ -135,8 +136,8 @@ def column_values(df: DataFrame | None, column: str, where: str | None = None, l
             raise ValueError("no such table and no default value")
         return default
     values = value_frequencies(df, column, where, limit, order_by).select("value")
-    found = [r[0] for r in (values.collect() if at_most is None else values.take(at_most + 1))]
-    if at_most is not None and len(found) > at_most:
+    found = [r[0] for r in values.take(at_most + 1)]
+    if len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} distinct values")
     return found or (default if default is not None else [])
 

@@ -234,12 +234,27 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
     return rows.where(true_only(~ok))
 
 
-def columns_match(df: DataFrame, columns: list[str], transform: str = "upper") -> DataFrame:
-    """(relation_column, input_column): names one side has and the other lacks."""
+def columns_match(df: DataFrame, columns: list[str], transform: str = "upper", with_rows: bool = False) -> DataFrame:
+    """(relation_column, input_column): names one side has and the other lacks.
+
+    ``with_rows`` adds in ``num_rows`` how many rows of the relation hold a value in a column that the
+    input lacks, 0 for a column that the relation lacks: what would be lost.
+    """
     change = {"upper": str.upper, "lower": str.lower, "none": str}[transform]
     spark = df.sparkSession
     have = spark.createDataFrame([(change(c),) for c in df.columns], "relation_column string")
     want = spark.createDataFrame([(change(c),) for c in columns], "input_column string")
     both = have.join(want, F.col("relation_column") == F.col("input_column"), "full")
-    return both.where("relation_column is null or input_column is null")
-
+    off = both.where("relation_column is null or input_column is null")
+    if not with_rows:
+        return off
+    wanted = {change(c) for c in columns}
+    extra = [c for c in df.columns if change(c) not in wanted]
+    if not extra:
+        return off.withColumn("num_rows", F.lit(0).cast("bigint"))
+    # one pass over the extra columns
+    held = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(extra)))
+    held = held.select(F.explode(F.array(*(F.struct(F.lit(change(c)).alias("name"), F.col(f"_{i}").alias("n")) for i, c in enumerate(extra)))).alias("h"))
+    held = held.select(F.col("h.name").alias("_name"), F.col("h.n").alias("_n"))
+    return off.join(F.broadcast(held), F.col("relation_column") == F.col("_name"), "left").select(
+        "relation_column", "input_column", F.coalesce("_n", F.lit(0).cast("bigint")).alias("num_rows"))

@@ -196,11 +196,13 @@ def chk_assert_equal(spark, sf):
 
 
 @query("chk_columns_match", """
-SELECT * FROM (SELECT 'O_CUSTKEY' AS relation_column, NULL::varchar AS input_column UNION ALL SELECT NULL, 'O_COMMENT') x""")
+SELECT 'EVENT_TYPE' AS relation_column, NULL::varchar AS input_column, count(event_type) AS num_rows FROM events
+UNION ALL SELECT 'PROPS', NULL, count(props) FROM events UNION ALL SELECT NULL, 'COMMENT', 0""")
 def chk_columns_match(spark, sf):
-    orders = table(spark, sf, "orders")
-    expected = [c for c in orders.select(*star(orders, ["o_custkey"])).columns] + ["o_comment"]
-    return C.columns_match(orders, expected)
+    """Columns that a target lacks, with the number of values that would be lost, and columns that the table lacks."""
+    events = table(spark, sf, "events")
+    expected = [c for c in events.select(*star(events, ["event_type", "props"])).columns] + ["comment"]
+    return C.columns_match(events, expected, with_rows=True)
 
 
 REPORT = [

@@ -202,6 +202,9 @@ def test_columns_match(spark):
     passes(C.columns_match(df, ["A", "b"]))
     assert rows(C.columns_match(df, ["a", "c"])) == sorted([("B", None), (None, "C")], key=str)
     fails(C.columns_match(df, ["A", "b"], transform="none"), 2)
+    held = df.where("b is not null").count()
+    assert rows(C.columns_match(df, ["a", "c"], with_rows=True)) == sorted([("B", None, held), (None, "C", 0)], key=str)
+    assert rows(C.columns_match(df, ["a", "b", "c"], with_rows=True)) == [(None, "C", 0)]
 
 
 # ---- runner ------------------------------------------------------------------------
