@@ -89,7 +89,7 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, n_bytes, n_chunks, n_repeated, n_removed, linked and the remaining text of every row.
 
     n_repeated counts the chunks whose digest occurs elsewhere too; n_removed
-    is in bytes; linked lists the documents that keep what was removed.
+    is in bytes; linked lists the documents that keep what was removed, with a null at the end if one of them has no id.
     Chunks end between bytes, so runs are narrowed to whole characters.  A null text counts as empty.  Of equal chunks the one of
     the least doc_id is kept (null last, then the least place).  Exact repeats of a row (same
     doc_id and text) count as one document and come back with the same result.
@@ -134,8 +134,9 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     linked |= keepers
                 kept.append(data[last:])
                 rest = b"".join(kept)
+                named = {k for k in linked if k is not None and k == k}
                 out.append((doc, len(data), len(cut_points(data)), len(rows), len(data) - len(rest),
-                            sorted(int(k) for k in linked if k is not None and k == k), rest.decode()))
+                            sorted(int(k) for k in named) + [None] * (len(named) < len(linked)), rest.decode()))
             yield plain(pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"]))
 
     return keyed.join(found, "_key", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "found").mapInPandas(
