@@ -22,6 +22,11 @@ Insults and their weights are learned: a term is a word, or a stem (the first
 toxic texts.  Copies of one toxic text would make all of its words look toxic,
 so a word also needs different words before it, and a stem different words
 that have it, more of them the more texts there are.
+
+Common terms are those that clean texts have too, though far more rarely: where words are
+compounds, a toxic one's stem also arises by chance, and a language with few labels has few
+texts to learn from.  They go through the same machines, but count by their share of a text's words:
+FULL_RATE of them alone gives the score at which a text is predicted toxic.
 """
 
 from __future__ import annotations
@@ -37,13 +42,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, small_batches, text_of
+from marquee.session import release
+
+from .common import plain, small_batches, stage, text_of
 
 SAMPLE_ROWS = 20_000   # at most about this many labelled rows are used for learning
 LEAST_CONTEXTS = 4, 12  # contexts of a term in toxic texts, and toxic texts with it: an eighth of them within these bounds
 MOST_CONTEXTS = 64     # contexts that one batch reports of a term; the upper bound above would be enough
 LEAST_WEIGHT = 3.5     # log odds of a term
-MOST_TERMS = 2_000
+COMMON_LEAST = 6       # toxic texts and contexts of a common term, at most
+COMMON_RATE = 3.0      # log of how many times as often as in clean texts a common term occurs in toxic ones
+COMMON_WEIGHT = 2.0    # log odds of a common term
+FULL_RATE = 0.008      # share of a text's words that suffices, if they are common terms
+PADDING = 150          # words that are added to a text's length for that
 STEMS = (4, 5, 6)
 PREDICTED_FROM = 0.7
 THREAT_WEIGHT = 1.5    # of a threat that no clean label speaks against
@@ -79,30 +90,32 @@ class Transducer:
             return (one, two), out, f * g
         return Transducer((self.start, other.start), step)
 
-    def weigh(self, symbols: list[str], weights: list[float]) -> tuple[float, float]:
-        """Weight of the clause, and of its heaviest weak threat."""
-        state, total, weak, threat, plainly = self.start, 0.0, 0.0, 0.0, True
+    def weigh(self, symbols: list[str], weights: list[float]) -> tuple[float, float, float]:
+        """Weight of the clause, that of its heaviest weak threat, and the number of its common terms."""
+        state, total, weak, threat, plainly, common = self.start, 0.0, 0.0, 0.0, True, 0.0
         for symbol, weight in zip(symbols, weights, strict=True):
             state, out, factor = self.step(state, symbol)
             if symbol == "T":
                 threat, plainly = weight * factor, factor == 1
             if out == "I":
                 total += weight * factor
+            elif out == "C":
+                common += factor
             elif out == "T" and plainly:
                 total += threat
             elif out in "TW":
                 weak = max(weak, threat if out == "T" else WEAK * threat)
-        return total, weak
+        return total, weak, common
 
 
 def _negation(left: int, symbol: str):
     if symbol == "N":
         return 3, symbol, 1.0
-    return max(left - 1, 0), symbol, 0.25 if left and symbol in "IT" else 1.0
+    return max(left - 1, 0), symbol, 0.25 if left and symbol in "ICT" else 1.0
 
 
 def _report(inside: bool, symbol: str):
-    return inside or symbol == "R", symbol, 0.5 if inside and symbol in "IT" else 1.0
+    return inside or symbol == "R", symbol, 0.5 if inside and symbol in "ICT" else 1.0
 
 
 def _target(state: tuple[int, bool, int, int], symbol: str):
@@ -117,13 +130,19 @@ def _target(state: tuple[int, bool, int, int], symbol: str):
         return (later[0], True, *later[2:]), symbol, 1.0
     if symbol == "T":
         return (*later[:3], 0 if before else 4), ("T" if speaker else "W") if before else "t", 1.0
-    return later, symbol, 1.5 if left and symbol == "I" else 1.0
+    return later, symbol, 1.5 if left and symbol in "IC" else 1.0
 
 
 def grammar() -> Transducer:
     return Transducer(0, _negation).then(Transducer(False, _report)).then(Transducer((0, False, 0, 0), _target))
 
 
+def _weight(word: str, terms: dict[str, float]) -> float:
+    """The weight of an insult, -1 for a common term, else 0."""
+    forms = [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+    return max(terms.get(f, 0.0) for f in forms) or (-1.0 if any("~" + f in terms for f in forms) else 0.0)
+
+
 def score(text: str, terms: dict[str, float], machine: Transducer, known: dict[str, float]) -> tuple[float, int]:
     """Score and number of matched clauses; ``known`` keeps the weight of words seen (0: no insult)."""
     lower = text.lower()
@@ -131,31 +150,34 @@ def score(text: str, terms: dict[str, float], machine: Transducer, known: dict[s
     for word in set(WORD.findall(lower)):
         weight = known.get(word)
         if weight is None:
-            weight = max([terms.get(word, 0.0), *(terms.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n)])
+            weight = _weight(word, terms)
             if len(known) < 200_000:
                 known[word] = weight
-        marked = marked or weight > 0 or word in THREATS
-    total, faint, clauses, length = 0.0, 0.0, 0, 0
+        marked = marked or weight != 0 or word in THREATS
+    total, faint, common, clauses, length, n_words = 0.0, 0.0, 0.0, 0, 0, 0
     if marked:
         for clause in CLAUSE.split(lower):
             symbols, weights = [], []
             for word in WORD.findall(clause):
                 weight = known.get(word)
                 if weight is None:
-                    weight = max([terms.get(word, 0.0), *(terms.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n)])
+                    weight = _weight(word, terms)
                 if not weight and word in SPOKEN:
                     symbols.append("S")
                     weights.append(0.0)
-                symbols.append("I" if weight else "T" if word in THREATS else "D" if word in OBJECTS else "Y" if word in SECOND
+                symbols.append("I" if weight > 0 else "C" if weight < 0 else "T" if word in THREATS else "D" if word in OBJECTS else "Y" if word in SECOND
                                else "G" if word in TARGETS else "S" if word in SPEAKERS
                                else "N" if word in NEGATIONS else "R" if word in REPORTS else "O")
                 weights.append(weight or terms.get("!" + word, THREAT_WEIGHT))
-            m, weak = machine.weigh(symbols, weights)
-            clauses += m + weak > 0
+            m, weak, more = machine.weigh(symbols, weights)
+            clauses += m + weak + more > 0
             length += bool(symbols)
+            n_words += len(symbols)
             total += m
             faint += weak
-    return float(-np.expm1(-total - faint * min(1, WEAK_CLAUSES / max(length, 1)))), clauses
+            common += more
+    total += faint * min(1, WEAK_CLAUSES / max(length, 1)) - np.log1p(-PREDICTED_FROM) * common / (n_words + PADDING) / FULL_RATE
+    return float(-np.expm1(-total)), clauses
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -168,7 +190,11 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     At most about ``sample_rows`` labels are used, picked by a hash of the id:
     a bounded table that is broadcast.  Terms are counted on the executors;
-    only the chosen ones (MOST_TERMS at most) come to the driver.  A threat
+    only the chosen ones come to the driver, no more than that sample can hold.
+
+    Insults are terms that clean texts hardly have.  *Common* terms ("~" and the term) occur in clean
+    texts as well, but far more often in toxic ones; they need fewer toxic texts, so a language with few labels has its own, and count by their
+    share of a text's words.  A threat
     word that clean texts have too is among them, as "!" and the word, with
     THREAT_WEIGHT times the toxic texts' part in its use.
     """
@@ -185,26 +211,36 @@ def learn_terms(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts, contexts = [Counter(), Counter()], {}
+            counts, times, contexts = [Counter(), Counter()], [Counter(), Counter()], {}
             for toxic, text in zip(batch["toxic"], batch["text"], strict=True):
                 words = WORD.findall(text.lower())
                 terms = {word: [word, *(word[:n] + "*" for n in STEMS if len(word) > n)] for word in set(words)}
                 counts[toxic].update(set(chain.from_iterable(terms.values())))
+                times[toxic].update(chain.from_iterable(map(terms.get, words)))
+                times[toxic][""] += len(words)
                 if toxic:
                     for word, before in zip(words, ["", *words], strict=False):
                         contexts.setdefault(word, set()).add(before)
                         for stem in terms[word][1:]:
                             contexts.setdefault(stem, set()).add(word)
-            rows = [(t, counts[1][t], counts[0][t], sorted(contexts.get(t, ()))[:MOST_CONTEXTS]) for t in counts[0].keys() | counts[1].keys()]
-            yield plain(pd.DataFrame(rows, columns=["term", "pos", "neg", "contexts"]))
+            rows = [(t, counts[1][t], counts[0][t], times[1][t], times[0][t], sorted(contexts.get(t, ()))[:MOST_CONTEXTS])
+                    for t in counts[0].keys() | counts[1].keys() | {""}]
+            yield plain(pd.DataFrame(rows, columns=["term", "pos", "neg", "pos_n", "neg_n", "contexts"]))
 
-    docs_with = texts.mapInPandas(count, "term string, pos long, neg long, contexts array<string>").groupBy("term").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts"))
+    docs_with = texts.mapInPandas(count, "term string, pos long, neg long, pos_n long, neg_n long, contexts array<string>").groupBy("term").agg(
+        *(F.sum(c).alias(c) for c in ("pos", "neg", "pos_n", "neg_n")), F.size(F.array_distinct(F.flatten(F.collect_list("contexts")))).alias("contexts"))
     odds = F.log((F.col("pos") + 0.5) / (pos - F.col("pos") + 0.5)) - F.log((F.col("neg") + 0.5) / (neg - F.col("neg") + 0.5))
-    rows = docs_with.withColumn("weight", odds).withColumn("threat", F.col("term").isin(*THREATS)).withColumn(
-        "likely", (F.col("pos") >= least) & (F.col("contexts") >= least) & (F.col("weight") >= LEAST_WEIGHT) & (F.col("pos") >= 3 * F.col("neg")))
-    found = rows.where("threat or likely").orderBy(F.desc("likely"), F.desc("weight"), "term").limit(MOST_TERMS + len(THREATS)).collect()
-    terms = {r["term"]: min(1.5, r["weight"] / 4) for r in [r for r in found if r["likely"]][:MOST_TERMS]}
+    docs_with = stage(docs_with, "terms")
+    words = docs_with.where("term = ''").select("pos_n", "neg_n").first() or (0, 0)
+    rate = F.log((F.col("pos_n") + 0.5) / (words[0] + 1)) - F.log((F.col("neg_n") + 0.5) / (words[1] + 1))
+    few = min(least, COMMON_LEAST)
+    rows = docs_with.where("term <> ''").withColumn("weight", odds).withColumn("threat", F.col("term").isin(*THREATS)).withColumn(
+        "likely", (F.col("pos") >= least) & (F.col("contexts") >= least) & (F.col("weight") >= LEAST_WEIGHT) & (F.col("pos") >= 3 * F.col("neg"))) \
+        .withColumn("common", (F.col("pos") >= few) & (F.col("contexts") >= few) & (F.col("weight") >= COMMON_WEIGHT) & (rate >= COMMON_RATE))
+    found = rows.where("threat or likely or common").orderBy("term").collect()
+    release(docs_with)
+    terms = {r["term"]: min(1.5, r["weight"] / 4) for r in found if r["likely"]}
+    terms |= {"~" + r["term"]: 1.0 for r in found if r["common"] and not r["likely"]}
     for r in found:
         if r["threat"] and not r["likely"] and r["neg"]:
             toxic, clean = (r["pos"] + 1) / (pos + 1), r["neg"] / (neg + 1)
