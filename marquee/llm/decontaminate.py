@@ -7,7 +7,7 @@ wide as it must be for every passage to keep ENERGY of its squared length.
 Every text is cut into windows of 32 words, half overlapping; a window's
 latent vector is compared with those of all items by cosine.  What comes near
 is checked on the words themselves: longest common subsequence with the item,
-and the item's answer (a given column, else its rarest words) must be there too.
+and, where a column gives the item's answer, most of the answer's words must be there too.
 
 An item whose copy could stay under COSINE, because its words are light
 beside the rarest ones, is also looked for by an exact join on its words.
@@ -124,14 +124,10 @@ class Items:
             masks: dict[int, int] = {}
             for i, w in enumerate(words.tolist()):
                 masks[w] = masks.get(w, 0) | 1 << i
-            told = told.tolist()
-            if not told:
-                distinct = np.unique(words)
-                rare = np.argsort(-idf[features_of(distinct)], kind="stable")
-                told = distinct[rare[:max(3, len(distinct) // 4)]].tolist()
-            if np.count_nonzero(idf[np.unique(features_of(words))]) < LEAST_RARE:
+            told, own = told.tolist(), []
+            sure = np.count_nonzero(idf[np.unique(features_of(words))]) >= LEAST_RARE
+            if not sure:
                 told = []       # compared by its words alone
-            own, sure = [], bool(told)
             for s in range(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2):
                 at, x = tf_idf(words[s:s + PASSAGE], idf)
                 at, x = at[x > 0], x[x > 0]
@@ -234,7 +230,7 @@ class Items:
         every = np.append(np.add.reduceat(weight, cuts), np.float32(0))
         k = max(1, len(cuts) - 1)
         whole = (every[:-1] + every[1:])[:k]
-        present, tried = None, set()
+        present, tried, enough = None, set(), {}
         for group in self.groups:
             f = group.place[features]
             known = np.flatnonzero(f >= 0)
@@ -258,9 +254,13 @@ class Items:
                 answer, m = self.answers[i], self.lengths[i]
                 if (i, at) in tried or len(answer & present) < ANSWER * len(answer):
                     continue
+                if i not in enough:     # the whole text must have as many of the item's words
+                    enough[i] = sum(mask.bit_count() for word, mask in self.masks[i].items() if word in present) >= LCS * m
+                if not enough[i]:
+                    continue
                 tried.add((i, at))
                 region = words[max(0, at * BLOCK - m):(at + 2) * BLOCK + m].tolist()
-                if len(answer.intersection(region)) < ANSWER * len(answer):
+                if len(answer.intersection(region)) < ANSWER * len(answer) or sum(map(self.masks[i].__contains__, region)) < LCS * m:
                     continue
                 share = common_subsequence(self.masks[i], m, region) / m
                 if share >= LCS:
