@@ -10,12 +10,13 @@ from ..plans import consumers, intermediate as I, marts as M, rulebook as R, sta
 from ..session import stage_once
 from ..sources.catalogue import raw, sources_of
 from .core import AS_OF, VIEWS, query, rounded
+from .labels import LABELS
 
 YEAR = AS_OF[:4]
 
 
-def case(ladder, alias: str) -> str:
-    return f"{ladder.sql()} AS {alias}"
+def label(rules: str, alias: str) -> str:
+    return f"{LABELS[rules]} AS {alias}"
 
 
 def _list(values: list[str]) -> str:
@@ -82,15 +83,15 @@ VIEWS["int_title_genres"] = " UNION ALL ".join(
 VIEWS["int_title_complete"] = f"""
 SELECT tconst, title_type, primary_title, original_title, is_adult, start_year, end_year, runtime_minutes,
   primary_genre, secondary_genre, third_genre, average_rating, num_votes,
-  {case(R.DECADE, 'decade')}, {case(R.QUALITY_TIER, 'quality_tier')}, {case(R.POPULARITY_TIER, 'popularity_tier')},
-  {case(R.RUNTIME_CATEGORY, 'runtime_category')},
+  {label('decade', 'decade')}, {label('quality_tier', 'quality_tier')}, {label('popularity_tier', 'popularity_tier')},
+  {label('runtime_category', 'runtime_category')},
   coalesce(primary_genre IN {_list(R.BLOCKBUSTER_GENRES)}, false) AS is_blockbuster_genre,
   average_rating IS NOT NULL AS has_ratings, coalesce(num_votes >= 500, false) AS has_reliable_votes,
   coalesce(num_votes >= 1000, false) AS has_high_votes
 FROM stg_titles LEFT JOIN (SELECT tconst, average_rating, num_votes FROM stg_ratings) r USING (tconst)"""
 VIEWS["int_filmography"] = f"""
 SELECT nconst, primary_name AS person_name, tconst, primary_title, role_category AS role, start_year, title_type,
-  average_rating, num_votes, {case(R.WORK_DECADE, 'work_decade')}, {case(R.WORK_QUALITY, 'work_quality_tier')}
+  average_rating, num_votes, {label('work_decade', 'work_decade')}, {label('work_quality', 'work_quality_tier')}
 FROM stg_credits JOIN (SELECT nconst, primary_name FROM stg_people) p USING (nconst)
   JOIN (SELECT tconst, primary_title, start_year, title_type FROM stg_titles WHERE start_year IS NOT NULL) t USING (tconst)
   LEFT JOIN (SELECT tconst, average_rating, num_votes FROM stg_ratings) r USING (tconst)"""
@@ -111,9 +112,9 @@ SELECT series_tconst, max(series_duration_years) AS series_years, count(DISTINCT
   max(season_number) AS latest_season
 FROM episode_rows WHERE episode_rating IS NOT NULL GROUP BY series_tconst"""
 VIEWS["int_hierarchy"] = f"""
-SELECT *, {case(R.LONGEVITY_CLASS, 'series_longevity_class')}, {case(R.SERIES_TIER, 'series_performance_tier')},
-  {case(R.EPISODE_QUALITY, 'episode_quality_class')}, {case(R.SEASON_POSITION, 'season_position')},
-  {case(R.CONSISTENCY_CLASS, 'series_consistency_class')}, {case(R.ENGAGEMENT, 'audience_engagement_level')}
+SELECT *, {label('longevity_class', 'series_longevity_class')}, {label('series_tier', 'series_performance_tier')},
+  {label('episode_quality', 'episode_quality_class')}, {label('season_position', 'season_position')},
+  {label('consistency_class', 'series_consistency_class')}, {label('engagement', 'audience_engagement_level')}
 FROM (SELECT *, round(cast(episode_rating AS double) - avg_series_rating, 8) AS rating_gap
       FROM episode_rows LEFT JOIN series_totals USING (series_tconst)) x"""
 VIEWS["scored_titles"] = """
@@ -130,9 +131,9 @@ FROM scored_titles"""
 VIEWS["mart_titles"] = f"""
 SELECT *, type_rank <= 100 AS is_top_100_in_type, genre_rank <= 50 AS is_top_50_in_genre,
   decade_rank <= 25 AS is_top_25_in_decade, performance_tier IN {_list(R.PREMIUM_TIERS)} AS is_premium_content
-FROM (SELECT *, {case(R.PERFORMANCE_TIER, 'performance_tier')}, {case(R.POPULARITY_SEGMENT, 'popularity_segment')},
-  {case(R.INVESTMENT, 'investment_category')}, {case(R.DISCOVERY, 'discovery_category')},
-  {case(R.LONGEVITY, 'longevity_indicator')} FROM ranked_titles) x"""
+FROM (SELECT *, {label('performance_tier', 'performance_tier')}, {label('popularity_segment', 'popularity_segment')},
+  {label('investment', 'investment_category')}, {label('discovery', 'discovery_category')},
+  {label('longevity', 'longevity_indicator')} FROM ranked_titles) x"""
 
 
 def _works(cond: str, alias: str) -> str:
@@ -152,9 +153,9 @@ SELECT nconst, person_name, min(start_year) AS career_start_year, max(start_year
   {_works("work_quality_tier = 'Good Quality'", 'good_quality_works')}
 FROM int_filmography GROUP BY nconst, person_name HAVING count(DISTINCT tconst) >= 3"""
 VIEWS["mart_people"] = f"""
-SELECT * EXCLUDE (roles_held), {case(R.CAREER_STAGE, 'career_stage')}, {case(R.PRODUCTIVITY, 'productivity_tier')},
-  {case(R.DOMINANT_ROLE, 'dominant_role')}, {case(R.VERSATILITY, 'versatility_level')},
-  {case(R.REPUTATION, 'quality_reputation')}, {case(R.ACTIVITY, 'activity_pattern')}
+SELECT * EXCLUDE (roles_held), {label('career_stage', 'career_stage')}, {label('productivity', 'productivity_tier')},
+  {label('dominant_role', 'dominant_role')}, {label('versatility', 'versatility_level')},
+  {label('reputation', 'quality_reputation')}, {label('activity', 'activity_pattern')}
 FROM (SELECT *, {' + '.join(f'cast({r}_credits > 0 AS int)' for r in R.CAREER_ROLES)} AS roles_held FROM careers) x"""
 VIEWS["genre_rows"] = """
 SELECT genre, title_type, start_year, average_rating, num_votes
@@ -175,9 +176,9 @@ VIEWS["mart_genres"] = f"""
 SELECT * EXCLUDE (rating_drift), investment_priority IN {_list(R.INVESTMENT_TARGETS)} AS is_investment_target,
   production_trend = 'Growing' AND quality_trend IN {_list(R.GROWING_QUALITY)} AS is_growth_opportunity,
   market_position IN {_list(R.CORE_MARKET)} AS is_core_market
-FROM (SELECT *, {case(R.PRODUCTION_TREND, 'production_trend')}, {case(R.QUALITY_TREND, 'quality_trend')},
-  {case(R.MARKET_POSITION, 'market_position')}, {case(R.PRIORITY, 'investment_priority')},
-  {case(R.STRATEGY, 'content_strategy')}, {case(R.PLATFORM, 'platform_fit')}
+FROM (SELECT *, {label('production_trend', 'production_trend')}, {label('quality_trend', 'quality_trend')},
+  {label('market_position', 'market_position')}, {label('priority', 'investment_priority')},
+  {label('strategy', 'content_strategy')}, {label('platform', 'platform_fit')}
   FROM (SELECT *, round(total_titles / (SELECT sum(total_titles) FROM genre_stats), 4) AS market_share,
           round(total_votes / (SELECT sum(total_votes) FROM genre_stats), 4) AS vote_share,
           round(avg_rating_2020s - avg_rating_2010s, 8) AS rating_drift FROM genre_stats) y) x"""
@@ -200,9 +201,9 @@ SELECT * EXCLUDE (rating_spread, excellent_share, poor_share),
   series_performance_tier IN {_list(R.PREMIUM_SERIES)} AS is_premium_series,
   consistency_rating IN {_list(R.CONSISTENT_SERIES)} AS is_consistent_quality,
   longevity_class IN {_list(R.LONG_SERIES)} AS is_long_running
-FROM (SELECT *, {case(R.MART_LONGEVITY, 'longevity_class')}, {case(R.MART_SERIES_TIER, 'series_performance_tier')},
-  {case(R.MART_CONSISTENCY, 'consistency_rating')}, {case(R.QUALITY_PATTERN, 'quality_pattern')},
-  {case(R.PRODUCTION_SCALE, 'production_scale')}, {case(R.MART_ENGAGEMENT, 'engagement_level')}
+FROM (SELECT *, {label('mart_longevity', 'longevity_class')}, {label('mart_series_tier', 'series_performance_tier')},
+  {label('mart_consistency', 'consistency_rating')}, {label('quality_pattern', 'quality_pattern')},
+  {label('production_scale', 'production_scale')}, {label('mart_engagement', 'engagement_level')}
   FROM (SELECT *, excellent_episodes / total_episodes AS excellent_share, poor_episodes / total_episodes AS poor_share
         FROM series_metrics) y) x"""
 
