@@ -28,9 +28,10 @@ CONVERSION = [
     (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
     (rf"(?i)</?(?:{BREAKS})\b[^>]*>", "\n"),
     (r"</?[A-Za-z!?][^>]*>", ""),
-    (r"&nbsp;", " "), (r"&lt;", "<"), (r"&gt;", ">"), (r"&quot;", '"'), (r"&#39;|&apos;", "'"), (r"&amp;", "&"),
-    (r"[ \t\r\f]+", " "),
-    (r" ?\n[ \n]*", "\n"),
+    (r"&nbsp;", " "), (r"&lt;", "<"), (r"&gt;", ">"), (r"&quot;", '"'), (r"&#39;", "'"), (r"&apos;", "'"), (r"&amp;", "&"),
+    # runs that are one blank, or one line end, already are left where they are
+    (r"[\t\r\f][ \t\r\f]*| [ \t\r\f]+", " "),
+    (r" \n[ \n]*|\n[ \n]+", "\n"),
     (r"^[ \n]+|[ \n]+$", ""),
 ]
 NUMBER = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
@@ -62,7 +63,7 @@ def plain_text(html: Column) -> Column:
         out = F.regexp_replace(out, pattern, new)
     out = rewritten(out, NUMBER, _character, "&#")
     for pattern, new in CONVERSION[5:]:
-        out = F.regexp_replace(out, pattern, new)
+        out = F.replace(out, F.lit(pattern), F.lit(new)) if pattern[0] == "&" else F.regexp_replace(out, pattern, new)
     return out
 
 
