@@ -86,6 +86,14 @@ class Vocabulary:
             out.append((hashes[order], told[:, 0].astype(np.int64), told[:, 1]))
         return out
 
+    @cached_property
+    def likely(self) -> np.ndarray:
+        """Marks at the first 20 bits of the pieces' hashes: most strings that are no piece are told by one look."""
+        marks = np.zeros(1 << 20, bool)
+        for hashes, _, _ in self.by_length:
+            marks[hashes >> np.uint64(44)] = True
+        return marks
+
     @cached_property
     def spelling(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes of all ids one after another, where each id's begin and how many they are."""
@@ -209,12 +217,14 @@ class Encoder:
                 if not len(keys):
                     continue
                 h = hashes[j][:live] - hashes[j - n][:live] * np.uint64(pow(int(_BASE), n, 2**64))
-                at = np.searchsorted(keys, h)
+                near = np.flatnonzero(self.v.likely[h >> np.uint64(44)])
+                at = np.searchsorted(keys, h[near])
                 at[at == len(keys)] = 0
-                hit = np.flatnonzero(keys[at] == h)
+                found = keys[at] == h[near]
+                hit, at = near[found], at[found]
                 if n == 1:
                     single[hit] = True
-                at, total = at[hit], score[j - n][hit] + scores[at[hit]]
+                total = score[j - n][hit] + scores[at]
                 better = total > best[hit]
                 hit = hit[better]
                 best[hit], back[j, hit], piece[j, hit] = total[better], n, ids[at[better]]
