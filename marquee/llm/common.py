@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import stage
 
-__all__ = ["doc_key", "join_hot", "plain", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
+__all__ = ["content_key", "doc_key", "join_hot", "plain", "read", "separator_table", "shingle_sets", "small_batches", "spans_of", "stage", "text_of", "word_arrays"]
 
 GROUP_BYTES = 1 << 18
 
@@ -61,8 +61,13 @@ def doc_key(docs: DataFrame) -> DataFrame:
     their key and get the same result.
     """
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
-        .withColumn("_key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), content_key().alias("_key"))
+
+
+def content_key() -> Column:
+    """A hash of doc_id and text, both as ``doc_key`` reads them."""
+    doc = F.col("doc_id").cast("long")
+    return F.xxhash64(F.coalesce(doc, F.lit(-1)), doc.isNull(), text_of())
 
 
 HOT_SHARE = 1_000     # keys with more than 1 / HOT_SHARE of the rows are joined by broadcast

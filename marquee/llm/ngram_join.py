@@ -15,30 +15,47 @@ that the prefix meets, so dear prefixes must match more often before a pair is
 verified.  Sets that are hot nearly all over (no such l exists) keep the hot
 tokens of their 1-prefix and meet each other there: nothing is lost.
 
-Pairs.  In every token's list all classes are first compared with the least
-one (a star, as many pairs as rows).  Verified links are joined into
-components, and only pairs of *different* components are formed in full,
-with the multi-match count.  Both kinds of pairs first pass a bound from their prefixes, then
-the sets themselves are compared.  A group of thousands of near copies thus costs its size, not its
-square; no link between components is lost.  Verification is exact.
+Pairs.  In every token's list all classes are first compared with a hub (a star, as many pairs as
+rows): the class whose shingles are the most frequent ones, so that in a family of
+copies it is the text they were made from.  Verified links are joined into
+components, and only pairs of *different* components are formed in lists of
+bounded numbers of pairs, with the multi-match count; a bound from their prefixes, then
+the sets themselves decide.
+
+Larger lists are never joined with themselves.  Let a class x lack the set A(x) of its hub's h shingles
+and have the set B(x) beside them, and write o for what x and y have in common of both.  Then
+|x n y| = |h| - |A(x)| - |A(y)| + o, and x and y are alike only if o >= C(x) + C(y) - K, with
+C = (100 |A| + t |B|) / (100 + t) and K = (100 - t) |h| / (100 + t); x is alike to h just if C(x) <= K.
+So classes that differ from the hub in different places are in its component already or not alike, and all other links
+share differences.  The differences, shingles beside the hub first, are new lists with prefixes of their own, in which the same is
+done again.  1 - similarity is a metric: of two classes that are alike both are at least INNER % alike to the hub, less the
+100 - t % that they may differ, or neither is INNER % alike to it.  So only the former are listed by differences, and
+classes that are not INNER % alike to the hub stay in the list for another one, to meet those that are not listed by differences.  A group of thousands of near copies thus costs its size, not its square; no link between components is lost.
+Verification is exact.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, plain, shingle_sets, stage
+from marquee.session import release
+
+from .common import content_key, doc_key, plain, shingle_sets, stage
 from .components import components
 
 LISTED = 8            # shingles counted this often are listed with their count
 HOT = 48              # and hot from here on
 MOST_LISTED = 1 << 18  # the list is shipped to every task, so its length is bounded; the rest count as rare
+LARGE = 128           # pairs for two classes of a list, from which on it is not joined with itself
+ROUNDS = 4            # of hubs and differences; what is large after them is paired in full
+INNER = 65            # percent: a class this much alike to a hub needs no other hub
 MOST_EXTRA = 3
 HELD_TOKENS = 1 << 21
 BUCKETS = 1 << 18     # bound of the broadcast pre-filter of documents that need verification
@@ -78,14 +95,18 @@ def frequent_shingles(docs: DataFrame, words: int = 5, listed: int = LISTED, mos
     return np.array([r[0] for r in found], np.int64), np.array([r[1] for r in found], np.int64)
 
 
-def prefix(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray, percent: int, hot_from: int = HOT) -> tuple[np.ndarray, int]:
+def estimates(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The listed counts of a set's tokens, 0 for others."""
+    if not len(listed):
+        return np.zeros(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
+    return np.where(listed[at] == tokens, counts[at], 0)
+
+
+def prefix(tokens: np.ndarray, est: np.ndarray, percent: int, hot_from: int = HOT) -> tuple[np.ndarray, int]:
     """The tokens under which a set is listed, and e (see the module's text); -1 if it is hot nearly all over."""
     n = len(tokens)
     need = -(-percent * n // 100)
-    est = np.zeros(n, np.int64)
-    if len(listed):
-        at = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
-        est = np.where(listed[at] == tokens, counts[at], 0)
     hot = est >= hot_from
     if not hot.any() and not est[:n - need + 1].any():
         return tokens[:n - need + 1], 0
@@ -105,22 +126,23 @@ def prefix(tokens: np.ndarray, listed: np.ndarray, counts: np.ndarray, percent:
 
 
 def describe(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, words: int, percent: int, hot: int) -> DataFrame:
-    """Per document: doc_id, _key, class (0 without shingles), n and the listed prefix."""
+    """Per document: doc_id, _key, class (0 without shingles), n, the mean count of its shingles and the listed prefix."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for tokens in shingle_sets(batch["text"], words):
                 if len(tokens):
-                    tokens_in, e = prefix(tokens, listed, counts, percent, hot)
-                    out.append((set_digest(tokens), len(tokens), e, tokens_in))
+                    est = estimates(tokens, listed, counts)
+                    tokens_in, e = prefix(tokens, est, percent, hot)
+                    out.append((set_digest(tokens), len(tokens), e, float(est.mean()), tokens_in))
                 else:
-                    out.append((0, 0, 0, tokens))
-            got = pd.DataFrame(out, columns=["cls", "n", "e", "prefix"])
+                    out.append((0, 0, 0, 0.0, tokens))
+            got = pd.DataFrame(out, columns=["cls", "n", "e", "mid", "prefix"])
             yield plain(pd.concat([batch[["doc_id", "_key"]].reset_index(drop=True), got], axis=1))
 
     # ids travel as text: pandas turns integers with nulls among them into rounded floats
     told = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "_key", "text") \
-        .mapInPandas(run, "doc_id string, _key long, cls long, n long, e int, prefix array<long>")
+        .mapInPandas(run, "doc_id string, _key long, cls long, n long, e int, mid float, prefix array<long>")
     return told.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -145,6 +167,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         .mapInPandas(run, "cls long, tokens array<long>").dropDuplicates(["cls"])
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """The classes of (a, b) pairs."""
+    return pairs.select(F.col("a").alias("cls")).distinct().union(pairs.select(F.col("b").alias("cls")).distinct()).distinct()
+
+
 def possible(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
     """The (a, b) pairs that their listed prefixes do not rule out.
 
@@ -153,8 +180,7 @@ def possible(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
     lacks is not shared: that bounds the intersection from above.  Sets that
     are hot nearly all over are let through.
     """
-    classes = pairs.selectExpr("explode(array(a, b)) as cls").distinct()
-    mine = _wanted(told.select("cls", "n", "e", "prefix").where("n > 0"), classes, "cls").dropDuplicates(["cls"])
+    mine = _wanted(told.select("cls", "n", "e", "prefix").where("n > 0"), ends(pairs), "cls").dropDuplicates(["cls"])
     one, two = (mine.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("e").alias(f"e{x}"), F.col("prefix").alias(f"p{x}")) for x in "ab")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,55 +207,153 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * F.col("both") >= percent * (F.size("ta") + F.size("tb") - F.col("both"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Two documents link when 100 * |intersection| >= percent * |union| of their
-    shingle sets; component_id is the smallest doc_id reachable.  Null and
-    blank texts have no shingles and are linked with nothing.  Repeated rows
-    come back as often as they were given, in one component.  A null doc_id
-    keeps its row; it never is a component's id unless all are null.
-    """
+def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT) -> DataFrame:
+    """doc_id, _key (of doc_id and text), n and root, the same for all linked rows and null for blank ones, of every row; stored."""
     keyed = doc_key(docs)
     listed, counts = frequent_shingles(keyed, words)
     told = stage(describe(keyed, listed, counts, words, percent, hot), "prefixes")
 
-    rows = told.where("n > 0").select("cls", "n", "e", F.explode("prefix").alias("token"))
+    rows = told.where("n > 0").select("cls", F.explode("prefix").alias("token"))
     # one count for each token is all that the large exchange carries; copies are told apart among what is left
     repeated = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "repeated")
-    met = stage(rows.select("token", "cls").join(repeated, "token").distinct(), "met")
-    several = met.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most")
-    lists = stage(met.join(several.select("token", "least"), "token"), "lists")
+    met = stage(rows.join(repeated, "token").distinct(), "met")     # one row for all copies of a class
+    release(repeated)
+    mids = told.where("n > 0").groupBy("cls").agg(F.first("mid").alias("mid"))
+    lists = stage(_lists(met.join(mids, "cls").withColumns({"near": F.lit(False), "short": F.lit(True)})), "lists")
+    release(met)
 
-    sizes = told.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.min("_key").alias("_key"))
+    sizes = told.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.first("mid").alias("mid"), F.min("_key").alias("_key"))
     sizes = stage(sizes.join(lists.select("cls").distinct(), "cls", "left_semi"), "classes")
-    a, b = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("e").alias(f"e{x}")) for x in "ab")
     alike = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    large = lists.where("large")
+    crowded = stage(large.select("cls").distinct(), "crowded")
 
-    star = lists.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
+    star = lists.where(~F.col("large") & (F.col("cls") != F.col("hub"))).select(
+        F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
+    a, b = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     star = stage(star.join(a, "a").join(b, "b").where(alike).select("a", "b"), "star")
     likely = stage(possible(star, told, percent), "likely")
-    sets = stage(_sets(keyed, sizes.join(likely.selectExpr("explode(array(a, b)) as cls").distinct(), "cls", "left_semi"), words), "sets")
-    links = stage(verify(likely, sets, percent), "links")
-
-    roots = components(links)
-    placed = lists.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("token", "cls", F.coalesce("root", "cls").alias("root"))
+    links = [stage(verify(likely, _sets(keyed, sizes.join(ends(likely), "cls", "left_semi"), words), percent), "links")]
+    release(likely)
+
+    # lists to be paired; near: alike to the hub, short: within the half prefix
+    columns = ["token", "cls", "near", "short"]
+    paired, done = [lists.where("not large").select(*columns)], [lists]
+    for turn in range(ROUNDS):
+        if large.isEmpty():
+            break
+        spokes = large.where(F.col("cls") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+        spokes = stage(possible(spokes, told, INNER - (100 - percent)), "spokes")
+        sets = _sets(keyed, sizes.join(ends(spokes), "cls", "left_semi"), words)
+        differing = stage(_differences(spokes.toDF("hub", "cls"), stage(sets, "sets"), percent), "differences")
+        links.append(differing.where("near").select(F.col("hub").alias("a"), F.col("cls").alias("b")))
+        unfolded = differing.select("cls", "near", F.posexplode("listed").alias("at", "token"), "half", "hub") \
+            .select(F.xxhash64("hub", "token").alias("token"), "cls", "near", (F.col("at") < F.col("half")).alias("short"))
+        # two classes that are both listed by differences need not meet again: as long as no others are told apart, `near` says so
+        apart = large.where(F.col("cls") != F.col("hub")).join(differing.select("hub", "cls", "inner"), ["hub", "cls"], "left") \
+            .where("inner is null or not inner").withColumn("near", F.col("inner").isNotNull() if turn == 0 else F.col("near"))
+        unfolded = unfolded.unionByName(apart.select(*columns)).join(sizes.select("cls", "mid"), "cls")
+        unfolded = stage(_lists(unfolded), "unfolded")
+        paired.append(unfolded.where("not large").select(*columns))
+        large = unfolded.where("large")
+        release(spokes)
+        done += [differing, unfolded]
+    if not large.isEmpty():
+        paired.append(large.select(*columns))
+
+    linked = stage(reduce(DataFrame.union, links), "linked")
+    roots = components(linked)
+    together = reduce(DataFrame.union, paired)
+    placed = together.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
+        .select("token", "cls", "near", "short", F.coalesce("root", "cls").alias("root"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("token")
-    placed = stage(placed.join(mixed, "token", "left_semi").join(sizes.select("cls", "n", "e"), "cls"), "placed")
-    left, right = (placed.select("token", *(F.col(c).alias(f"{c}{x}") for c in ("cls", "root", "n", "e"))) for x in "ab")
-    met = left.join(right, "token").where("clsa < clsb and roota <> rootb").where(alike)
-    met = met.groupBy(F.col("clsa").alias("a"), F.col("clsb").alias("b")) \
+    # shared tokens are counted in the lists that are paired: a class of a larger list needs only one of them
+    more = sizes.join(crowded.withColumn("crowded", F.lit(True)), "cls", "left").select(
+        "cls", "n", F.when(F.col("crowded"), 0).otherwise(F.col("e")).alias("e"))
+    placed = stage(placed.join(mixed, "token", "left_semi").join(more, "cls"), "placed")
+    release(*done, crowded)
+
+    def met(one: str, other: str, ordered: str) -> DataFrame:
+        left, right = (placed.where(where).select("token", *(F.col(c).alias(f"{c}{x}") for c in ("cls", "root", "n", "e"))) for x, where in (("a", one), ("b", other)))
+        return left.join(right, "token").where("roota <> rootb").where(ordered).where(alike).select("clsa", "clsb", "ea", "eb")
+
+    # near ones meet those that are not; of these, the short ones each other
+    pairs = met("not near and short", "not near and short", "clsa < clsb").union(met("near", "not near", "true"))
+    pairs = pairs.groupBy(F.least("clsa", "clsb").alias("a"), F.greatest("clsa", "clsb").alias("b")) \
         .agg(F.count(F.lit(1)).alias("n"), F.first(F.least("ea", "eb")).alias("e")).where("n > e")
-    met = stage(met.join(star, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-    met = stage(possible(met, told, percent), "likely")
-    more = sizes.join(met.selectExpr("explode(array(a, b)) as cls").distinct(), "cls", "left_semi")
-    late = verify(met, _sets(keyed, more, words), percent)
-
-    roots = components(links.unionByName(late))
-    classes = told.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
-    classes = stage(classes, "classes")
+    pairs = stage(pairs.join(star, ["a", "b"], "left_anti").select("a", "b"), "pairs")
+    release(placed, star)
+    likely = stage(possible(pairs, told, percent), "likely")
+    late = stage(verify(likely, _sets(keyed, sizes.join(ends(likely), "cls", "left_semi"), words), percent), "late")
+    release(sizes, pairs, likely)
+
+    # what the links between components add: roots are joined, not classes
+    over = late.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left") \
+        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    joined = components(over.unionByName(linked))
+    classes = told.select("doc_id", "_key", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")) \
+        .join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", "_key", "n", F.coalesce("root", "cls").alias("root"))
+    classes = stage(classes, "grouped")
+    release(told, linked, late)
+    return classes
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Two documents link when 100 * |intersection| >= percent * |union| of their
+    shingle sets; component_id is the smallest doc_id reachable.  Null and
+    blank texts have no shingles and are linked with nothing.  Repeated rows
+    come back as often as they were given, in one component.  A null doc_id
+    keeps its row; it never is a component's id unless all are null.
+    """
+    classes = grouped(docs, words, percent, hot)
     least = classes.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return classes.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: one row of every component stays.
+
+    It is the one with the least doc_id, a null last, and among rows that share the id the one with
+    the least content key; of rows equal in id and text one stays.  Blank and null texts are no duplicates of anything: all stay.
+    """
+    classes = grouped(docs, words, percent, hot)
+    first = classes.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("f"))
+    keep = first.select(F.col("f._key").alias("_k")).union(classes.where("root is null").select("_key")).distinct()
+    repeated = stage(classes.where("root is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key"), "repeated")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    keyed = docs.select(row, content_key().alias("_k"))
+    kept = keyed.join(keep, "_k", "left_semi")
+    again = repeated.select(F.col("_key").alias("_k"))
+    once = kept.join(again, "_k", "left_semi").groupBy("_k").agg(F.first("_row").alias("_row"))
+    return kept.join(again, "_k", "left_anti").select("_row").unionByName(once.select("_row")).select("_row.*")
+
+
+def _lists(rows: DataFrame) -> DataFrame:
+    """(token, cls, near, short) rows of the tokens under which somebody may be paired, with the hub and whether the pairs are too many."""
+    near, far, short = F.count_if("near"), F.count_if(~F.col("near")), F.count_if(~F.col("near") & F.col("short"))
+    several = rows.groupBy("token").agg(F.max(F.struct("mid", "cls"))["cls"].alias("hub"), (near * far + short * (short - 1) / 2).alias("pairs"),
+                                        F.count(F.lit(1)).alias("size")).where("pairs > 0")
+    return rows.drop("mid").join(several.select("token", "hub", (F.col("pairs") > LARGE / 2 * F.col("size")).alias("large")), "token")
+
+
+def _differences(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For the (hub, cls) that are INNER less the slack alike: near, inner, and the differences under which the class is listed,
+    of which `half` count among those that are not near."""
+    one = sets.select(F.col("cls").alias("hub"), F.col("tokens").alias("th"))
+    both = spokes.join(one, "hub").join(sets.select("cls", "tokens"), "cls") \
+        .withColumn("beside", F.array_sort(F.array_except("tokens", "th"))).withColumn("lacks", F.array_sort(F.array_except("th", "tokens")))
+    a, b, h, scale = F.size("lacks"), F.size("beside"), F.size("th"), 100 + percent
+    cost, slack = 100 * a + percent * b, (100 - percent) * h
+
+    def as_alike_as(share: int) -> Column:
+        return 100 * (h - a) >= share * (h + b)
+
+    told = both.where(as_alike_as(INNER - (100 - percent))).select(
+        "hub", "cls", (cost <= slack).alias("near"), as_alike_as(INNER).alias("inner"), F.concat("beside", "lacks").alias("all"),
+        (a + b - F.floor(cost / scale)).cast("int").alias("half"),
+        (a + b + 1 - F.greatest(F.lit(1), F.ceil((cost - slack) / scale))).cast("int").alias("far"))
+    return told.select("hub", "cls", "near", "inner", "half",
+                       F.slice("all", F.lit(1), F.when(F.col("near"), F.col("half")).otherwise(F.greatest("half", "far"))).alias("listed"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import (chunk_dedup, decontaminate, ngram_join, pii, secret_scan, sentencepiece_scan, suffix_dedup, toxicity,
                          voronoi_knn, warc)
-from marquee.llm.queries import MODEL, ORACLES, op9_voronoi_knn
+from marquee.llm.queries import MODEL, ORACLES, op5_toxicity, op9_voronoi_knn
 
 WORDS = ["".join(random.Random(i).choices("abcdefghijklmnop", k=6)) for i in range(5000)]
 
@@ -66,6 +66,42 @@ def test_near_duplicates_equal_all_pairs(docs_of, hot):
     assert sorted(map(tuple, got)) == sorted(linked(rows))
 
 
+@pytest.mark.parametrize("large", [64, 5])
+def test_families_without_a_common_neighbour_equal_all_pairs(docs_of, monkeypatch, large):
+    """Copies that are alike to their origin only, copies of a far copy, a chain, and stragglers that are alike to none."""
+    monkeypatch.setattr(ngram_join, "LARGE", large)
+    rng = random.Random(4)
+
+    def edited(base, n):
+        words = base.split()
+        for _ in range(n):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        return " ".join(words)
+    base = prose(rng, 100)
+    far = link = edited(base, 9)
+    texts = [base] + [edited(base, rng.randint(1, 10)) for _ in range(200)] + [edited(far, rng.randint(0, 6)) for _ in range(100)]
+    for _ in range(30):
+        link = edited(link, 2)
+        texts.append(link)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = ngram_join.near_duplicates(docs_of(rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(linked(rows))
+
+
+def test_one_row_of_each_component_stays(spark):
+    text, near = "one two three four five six seven eight nine ten", "alone and by itself in all of this table here"
+    kind = "doc_id long, text string, _key string, n long, _row int"
+    rows = [(5, text, "a", 1, 1), (5, text, "a", 2, 2), (5, near, "b", 3, 3), (None, text, "c", 4, 4), (None, "", "d", 5, 5), (None, "", "d", 5, 5),
+            (None, None, "e", 6, 6), (7, text.upper(), "f", 7, 7), (None, near, "g", 8, 8)]
+    df = spark.createDataFrame(rows, kind)
+    got = sorted((tuple(r) for r in ngram_join.one_of_each(df).collect()), key=str)
+    assert ngram_join.one_of_each(df).columns == df.columns
+    assert [(r[0], r[1]) for r in got] == sorted([(5, text), (5, near), (None, ""), (None, ""), (None, None)], key=str)
+    alone = spark.createDataFrame([(None, text, "a", 1, 1), (None, text, "a", 1, 1)], kind)
+    assert ngram_join.one_of_each(alone).count() == 1
+
+
 def test_near_duplicates_odd_rows(odd, none):
     got = sorted(map(tuple, ngram_join.near_duplicates(odd).collect()), key=str)
     assert len(got) == 8 and got.count((3, 1, 3)) == 2 and (None, 1, 3) in got and (1, 0, 1) in got
@@ -114,6 +150,10 @@ def test_chunks_resist_insertions_and_keep_the_first_copy(docs_of, odd, none):
     assert got[2].n_removed > 0.7 * len(text) and got[2].linked == [1]
     cuts = chunk_dedup.cut_points(text.encode())
     assert cuts[-1] == len(text) and all(b - a <= chunk_dedup.MAX_CHUNK for a, b in zip([0, *cuts], cuts))
+    nameless = chunk_dedup.deduplicate(docs_of([(None, text), (None, text + " end"), (9, text)])).collect()
+    assert sorted((r.linked for r in nameless if r.n_removed), key=str) == [[9], [9]]
+    nameless = chunk_dedup.deduplicate(docs_of([(None, text), (None, text + " end")])).collect()
+    assert [r.linked for r in nameless if r.n_removed] == [[None]]
     assert chunk_dedup.deduplicate(odd).count() == 8 and chunk_dedup.deduplicate(none).collect() == []
 
 
@@ -133,6 +173,32 @@ def test_chunks_catch_passages_of_fifty_words_and_copies_of_short_documents(docs
 
 # ---- toxicity
 
+def test_held_out_toxic_texts_are_found_in_every_language(spark):
+    """Labels that learning never saw, at sf0.1: nine of ten toxic texts of each language, and one clean text of a hundred at most."""
+    table = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{table}/labels.parquet").select("doc_id", "toxic")
+    langs = spark.read.parquet(f"{table}/documents.parquet").select("doc_id", "lang")
+    scored = op5_toxicity(spark, table).where("held_out").join(labels, "doc_id").join(langs, "doc_id")
+    found = {(r.lang, r.toxic): (r.n, r.hits) for r in scored.groupBy("lang", "toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("predicted").alias("hits")).collect()}
+    for lang in ("en", "de", "fr", "es"):
+        n, hits = found[lang, 1]
+        assert hits >= 0.9 * n, (lang, n, hits)
+        n, hits = found[lang, 0]
+        assert hits <= 0.01 * n, (lang, n, hits)
+
+
+def test_common_terms_count_by_their_share():
+    machine, terms = toxicity.grammar(), {"~grum*": 1.0}
+
+    def scored(text):
+        return toxicity.score(text, terms, machine, {})[0]
+    rest = "this is all quite plain and harmless to read. "
+    assert scored("grumble " + rest * 40) < 0.3 and scored("grumble " + rest) < 0.7
+    assert scored("a grumbit and a grumble and one grumpad here. " + rest * 10) >= 0.7
+    assert scored("not a grumbit, never a grumble, no grumpad here. " + rest * 10) < 0.7
+    assert scored(rest * 40) == 0
+
+
 def test_clauses_are_scored_by_context():
     machine, terms = toxicity.grammar(), {"zorg": 1.5, "glarb*": 1.5}
 
@@ -204,6 +270,30 @@ def test_leaks_are_found_and_clean_texts_are_not(spark, docs_of, odd, none):
     assert decontaminate.find_leaks(none, benchmark).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["any", "rare"])
+def test_paraphrases_with_seven_of_ten_words_in_order_are_found(docs_of, spark, kind):
+    """Items of 20 to 60 words with 10 to 28 % of their words replaced, at random or the rarest ones, among Zipf prose."""
+    rng = random.Random(15)
+    weights = [1 / (i + 3) for i in range(len(WORDS))]
+
+    def text(n):
+        return rng.choices(WORDS, weights, k=n)
+    items = [text(rng.randint(20, 60)) for _ in range(300)]
+    docs, planted = [(10_000 + i, " ".join(text(120))) for i in range(300)], 0
+    for i, item in enumerate(items):
+        share = rng.choice([0.1, 0.2, 0.25, 0.28])
+        n = int(share * len(item))
+        spots = rng.sample(range(len(item)), n) if kind == "any" else sorted(range(len(item)), key=lambda j: -WORDS.index(item[j]))[:n]
+        changed = [rng.choice(WORDS) if j in spots else w for j, w in enumerate(item)]
+        docs.append((i, " ".join(text(40) + changed + text(40))))
+        planted += 1
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs_of(docs), benchmark)
+             .select("doc_id", F.explode("leaks.item_id").alias("item_id")).collect()}
+    assert sum((i, i) in found for i in range(planted)) >= 0.9 * planted
+    assert not [d for d, i in found if d != i]
+
+
 @pytest.mark.parametrize("zipf", [0, 1])
 def test_leaks_of_thousands_of_items_are_all_found(spark, docs_of, zipf):
     rng = random.Random(11)
