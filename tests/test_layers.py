@@ -258,6 +258,18 @@ def test_consumers_and_order(tables):
     assert consumers.premium_series(tables["mart_series"]).count() == 0
 
 
+def test_consumers_keep_the_published_classes(spark):
+    genres = spark.createDataFrame([(p, 0.1, 7.0, "Stable", "Quality Stable", p, "Niche Targeting") for p in (*R.PRIORITY.labels, "Emerging Opportunity")],
+                                   "genre string, market_share double, avg_rating double, production_trend string, quality_trend string, "
+                                   "investment_priority string, content_strategy string")
+    assert rows(consumers.genre_investments(genres), "genre") == ["Emerging Opportunity", "High Priority", "Medium Priority"]
+    series = spark.createDataFrame([(f"{t}/{c}", 60, 3, 8.5, c, t, "High Engagement") for t in R.MART_SERIES_TIER.labels for c in R.MART_CONSISTENCY.labels],
+                                   "series_title string, total_episodes long, total_seasons long, avg_series_rating double, consistency_rating string, "
+                                   "series_performance_tier string, engagement_level string")
+    assert rows(consumers.premium_series(series), "series_title") == sorted(
+        f"{t}/{c}" for t in ("Premium Franchise", "Quality Series") for c in ("Very Consistent", "Consistent"))
+
+
 def test_build_writes_tables_and_views(spark, raw, tmp_path):
     out = B.build(spark, raw, str(tmp_path / "layers"), "2025-06-01", "2025-06-01", "r1")
     assert len(out) == 15
