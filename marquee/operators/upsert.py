@@ -21,8 +21,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], delete_missing:
     """
     if delete_missing:
         return batch.select(*target.columns)
-    keys = batch.select(*key).distinct()
-    return target.join(keys, key, "left_anti").select(*target.columns).unionByName(batch)
+    # an anti join asks only whether a key is there: distinct keys would first fill a hash table of all of a task's
+    return target.join(batch.select(*key), key, "left_anti").select(*target.columns).unionByName(batch)
 
 
 def incremental_batch(source: DataFrame, target: DataFrame | None, when: str = "rowcount",
@@ -140,10 +140,14 @@ class BucketedTable(VersionedTable):
         return None if manifest is None else self._rows(manifest)
 
     def _write(self, df: DataFrame) -> dict[str, str]:
-        """Write the rows by bucket and return the folder of each bucket that has some."""
+        """Write the rows by bucket and return the folder of each bucket that has some.
+
+        Buckets lie together, but by size: AQE splits a large one over tasks, each with a file in
+        its folder, so that a task sorts a bounded part however many rows a bucket has.
+        """
         run = f"data/{uuid.uuid4().hex}"
         placed = df.withColumn("_bucket", self.bucket())
-        placed.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{run}")
+        placed.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{run}")
         fs, pattern = self._file(f"{run}/_bucket=*")
         names = [f.getPath().getName() for f in fs.globStatus(pattern) or []]
         return {name.split("=")[1]: f"{run}/{name}" for name in names}

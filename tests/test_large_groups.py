@@ -11,7 +11,7 @@ from marquee.operators import joins as J
 from marquee.operators import ranking as K
 from marquee.operators import reshape as P
 from marquee.operators import sets as U
-from marquee.operators.upsert import BucketedTable
+from marquee.operators.upsert import BucketedTable, upsert
 from marquee.plans import build as B
 from marquee.registry import layers
 from marquee.registry.core import table
@@ -172,6 +172,29 @@ def test_upserts_keep_the_files_of_untouched_buckets(spark):
     assert home.versions() == [1]
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark):
+    home = BucketedTable(spark, session.scratch_path(spark, "large"), ["k"], 2)
+    spread = session.stage(spark.range(0, 40_000, 1, 8).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")), "spread")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        home.replace(spread)
+        home.upsert(spread.where("k % 2 = 0").withColumn("v", F.lit("new")), ["k"])
+    finally:
+        spark.conf.set(name, kept)
+    for version in (0, 1):
+        files = home.read(version).inputFiles()
+        assert len(home.manifest(version)["buckets"]) == 2 and len(files) >= 4
+    assert home.read().count() == 40_000 and home.read().where("v = 'new'").count() == 20_000
+    assert home.read(0).exceptAll(spread).isEmpty()
+
+
+def test_an_upsert_builds_no_table_of_its_keys(spark):
+    target, batch = (spark.range(n).select(F.col("id").alias("k"), F.lit(n).alias("v")) for n in (50, 20))
+    assert "Aggregate" not in plan(upsert(target, batch.union(batch), ["k"]))
+
+
 def scratch_files(spark):
     return {p for p, _, _ in session.files_below(spark, f"{session.scratch_root(spark)}/*")}
 
