@@ -252,3 +252,13 @@ def test_published_positions_follow_the_order(spark, small):
     shares = {r.genre: (r.market_share, r.avg_rating) for r in mart.collect()}
     placed = [r.genre for r in M.positions("mart_genres", mart, 0).orderBy("position").collect()]
     assert [shares[g] for g in placed] == [shares[g] for g in listed] and table(spark, small, "orders").count()
+
+
+def test_scopes_forget_what_is_released(spark):
+    owned = []
+    with session.recording(owned):
+        gone, kept = session.stage(spark.range(3), "gone"), session.stage(spark.range(3), "kept")
+        session.release(gone)
+    assert [path for _, path in owned] == [getattr(kept, session._PATH)]
+    session.free_unread(owned)
+    assert owned == []
