@@ -9,8 +9,9 @@ ones are removed where they make up runs of MIN_RUN bytes or more, so short
 phrases stay.  Shorter documents are compared whole too, and copies of them removed.
 
 Only digests are shuffled, counted before they are, and a hot digest is joined
-to its rows, which splits; texts are shuffled once, for the documents that
-hold a repeated chunk or not.
+to its rows, which splits.  The rows carry key, place and digest only: ends are cut anew
+beside the text, and the files of the count are freed before the join writes its own.  Texts are
+shuffled once, for the documents that hold a repeated chunk or not.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import free_shuffles
+
 from .common import doc_key, plain, stage
 
 MIN_CHUNK, MAX_CHUNK = 16, 512
@@ -95,18 +98,23 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     doc_id and text) count as one document and come back with the same result.
     """
     keyed = doc_key(docs)
-    chunks = chunks_of(keyed.select("_key", "doc_id", "text"), min_run) \
-        .withColumn("order", F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"), F.col("s").alias("s")))
-    first = stage(chunks.groupBy("digest").agg(F.min("order").alias("first"), F.max("order").alias("last"))
+    chunks = chunks_of(keyed.select("_key", "doc_id", "text"), min_run)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"), F.col("s").alias("s"))
+    first = stage(chunks.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last"))
                   .where("first <> last").select("digest", "first"), "repeated")
-    found = chunks.join(first, "digest").groupBy("_key").agg(F.collect_set(F.struct(
-        "s", "e", (F.col("order") != F.col("first")).alias("later"), F.col("first.d").alias("keeper"))).alias("found"))
+    free_shuffles(docs.sparkSession)
+    # key and place tell a row from the first one: the key stands for doc_id and text
+    later = (F.col("_key") != F.col("first.k")) | (F.col("s") != F.col("first.s"))
+    found = chunks.select("_key", "s", "digest").join(first, "digest").groupBy("_key").agg(F.collect_set(F.struct(
+        "s", later.alias("later"), F.col("first.d").alias("keeper"))).alias("found"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc, text, found in zip(batch["doc_id"], batch["text"], batch["found"], strict=True):
                 data = text.encode()
+                cuts = cut_points(data)
+                end_of = dict(zip([0, *cuts], cuts, strict=False))
                 runs: list[list] = []
                 rows = sorted(found, key=lambda r: r["s"]) if found is not None else []
                 whole = [rows.pop(0)] if rows and rows[0]["s"] < 0 else []
@@ -114,10 +122,10 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     if not r["later"]:
                         continue
                     if runs and runs[-1][1] == r["s"]:
-                        runs[-1][1] = r["e"]
+                        runs[-1][1] = end_of[r["s"]]
                         runs[-1][2].add(r["keeper"])
                     else:
-                        runs.append([r["s"], r["e"], {r["keeper"]}])
+                        runs.append([r["s"], end_of[r["s"]], {r["keeper"]}])
                 copy = bool(whole) and whole[0]["later"]
                 if copy:
                     runs = [[0, len(data), {whole[0]["keeper"]}]]
@@ -135,7 +143,7 @@ def deduplicate(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                 kept.append(data[last:])
                 rest = b"".join(kept)
                 named = {k for k in linked if k is not None and k == k}
-                out.append((doc, len(data), len(cut_points(data)), len(rows), len(data) - len(rest),
+                out.append((doc, len(data), len(cuts), len(rows), len(data) - len(rest),
                             sorted(int(k) for k in named) + [None] * (len(named) < len(linked)), rest.decode()))
             yield plain(pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "linked", "text"]))
 

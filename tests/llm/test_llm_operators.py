@@ -157,6 +157,12 @@ def test_chunks_resist_insertions_and_keep_the_first_copy(docs_of, odd, none):
     assert chunk_dedup.deduplicate(odd).count() == 8 and chunk_dedup.deduplicate(none).collect() == []
 
 
+def test_chunks_are_shuffled_by_key_place_and_digest_only(docs_of):
+    out = chunk_dedup.deduplicate(docs_of([(1, "one two"), (2, "one two"), (None, "one two")]))
+    assert "named_struct(n," not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in out.collect()) == [(0, 7), (1, 0), (2, 7)]
+
+
 def test_chunks_catch_passages_of_fifty_words_and_copies_of_short_documents(docs_of):
     rng = random.Random(12)
     rows = []
