@@ -28,7 +28,7 @@ and have the set B(x) beside them, and write o for what x and y have in common o
 C = (100 |A| + t |B|) / (100 + t) and K = (100 - t) |h| / (100 + t); x is alike to h just if C(x) <= K.
 So classes that differ from the hub in different places are in its component already or not alike, and all other links
 share differences.  The differences, shingles beside the hub first, are new lists with prefixes of their own, in which the same is
-done again.  1 - similarity is a metric: of two classes that are alike both are at least INNER % alike to the hub, less the
+done again, as long as that leaves fewer pairs than the lists had.  1 - similarity is a metric: of two classes that are alike both are at least INNER % alike to the hub, less the
 100 - t % that they may differ, or neither is INNER % alike to it.  So only the former are listed by differences, and
 classes that are not INNER % alike to the hub stay in the list for another one, to meet those that are not listed by differences.  A group of thousands of near copies thus costs its size, not its square; no link between components is lost.
 Verification is exact.
@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import release
+from marquee.session import free_shuffles, release
 
 from .common import content_key, doc_key, plain, shingle_sets, stage
 from .components import components
@@ -54,7 +54,7 @@ LISTED = 8            # shingles counted this often are listed with their count
 HOT = 48              # and hot from here on
 MOST_LISTED = 1 << 18  # the list is shipped to every task, so its length is bounded; the rest count as rare
 LARGE = 128           # pairs for two classes of a list, from which on it is not joined with itself
-ROUNDS = 4            # of hubs and differences; what is large after them is paired in full
+ROUNDS = 4            # of hubs and differences at most; what is large after them is paired in full
 INNER = 65            # percent: a class this much alike to a hub needs no other hub
 MOST_EXTRA = 3
 HELD_TOKENS = 1 << 21
@@ -172,15 +172,22 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("cls")).distinct().union(pairs.select(F.col("b").alias("cls")).distinct()).distinct()
 
 
+def among(some: np.ndarray, others: np.ndarray) -> int:
+    """How many of some occur among the others, which are sorted."""
+    return int((others[np.minimum(np.searchsorted(others, some), len(others) - 1)] == some).sum()) if len(others) else 0
+
+
 def possible(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
     """The (a, b) pairs that their listed prefixes do not rule out.
 
     A prefix holds all tokens of its set, hot ones aside, up to its last one.
     Up to the lesser of two last tokens, what one prefix has and the other
     lacks is not shared: that bounds the intersection from above.  Sets that
-    are hot nearly all over are let through.
+    are hot nearly all over are let through.  Only the upper halves of the tokens are
+    sent: they keep the order, and those that coincide count as shared, so the bound still holds.
     """
-    mine = _wanted(told.select("cls", "n", "e", "prefix").where("n > 0"), ends(pairs), "cls").dropDuplicates(["cls"])
+    upper = F.transform("prefix", lambda t: F.shiftright(t, 32).cast("int")).alias("prefix")
+    mine = _wanted(told.where("n > 0").select("cls", "n", "e", upper), ends(pairs), "cls").dropDuplicates(["cls"])
     one, two = (mine.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("e").alias(f"e{x}"), F.col("prefix").alias(f"p{x}")) for x in "ab")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,8 +198,7 @@ def possible(pairs: DataFrame, told: DataFrame, percent: int) -> DataFrame:
                     continue
                 last = min(x[-1], y[-1])
                 x, y = x[:np.searchsorted(x, last, side="right")], y[:np.searchsorted(y, last, side="right")]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                most = min(na - len(x) + both, nb - len(y) + both)
+                most = min(na - len(x) + among(x, y), nb - len(y) + among(y, x))
                 keep[i] = 100 * most >= percent * (na + nb - most)
             yield batch.loc[keep, ["a", "b"]]
 
@@ -213,9 +219,12 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     listed, counts = frequent_shingles(keyed, words)
     told = stage(describe(keyed, listed, counts, words, percent, hot), "prefixes")
 
+    free_shuffles(docs.sparkSession)
+
     rows = told.where("n > 0").select("cls", F.explode("prefix").alias("token"))
     # one count for each token is all that the large exchange carries; copies are told apart among what is left
     repeated = stage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "repeated")
+    free_shuffles(docs.sparkSession)
     met = stage(rows.join(repeated, "token").distinct(), "met")     # one row for all copies of a class
     release(repeated)
     mids = told.where("n > 0").groupBy("cls").agg(F.first("mid").alias("mid"))
@@ -233,6 +242,7 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     a, b = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     star = stage(star.join(a, "a").join(b, "b").where(alike).select("a", "b"), "star")
     likely = stage(possible(star, told, percent), "likely")
+    free_shuffles(docs.sparkSession)
     links = [stage(verify(likely, _sets(keyed, sizes.join(ends(likely), "cls", "left_semi"), words), percent), "links")]
     release(likely)
 
@@ -254,23 +264,24 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
             .where("inner is null or not inner").withColumn("near", F.col("inner").isNotNull() if turn == 0 else F.col("near"))
         unfolded = unfolded.unionByName(apart.select(*columns)).join(sizes.select("cls", "mid"), "cls")
         unfolded = stage(_lists(unfolded), "unfolded")
-        paired.append(unfolded.where("not large").select(*columns))
-        large = unfolded.where("large")
         release(spokes)
         done += [differing, unfolded]
+        if _pairs_of(unfolded) >= _pairs_of(large):
+            break       # what these classes have in common is not the hub's: they meet in the lists they were in
+        paired.append(unfolded.where("not large").select(*columns))
+        large = unfolded.where("large")
     if not large.isEmpty():
         paired.append(large.select(*columns))
 
     linked = stage(reduce(DataFrame.union, links), "linked")
     roots = components(linked)
     together = reduce(DataFrame.union, paired)
-    placed = together.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("token", "cls", "near", "short", F.coalesce("root", "cls").alias("root"))
-    mixed = placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("token")
     # shared tokens are counted in the lists that are paired: a class of a larger list needs only one of them
-    more = sizes.join(crowded.withColumn("crowded", F.lit(True)), "cls", "left").select(
-        "cls", "n", F.when(F.col("crowded"), 0).otherwise(F.col("e")).alias("e"))
-    placed = stage(placed.join(mixed, "token", "left_semi").join(more, "cls"), "placed")
+    more = sizes.join(crowded.withColumn("crowded", F.lit(True)), "cls", "left").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", "n", F.when(F.col("crowded"), 0).otherwise(F.col("e")).alias("e"), F.coalesce("root", "cls").alias("root"))
+    placed = together.join(more, "cls")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("token")
+    placed = stage(placed.join(mixed, "token", "left_semi"), "placed")
     release(*done, crowded)
 
     def met(one: str, other: str, ordered: str) -> DataFrame:
@@ -284,8 +295,9 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     pairs = stage(pairs.join(star, ["a", "b"], "left_anti").select("a", "b"), "pairs")
     release(placed, star)
     likely = stage(possible(pairs, told, percent), "likely")
+    release(pairs)
     late = stage(verify(likely, _sets(keyed, sizes.join(ends(likely), "cls", "left_semi"), words), percent), "late")
-    release(sizes, pairs, likely)
+    release(sizes, likely)
 
     # what the links between components add: roots are joined, not classes
     over = late.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left") \
@@ -333,12 +345,21 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = H
 
 def _lists(rows: DataFrame) -> DataFrame:
     """(token, cls, near, short) rows of the tokens under which somebody may be paired, with the hub and whether the pairs are too many."""
-    near, far, short = F.count_if("near"), F.count_if(~F.col("near")), F.count_if(~F.col("near") & F.col("short"))
-    several = rows.groupBy("token").agg(F.max(F.struct("mid", "cls"))["cls"].alias("hub"), (near * far + short * (short - 1) / 2).alias("pairs"),
+    several = rows.groupBy("token").agg(F.max(F.struct("mid", "cls"))["cls"].alias("hub"), _met_in_full().alias("pairs"),
                                         F.count(F.lit(1)).alias("size")).where("pairs > 0")
     return rows.drop("mid").join(several.select("token", "hub", (F.col("pairs") > LARGE / 2 * F.col("size")).alias("large")), "token")
 
 
+def _met_in_full() -> Column:
+    """The pairs that the rows of a token make if its list is joined with itself."""
+    near, far, short = F.count_if("near"), F.count_if(~F.col("near")), F.count_if(~F.col("near") & F.col("short"))
+    return near * far + short * (short - 1) / 2
+
+
+def _pairs_of(lists: DataFrame) -> float:
+    return lists.groupBy("token").agg(_met_in_full().alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
+
+
 def _differences(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """For the (hub, cls) that are INNER less the slack alike: near, inner, and the differences under which the class is listed,
     of which `half` count among those that are not near."""

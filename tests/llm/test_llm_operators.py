@@ -89,6 +89,37 @@ def test_families_without_a_common_neighbour_equal_all_pairs(docs_of, monkeypatc
     assert sorted(map(tuple, got)) == sorted(linked(rows))
 
 
+def test_rounds_that_leave_no_fewer_pairs_are_not_repeated(docs_of, monkeypatch):
+    """Far copies of one text share what a hub has too: differences to another hub list them anew, as many times as there are rounds."""
+    monkeypatch.setattr(ngram_join, "LARGE", 8)
+    rounds, store = [], ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, label: rounds.append(label) or store(df, label))
+    rng = random.Random(7)
+    base = prose(rng, 100).split()
+    texts = [" ".join(base)]
+    for _ in range(300):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(len(words))] = f"w{rng.random()}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = ngram_join.near_duplicates(docs_of(rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(linked(rows))
+    assert 1 <= rounds.count("differences") <= 2
+
+
+def test_prefixes_that_coincide_in_their_upper_halves_rule_nothing_out(spark):
+    """Two sets with the same 8 of 9 tokens; a prefix of each, some tokens of which differ in their lower halves only."""
+    same = [(k << 32) + 5 for k in range(1, 9)]
+    one, two = sorted([*same, (3 << 32) + 6]), sorted([*same, (3 << 32) + 7])
+    told = spark.createDataFrame([(1, 9, 0, one[:4]), (2, 9, 0, two[:4]), (3, 9, 0, [k << 40 for k in range(1, 5)])], "cls long, n long, e int, prefix array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    assert [tuple(r) for r in ngram_join.possible(pairs, told, 75).collect()] == [(1, 2)]
+    assert ngram_join.possible(pairs, told, 75).count() == 1
+    plan = ngram_join.possible(pairs, told, 75)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright" in plan
+
+
 def test_one_row_of_each_component_stays(spark):
     text, near = "one two three four five six seven eight nine ten", "alone and by itself in all of this table here"
     kind = "doc_id long, text string, _key string, n long, _row int"
