@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marquee.llm import (chunk_dedup, decontaminate, ngram_join, pii, secret_scan, sentencepiece_scan, suffix_dedup, toxicity,
                          voronoi_knn, warc)
 from marquee.llm.queries import MODEL, ORACLES, op5_toxicity, op9_voronoi_knn
+from marquee.session import stage
 
 WORDS = ["".join(random.Random(i).choices("abcdefghijklmnop", k=6)) for i in range(5000)]
 
@@ -172,6 +173,17 @@ def test_repeated_substrings_odd_rows(odd, none):
     assert suffix_dedup.remove_repeats(none).collect() == []
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return set(re.findall(r"shuffle_\d+", files))
+    before = shuffled()
+    held = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()      # whoever holds the frame does not hold its files
+    stored = stage(held, "counts")
+    assert not shuffled() - before
+    assert stored.count() == held.count() == 7
+
+
 def test_chunks_resist_insertions_and_keep_the_first_copy(docs_of, odd, none):
     rng = random.Random(6)
     text = prose(rng, 400)
