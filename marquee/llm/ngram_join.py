@@ -22,15 +22,16 @@ components, and only pairs of *different* components are formed in lists of
 bounded numbers of pairs, with the multi-match count; a bound from their prefixes, then
 the sets themselves decide.
 
-Larger lists are never joined with themselves.  Let a class x lack the set A(x) of its hub's h shingles
-and have the set B(x) beside them, and write o for what x and y have in common of both.  Then
+Larger lists are never joined with themselves.  Their classes are compared with a *centre*: the shingles that most of the
+hub's kin have, mostly the text that a family of copies was made from, whether it is there or not.  Let a class x lack the set A(x)
+of its centre's h shingles and have the set B(x) beside them, and write o for what x and y have in common of both.  Then
 |x n y| = |h| - |A(x)| - |A(y)| + o, and x and y are alike only if o >= C(x) + C(y) - K, with
-C = (100 |A| + t |B|) / (100 + t) and K = (100 - t) |h| / (100 + t); x is alike to h just if C(x) <= K.
-So classes that differ from the hub in different places are in its component already or not alike, and all other links
-share differences.  The differences, shingles beside the hub first, are new lists with prefixes of their own, in which the same is
-done again, as long as that leaves fewer pairs than the lists had.  1 - similarity is a metric: of two classes that are alike both are at least INNER % alike to the hub, less the
+C = (100 |A| + t |B|) / (100 + t) and K = (100 - t) |h| / (100 + t).  The class m of the least C stands for the centre: all that are alike to it
+are *near*, and linked.  If x is not, C(x) + C(m) > K, so any y alike to it shares differences with it, more than C(x) - C(m) and more than
+C(y) - C(m).  Where they share the first one, the differences that each has from there on bound o.  The differences, shingles beside the centre first, are new lists with prefixes of their own, in which the same is
+done again, as long as that leaves fewer pairs than the lists had.  1 - similarity is a metric: of two classes that are alike both are at least INNER % alike to the centre, less the
 100 - t % that they may differ, or neither is INNER % alike to it.  So only the former are listed by differences, and
-classes that are not INNER % alike to the hub stay in the list for another one, to meet those that are not listed by differences.  A group of thousands of near copies thus costs its size, not its square; no link between components is lost.
+classes that are not INNER % alike to the centre stay in the list for another one, to meet those that are not listed by differences.  A group of thousands of near copies thus costs its size, not its square; no link between components is lost.
 Verification is exact.
 """
 
@@ -55,7 +56,8 @@ HOT = 48              # and hot from here on
 MOST_LISTED = 1 << 18  # the list is shipped to every task, so its length is bounded; the rest count as rare
 LARGE = 128           # pairs for two classes of a list, from which on it is not joined with itself
 ROUNDS = 4            # of hubs and differences at most; what is large after them is paired in full
-INNER = 65            # percent: a class this much alike to a hub needs no other hub
+INNER = 65            # percent: a class this much alike to a centre needs no other centre
+CENTRE = 128          # members of a hub, about, that are asked for its centre
 MOST_EXTRA = 3
 HELD_TOKENS = 1 << 21
 BUCKETS = 1 << 18     # bound of the broadcast pre-filter of documents that need verification
@@ -228,7 +230,8 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     met = stage(rows.join(repeated, "token").distinct(), "met")     # one row for all copies of a class
     release(repeated)
     mids = told.where("n > 0").groupBy("cls").agg(F.first("mid").alias("mid"))
-    lists = stage(_lists(met.join(mids, "cls").withColumns({"near": F.lit(False), "short": F.lit(True)})), "lists")
+    lists = stage(_lists(met.join(mids, "cls").withColumns({
+        "near": F.lit(False), "short": F.lit(True), **{c: F.lit(None).cast("int") for c in ("beside", "lacks", "due")}})), "lists")
     release(met)
 
     sizes = told.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("e").alias("e"), F.first("mid").alias("mid"), F.min("_key").alias("_key"))
@@ -247,24 +250,32 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     release(likely)
 
     # lists to be paired; near: alike to the hub, short: within the half prefix
-    columns = ["token", "cls", "near", "short"]
+    # in lists of differences also what bounds the common ones from this token on: those left beside the centre and lacking, and what is due
+    columns = ["token", "cls", "near", "short", "beside", "lacks", "due"]
     paired, done = [lists.where("not large").select(*columns)], [lists]
     for turn in range(ROUNDS):
         if large.isEmpty():
             break
-        spokes = large.where(F.col("cls") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-        spokes = stage(possible(spokes, told, INNER - (100 - percent)), "spokes")
-        sets = _sets(keyed, sizes.join(ends(spokes), "cls", "left_semi"), words)
-        differing = stage(_differences(spokes.toDF("hub", "cls"), stage(sets, "sets"), percent), "differences")
-        links.append(differing.where("near").select(F.col("hub").alias("a"), F.col("cls").alias("b")))
-        unfolded = differing.select("cls", "near", F.posexplode("listed").alias("at", "token"), "half", "hub") \
-            .select(F.xxhash64("hub", "token").alias("token"), "cls", "near", (F.col("at") < F.col("half")).alias("short"))
+        members = stage(large.select("hub", "cls").distinct(), "members")
+        sets = stage(_sets(keyed, sizes.join(members.select("cls").distinct(), "cls", "left_semi"), words), "sets")
+        centres = stage(_centres(members, sets, percent), "centres")
+        spokes = members.join(centres.select("hub", "centre"), "hub").select("centre", "cls").distinct()
+        apart_by = stage(_differences(spokes, centres.select("centre", "tokens").dropDuplicates(["centre"]), sets, percent), "differences")
+        differing = stage(_listed(apart_by, percent), "differing")
+        release(sets, apart_by)
+        links.append(differing.where("near and cls <> nearest").select(F.col("nearest").alias("a"), F.col("cls").alias("b")))
+        unfolded = differing.select("cls", "near", F.posexplode("listed").alias("at", "token"), "half", "centre", "beside", "lacks", "due") \
+            .select(F.xxhash64("centre", "token").alias("token"), "cls", "near", (F.col("at") < F.col("half")).alias("short"), "due",
+                    F.greatest(F.lit(0), F.col("beside") - F.col("at")).alias("beside"), F.least("lacks", F.col("lacks") + F.col("beside") - F.col("at")).alias("lacks"))
+        # who cannot be alike to the one of the list that is nearest to the centre is not alike to any
+        unfolded = unfolded.join(unfolded.groupBy("token").agg(F.min("due").alias("least")), "token") \
+            .where(2 * (100 + percent) * (F.col("beside") + F.col("lacks")) >= F.col("due") + F.col("least")).drop("least")
         # two classes that are both listed by differences need not meet again: as long as no others are told apart, `near` says so
-        apart = large.where(F.col("cls") != F.col("hub")).join(differing.select("hub", "cls", "inner"), ["hub", "cls"], "left") \
+        apart = large.join(centres.select("hub", "centre"), "hub", "left").join(differing.select("centre", "cls", "inner"), ["centre", "cls"], "left") \
             .where("inner is null or not inner").withColumn("near", F.col("inner").isNotNull() if turn == 0 else F.col("near"))
         unfolded = unfolded.unionByName(apart.select(*columns)).join(sizes.select("cls", "mid"), "cls")
         unfolded = stage(_lists(unfolded), "unfolded")
-        release(spokes)
+        release(members, centres)
         done += [differing, unfolded]
         if _pairs_of(unfolded) >= _pairs_of(large):
             break       # what these classes have in common is not the hub's: they meet in the lists they were in
@@ -285,8 +296,11 @@ def grouped(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = HOT)
     release(*done, crowded)
 
     def met(one: str, other: str, ordered: str) -> DataFrame:
-        left, right = (placed.where(where).select("token", *(F.col(c).alias(f"{c}{x}") for c in ("cls", "root", "n", "e"))) for x, where in (("a", one), ("b", other)))
-        return left.join(right, "token").where("roota <> rootb").where(ordered).where(alike).select("clsa", "clsb", "ea", "eb")
+        left, right = (placed.where(where).select("token", *(F.col(c).alias(f"{c}{x}") for c in ("cls", "root", "n", "e", "beside", "lacks", "due"))) for x, where in (("a", one), ("b", other)))
+        # at the first difference that two classes share: all others lie behind it.  Both rows of a token have the same centre, or none
+        enough = 2 * (100 + percent) * (F.least("besidea", "besideb") + F.least("lacksa", "lacksb")) >= F.col("duea") + F.col("dueb")
+        return left.join(right, "token").where("roota <> rootb").where(ordered).where(alike).where(F.coalesce(enough, F.lit(True))) \
+            .select("clsa", "clsb", "ea", "eb")
 
     # near ones meet those that are not; of these, the short ones each other
     pairs = met("not near and short", "not near and short", "clsa < clsb").union(met("near", "not near", "true"))
@@ -344,7 +358,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, hot: int = H
 
 
 def _lists(rows: DataFrame) -> DataFrame:
-    """(token, cls, near, short) rows of the tokens under which somebody may be paired, with the hub and whether the pairs are too many."""
+    """The rows of the tokens under which somebody may be paired, with the hub and whether the pairs are too many."""
     several = rows.groupBy("token").agg(F.max(F.struct("mid", "cls"))["cls"].alias("hub"), _met_in_full().alias("pairs"),
                                         F.count(F.lit(1)).alias("size")).where("pairs > 0")
     return rows.drop("mid").join(several.select("token", "hub", (F.col("pairs") > LARGE / 2 * F.col("size")).alias("large")), "token")
@@ -360,21 +374,52 @@ def _pairs_of(lists: DataFrame) -> float:
     return lists.groupBy("token").agg(_met_in_full().alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
 
 
-def _differences(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For the (hub, cls) that are INNER less the slack alike: near, inner, and the differences under which the class is listed,
-    of which `half` count among those that are not near."""
-    one = sets.select(F.col("cls").alias("hub"), F.col("tokens").alias("th"))
-    both = spokes.join(one, "hub").join(sets.select("cls", "tokens"), "cls") \
+def _centres(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(hub, centre, tokens): of every hub the shingles that most of its kin have, and a digest of them.
+
+    Kin are the hub and the members that are at least INNER less the slack alike to it.  Some CENTRE members of a hub are asked:
+    any set of shingles serves as a centre, so this decides how long the lists get and not what is found.
+    """
+    one_in = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size")).select("hub", F.greatest(F.lit(1), F.floor(F.col("size") / CENTRE)).alias("one_in"))
+    asked = members.join(one_in, "hub").where((F.pmod(F.xxhash64("hub", "cls"), F.col("one_in")) == 0) | (F.col("cls") == F.col("hub"))).select("hub", "cls")
+    kin = asked.join(sets.select(F.col("cls").alias("hub"), F.col("tokens").alias("th")), "hub").join(sets, "cls") \
+        .withColumn("both", F.size(F.array_intersect("tokens", "th"))) \
+        .where(100 * F.col("both") >= (INNER - 100 + percent) * (F.size("tokens") + F.size("th") - F.col("both")))
+    many = kin.groupBy("hub").agg(F.count(F.lit(1)).alias("kin"))
+    most = kin.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(F.count(F.lit(1)).alias("n")) \
+        .join(many, "hub").where(2 * F.col("n") > F.col("kin"))
+    told = most.groupBy("hub").agg(F.sort_array(F.collect_list("token")).alias("told"))
+    # where no shingle is that common, the hub's own ones serve
+    return members.select(F.col("hub").alias("cls")).distinct().join(sets, "cls").join(told.withColumnRenamed("hub", "cls"), "cls", "left") \
+        .select(F.col("cls").alias("hub"), F.coalesce("told", "tokens").alias("tokens")).withColumn("centre", F.xxhash64("tokens"))
+
+
+def _differences(spokes: DataFrame, centres: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For the (centre, cls) that are INNER less the slack alike: inner, the differences, those beside the centre first,
+    and `cost` and `slack`, which are C and K times 100 + percent."""
+    both = spokes.join(centres.withColumnRenamed("tokens", "th"), "centre").join(sets, "cls") \
         .withColumn("beside", F.array_sort(F.array_except("tokens", "th"))).withColumn("lacks", F.array_sort(F.array_except("th", "tokens")))
-    a, b, h, scale = F.size("lacks"), F.size("beside"), F.size("th"), 100 + percent
-    cost, slack = 100 * a + percent * b, (100 - percent) * h
+    a, b, h = F.size("lacks"), F.size("beside"), F.size("th")
 
     def as_alike_as(share: int) -> Column:
         return 100 * (h - a) >= share * (h + b)
 
-    told = both.where(as_alike_as(INNER - (100 - percent))).select(
-        "hub", "cls", (cost <= slack).alias("near"), as_alike_as(INNER).alias("inner"), F.concat("beside", "lacks").alias("all"),
-        (a + b - F.floor(cost / scale)).cast("int").alias("half"),
-        (a + b + 1 - F.greatest(F.lit(1), F.ceil((cost - slack) / scale))).cast("int").alias("far"))
-    return told.select("hub", "cls", "near", "inner", "half",
-                       F.slice("all", F.lit(1), F.when(F.col("near"), F.col("half")).otherwise(F.greatest("half", "far"))).alias("listed"))
+    return both.where(as_alike_as(INNER - 100 + percent)).select(
+        "centre", "cls", as_alike_as(INNER).alias("inner"), F.concat("beside", "lacks").alias("all"), b.alias("beside"), a.alias("lacks"),
+        (100 * a + percent * b).alias("cost"), ((100 - percent) * h).alias("slack"))
+
+
+def _listed(differences: DataFrame, percent: int) -> DataFrame:
+    """For the same (centre, cls): the nearest class to the centre, near (alike to that class), inner, and the differences under which the
+    class is listed, of which `half` count among those that are not near.  Two classes are alike if 2 * (100 + percent) times the
+    differences that they share is not less than the sum of what is `due`."""
+    scale = 100 + percent
+    nearest = differences.groupBy("centre").agg(F.min_by(F.struct("cls", "cost", "all"), F.struct("cost", "cls")).alias("m"))
+    told = differences.join(nearest, "centre").withColumn(
+        "near", scale * F.size(F.array_intersect("all", "m.all")) >= F.col("cost") + F.col("m.cost") - F.col("slack"))
+    size = F.size("all")
+    half = (size - F.floor((F.col("cost") - F.col("m.cost")) / scale)).cast("int")
+    far = (size + 1 - F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col("m.cost") - F.col("slack")) / scale))).cast("int")
+    return told.withColumn("half", half).select(
+        "centre", "cls", F.col("m.cls").alias("nearest"), "near", "inner", "half", "beside", "lacks", (2 * F.col("cost") - F.col("slack")).alias("due"),
+        F.slice("all", F.lit(1), F.when(F.col("near"), F.col("half")).otherwise(F.greatest("half", far))).alias("listed"))

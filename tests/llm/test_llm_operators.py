@@ -109,6 +109,28 @@ def test_rounds_that_leave_no_fewer_pairs_are_not_repeated(docs_of, monkeypatch)
     assert 1 <= rounds.count("differences") <= 2
 
 
+def test_pairs_of_a_family_without_its_origin_are_few(docs_of, monkeypatch):
+    """Copies of a text that is not there itself: each hub lacks shingles that most others share."""
+    monkeypatch.setattr(ngram_join, "LARGE", 32)
+    sizes, store = {}, ngram_join.stage
+
+    def counted(df, label):
+        stored = store(df, label)
+        sizes[label] = stored.count()
+        return stored
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    rng = random.Random(5)
+    rows = []
+    for i in range(500):
+        words = [f"w{k}" for k in range(150)]
+        for k in rng.sample(range(150), rng.randint(2, 16)):
+            words[k] = f"v{rng.random()}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.near_duplicates(docs_of(rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(linked(rows))
+    assert sizes["pairs"] < 16 * len(rows)
+
+
 def test_prefixes_that_coincide_in_their_upper_halves_rule_nothing_out(spark):
     """Two sets with the same 8 of 9 tokens; a prefix of each, some tokens of which differ in their lower halves only."""
     same = [(k << 32) + 5 for k in range(1, 9)]
