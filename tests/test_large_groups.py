@@ -15,7 +15,7 @@ from marquee.operators.upsert import BucketedTable, upsert
 from marquee.plans import build as B
 from marquee.registry import layers
 from marquee.registry.core import table
-from marquee.sources import layout
+from marquee.sources import catalogue, layout
 
 
 @pytest.fixture(scope="module")
@@ -262,3 +262,30 @@ def test_scopes_forget_what_is_released(spark):
     assert [path for _, path in owned] == [getattr(kept, session._PATH)]
     session.free_unread(owned)
     assert owned == []
+
+
+def test_steps_at_once_store_for_the_scope_around_them(spark):
+    before, setting = scratch_files(spark), spark.conf.get(session.SHUFFLES_END, "false")
+    with session.scratch_scope():
+        frames = session.at_once(spark, *(lambda n=n: session.stage(spark.range(n).groupBy().count(), f"n{n}") for n in range(6)))
+        assert [df.first()[0] for df in frames] == list(range(6))
+    assert scratch_files(spark) == before and spark.conf.get(session.SHUFFLES_END, "false") == setting
+    with pytest.raises(ZeroDivisionError), session.scratch_scope():
+        session.at_once(spark, lambda: session.stage(spark.range(3), "kept"), lambda: 1 // 0)
+    assert scratch_files(spark) == before
+
+
+def test_extracts_deal_out_sources_before_their_texts(spark, small, tmp_path):
+    """A source of one row group is dealt out as it is read; one that keeps the cores busy is not, nor is what an aggregate has spread."""
+    one, many = (str(tmp_path / n) for n in ("one", "many"))
+    tasks = spark.sparkContext.defaultParallelism
+    for path, files in ((one, 1), (many, tasks)):
+        for t in catalogue.SOURCES:
+            spark.read.parquet(f"{small}/{t}.parquet").repartition(files).write.parquet(f"{path}/{t}.parquet")
+    told = {(path, name): plan(catalogue.derived(spark, path, name)) for path in (one, many) for name in ("raw_title_basics", "raw_title_crew")}
+    dealt = [line for line in told[one, "raw_title_basics"].splitlines() if "Exchange" in line]
+    assert len(dealt) == 1 and "RoundRobin" in dealt[0]
+    assert told[one, "raw_title_basics"].index("Exchange") > told[one, "raw_title_basics"].index("Project")
+    assert "RoundRobin" not in told[many, "raw_title_basics"] and told[many, "raw_title_crew"].count("Exchange") == 1
+    for name in catalogue.CATALOGUE_SQL:
+        assert rows(catalogue.derived(spark, one, name)) == rows(catalogue.derived(spark, many, name))

@@ -267,3 +267,25 @@ def test_assert_passed(spark, people):
 def test_suite_declares_68_checks():
     kinds = Counter(c.kind for c in ALL)
     assert kinds == {"not_null": 30, "accepted_values": 14, "unique": 10, "accepted_range": 7, "unique_combination": 4, "relationships": 3}
+
+
+def test_a_computed_table_of_many_checks_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(part):
+        for r in part:
+            seen.add(1)
+            yield r
+    data = [(1, "a", 5), (1, "b", None), (None, "c", 7), (3, None, 9)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(data, 2).mapPartitions(count), "i int, s string, n int")
+    parent = frame(spark, [(1,)], "k int")
+    checks = [Q.Check("t", "not_null", {"column": "i"}), Q.Check("t", "unique", {"column": "i"}),
+              Q.Check("t", "accepted_values", {"column": "s", "values": ["a", "b"]}),
+              Q.Check("t", "relationships", {"column": "i", "parent": "p", "field": "k"}),
+              Q.Check("t", "unique_combination", {"columns": ["i", "s"]})]
+    out = Q.run({"t": df, "p": parent}, checks)
+    got = {r.kind: r.failures for r in out.collect()}
+    assert got == {"not_null": 1, "unique": 1, "accepted_values": 1, "relationships": 1, "unique_combination": 0}
+    assert seen.value == len(data)
+    whole = Q.run({"t": df, "p": parent}, [*checks, Q.Check("t", "expression_is_true", {"expression": "n > 5"}, where="i = 1")])
+    assert {r.kind: r.failures for r in whole.collect()} == {**got, "expression_is_true": 1}
