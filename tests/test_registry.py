@@ -56,3 +56,41 @@ def test_query_equals_its_sql(spark, duck, small, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def tables_of(folder, orders):
+    """The sources of the catalogue with these orders (key, customer, status), and a connection that has them."""
+    con = duckdb.connect()
+    con.execute("create table orders (o_orderkey bigint, o_custkey bigint, o_orderstatus varchar, o_totalprice double, o_orderdate timestamp, o_orderpriority varchar)")
+    con.executemany("insert into orders values (?, ?, ?, 50000, timestamp '2020-01-01', '1-URGENT')", orders)
+    con.execute(f"copy orders to '{folder}/orders.parquet'")
+    return con
+
+
+def keys_rated(lowest, highest, more=lambda k: True):
+    """Order keys whose rated titles have a rating within the bounds."""
+    rating = lambda k: int(100.5 - (k * 7919 % 91) ** 2 / 90) / 10
+    return (k for k in range(1, 10 ** 6) if k % 5 and k % 17 and k % 31 and k % 41 and lowest <= rating(k) <= highest and more(k))
+
+
+def same_as_sql(spark, con, folder, name):
+    df, result = QUERIES[name](spark, str(folder)), con.execute(ORACLES[name])
+    got, want = canon(df.collect(), df.columns), canon(result.fetchall(), [d[0] for d in result.description])
+    assert got == want
+    return df
+
+
+def test_genres_of_every_priority(spark, tmp_path):
+    # single genres by key: Action and Comedy good enough, Drama and Crime not
+    year = lambda k: 1900 + k % 135
+    wanted = {0: (9.0, 10.0, lambda y: 2020 <= y <= 2029), 1: (6.6, 6.9, lambda y: 1950 <= y < 2020),
+              2: (6.1, 6.4, lambda y: 1950 <= y < 2020), 3: (2.0, 5.0, lambda y: 1950 <= y < 2020)}
+    orders = []
+    for genre, (low, high, years) in wanted.items():
+        keys = keys_rated(low, high, lambda k: k % 3 == 0 and k % 8 == genre and years(year(k)))
+        orders += [(next(keys), 1, "F") for _ in range(12)]
+    con = tables_of(tmp_path, orders)
+    marts = {r["genre"]: r["investment_priority"] for r in same_as_sql(spark, con, tmp_path, "mart_genres").collect()}
+    assert marts == {"Action": "High Priority", "Comedy": "Medium Priority", "Drama": "Low Priority", "Crime": "Not Recommended"}
+    kept = same_as_sql(spark, con, tmp_path, "consumer_genres").collect()
+    assert sorted(r["genre"] for r in kept) == ["Action", "Comedy"]
