@@ -2,6 +2,7 @@
 
 import datetime
 import decimal
+from itertools import islice
 from pathlib import Path
 
 import duckdb
@@ -94,3 +95,23 @@ def test_genres_of_every_priority(spark, tmp_path):
     assert marts == {"Action": "High Priority", "Comedy": "Medium Priority", "Drama": "Low Priority", "Crime": "Not Recommended"}
     kept = same_as_sql(spark, con, tmp_path, "consumer_genres").collect()
     assert sorted(r["genre"] for r in kept) == ["Action", "Comedy"]
+
+
+def test_series_of_every_use(spark, tmp_path):
+    # by customer: the ratings of a series' episodes, how many have each, and if the published query wants it
+    wanted = {1: ([(9.5, 10.0, 60)], True), 2: ([(7.4, 7.6, 13), (8.6, 9.2, 17)], True), 3: ([(9.8, 10.0, 48), (5.0, 6.0, 12)], False),
+              4: ([(7.1, 7.3, 60)], False), 5: ([(9.5, 10.0, 12)], False), 6: ([(9.5, 10.0, 5)], False)}
+    orders, taken = [], set()
+    for customer, (bands, _) in wanted.items():
+        orders.append((17 * 10 ** 6 + customer, customer, "O"))
+        for low, high, n in bands:
+            for k in islice(keys_rated(low, high, lambda k: k not in taken), n):
+                taken.add(k)
+                orders.append((k, customer, "P"))
+    con = tables_of(tmp_path, orders)
+    series = {int(r["series_tconst"][-1]): (r["series_performance_tier"], r["consistency_rating"])
+              for r in same_as_sql(spark, con, tmp_path, "mart_series").collect()}
+    assert series == {1: ("Premium Franchise", "Very Consistent"), 2: ("Quality Series", "Consistent"), 3: ("Premium Franchise", "Highly Variable"),
+                      4: ("Solid Series", "Very Consistent"), 5: ("Strong Series", "Very Consistent")}
+    kept = same_as_sql(spark, con, tmp_path, "consumer_series").collect()
+    assert sorted(int(r["series_title"][-1]) for r in kept) == [c for c, (_, wants) in wanted.items() if wants]
